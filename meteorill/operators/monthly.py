@@ -49,9 +49,14 @@ def daily_pivot(observations: DataFrame) -> DataFrame:
 
 
 def daily_values(observations: DataFrame) -> DataFrame:
-    """The long form of `daily_pivot`: one row for each station, day and variable."""
+    """The long form of `daily_pivot`: one row for each station, day and variable.
+
+    Its rows are observations again, with the `seq` of the first value where there is one.
+    """
+    order = _order(observations)
+    kept = [F.min(order).alias("seq")] if order == "seq" else []
     return observations.groupBy(*_batch(observations), "StationId", "Date", "Variable").agg(
-        F.min_by("Value", _order(observations)).alias("Value")
+        F.min_by("Value", order).alias("Value"), *kept
     )
 
 

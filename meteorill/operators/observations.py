@@ -15,10 +15,10 @@ def parse_observations(records: DataFrame, value: str = "value", order: str | No
     which of several values of a station, day and variable is the first one.
     """
     kept = [F.col(order).alias("seq")] if order else []
-    parsed = records.select(
-        F.from_json(F.col(value).cast("string"), OBSERVATION).alias("json"), *kept
-    )
-    return parsed.select("json.*", *(["seq"] if order else []))
+    observation = F.from_json(F.col(value).cast("string"), OBSERVATION)
+    # `inline` rather than `json.*`: filters on its columns stay above it. Pushed below a
+    # projection, each of them would parse the record once more.
+    return records.select(F.inline(F.array(observation)), *kept)
 
 
 def clean(

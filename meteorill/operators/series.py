@@ -160,10 +160,10 @@ def spatiotemporal_series(
 def temp_prcp_corr(weather: DataFrame) -> DataFrame:
     """Correlation of maximum temperature and precipitation over the years, by station and month.
 
-    Null where one of them does not vary.
+    Null where one of them does not vary; `corr` itself would raise under ANSI mode.
     """
-    varies = (F.min("AvgTmax") < F.max("AvgTmax")) & (F.min("AvgPrcp") < F.max("AvgPrcp"))
+    spread = F.stddev_pop("AvgTmax") * F.stddev_pop("AvgPrcp")
     return weather.groupBy("StationId", "Month").agg(
         F.count(F.lit(1)).alias("n_years"),
-        F.when(varies, F.corr("AvgTmax", "AvgPrcp")).alias("corr"),
+        F.try_divide(F.covar_pop("AvgTmax", "AvgPrcp"), spread).alias("corr"),
     )

@@ -36,3 +36,11 @@ def weather_from_observations(
 def weather_from_partials(partials: DataFrame) -> DataFrame:
     """Enriched partials of all micro-batches to the weather table."""
     return monthly_averages(merge_partials(partials)).select(WEATHER.names)
+
+
+def weather_from_daily(daily: DataFrame, stations: DataFrame, divisor: str = "count") -> DataFrame:
+    """First values by micro-batch to the weather table.
+
+    The first of a day's values over all batches counts, however the batches cut the day.
+    """
+    return weather_from_observations(daily.drop("batch_id"), stations, divisor)

@@ -14,13 +14,13 @@ from meteorill.functions.codes import fips_code
 from meteorill.functions.dates import month_of, year_of
 from meteorill.operators import classification, evaluate, features, monthly, profile, regression, series
 from meteorill.operators.observations import clean, parse_observations
-from meteorill.operators.stations import enrich, weather_from_partials
+from meteorill.operators.stations import enrich, weather_from_daily, weather_from_partials
 from meteorill.plans import fixtures as fx
 from meteorill.plans.workspace import new_folder
 from meteorill.schemas import RAW_RECORD
 from meteorill.sources import tables, text
 from meteorill.sources.stream import observation_stream
-from meteorill.streaming.ingest import batch_partials, progress, start_ingest
+from meteorill.streaming.ingest import batch_partials, progress, start_daily_ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -244,24 +244,28 @@ def temp_prcp_corr(spark, sf_dir):
 # Streaming
 
 
-def _ingest(spark: SparkSession, sf_dir: str):
-    """Write records as files, run them through the stream, and give its query and table.
-
-    A station's day lies in one file, so micro-batches do not cut it.
-    """
-    base = new_folder(spark)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = fx.obs(spark, sf_dir).repartition(files, "StationId", "Date")
-    fx.records(spread).write.parquet(f"{base}/records")
-    records = observation_stream(
+def _record_stream(spark: SparkSession, observations: DataFrame, base: str, files: int) -> DataFrame:
+    """Write observations as record files and read them as a stream of four micro-batches."""
+    fx.records(observations).write.parquet(f"{base}/records")
+    return observation_stream(
         spark,
         {"maxFilesPerTrigger": str(-(-files // 4))},
         source="parquet",
         schema=RAW_RECORD,
         path=f"{base}/records",
     )
+
+
+def _ingest(spark: SparkSession, sf_dir: str):
+    """Run the stream to its end, and give its query and table.
+
+    A station's day lies in one file, so micro-batches do not cut it.
+    """
+    base = new_folder(spark)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_day = fx.obs(spark, sf_dir).repartition(files, "StationId", "Date")
     stream = start_ingest(
-        records,
+        _record_stream(spark, by_day, base, files),
         fx.stations(spark, sf_dir),
         path=f"{base}/partials",
         checkpoint=f"{base}/checkpoint",
@@ -278,6 +282,23 @@ def stream_ingest(spark, sf_dir):
     return weather_from_partials(tables.read_partials(spark, path))
 
 
+@query
+def stream_daily_ingest(spark, sf_dir):
+    """The values of a day are spread over the micro-batches."""
+    base = new_folder(spark)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = fx.obs(spark, sf_dir).repartition(files, "seq")
+    stream = start_daily_ingest(
+        _record_stream(spark, spread, base, files),
+        path=f"{base}/daily",
+        checkpoint=f"{base}/checkpoint",
+        floor=fx.FLOOR,
+        trigger={"availableNow": True},
+    )
+    stream.awaitTermination()
+    return weather_from_daily(tables.read_daily(spark, f"{base}/daily"), fx.stations(spark, sf_dir))
+
+
 @query
 def stream_progress(spark, sf_dir):
     stream, _ = _ingest(spark, sf_dir)

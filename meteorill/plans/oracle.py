@@ -217,6 +217,7 @@ SELECTS = {
                then round(corr(AvgTmax, AvgPrcp), 6) end as corr
         from weather group by StationId, Month""",
     "stream_ingest": f"select {_WEATHER_COLUMNS} from weather",
+    "stream_daily_ingest": f"select {_WEATHER_COLUMNS} from weather",
     "rmse_overall": f"select round({_RMSE}, 6) as rmse from labelled",
     "rmse_by_country": f"""
         select split, FIPS_code, round({_RMSE}, 6) as rmse from labelled group by split, FIPS_code""",

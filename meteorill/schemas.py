@@ -70,6 +70,18 @@ PARTIALS = T.StructType(
     ]
 )
 
+# First values of each day, the finer alternative to the partials.
+DAILY = T.StructType(
+    [
+        T.StructField("StationId", T.StringType()),
+        T.StructField("Date", T.IntegerType()),
+        T.StructField("Variable", T.StringType()),
+        T.StructField("Value", T.IntegerType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 WEATHER = T.StructType(
     [
         T.StructField("StationId", T.StringType()),

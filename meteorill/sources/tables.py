@@ -1,18 +1,19 @@
-"""The two tables of the pipeline, kept as Parquet.
+"""The tables of the pipeline, kept as Parquet.
 
-`partials` has one directory for each micro-batch, so that a batch that runs again replaces
-what it wrote before. `weather` has one directory for each country, so that country
-predicates prune files.
+`partials` and `daily` have one directory for each micro-batch, so that a batch that runs
+again replaces what it wrote before. `weather` has one directory for each country, so that
+country predicates prune files.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from meteorill.schemas import PARTIALS, WEATHER
+from meteorill.schemas import DAILY, PARTIALS, WEATHER
 
 
-def write_partials(partials: DataFrame, path: str) -> None:
+def _write_batches(df: DataFrame, schema: StructType, path: str) -> None:
     (
-        partials.select(PARTIALS.names)
+        df.select(schema.names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
@@ -20,8 +21,25 @@ def write_partials(partials: DataFrame, path: str) -> None:
     )
 
 
+def _read(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    # The schema is given: no files are opened to find it, and an empty table has it too.
+    return spark.read.schema(schema).parquet(path).select(schema.names)
+
+
+def write_partials(partials: DataFrame, path: str) -> None:
+    _write_batches(partials, PARTIALS, path)
+
+
 def read_partials(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PARTIALS).parquet(path).select(PARTIALS.names)
+    return _read(spark, PARTIALS, path)
+
+
+def write_daily(daily: DataFrame, path: str) -> None:
+    _write_batches(daily, DAILY, path)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, DAILY, path)
 
 
 def write_weather(weather: DataFrame, path: str) -> None:
@@ -38,4 +56,4 @@ def write_weather(weather: DataFrame, path: str) -> None:
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WEATHER).parquet(path).select(WEATHER.names)
+    return _read(spark, WEATHER, path)

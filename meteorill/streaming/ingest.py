@@ -1,14 +1,16 @@
 """Observation stream to the partials table."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meteorill.operators.monthly import monthly_partials
+from meteorill.operators.monthly import daily_values, monthly_partials
 from meteorill.operators.observations import clean, parse_observations
 from meteorill.operators.stations import enrich
 from meteorill.schemas import DATE_FLOOR
-from meteorill.sources.tables import write_partials
+from meteorill.sources.tables import write_daily, write_partials
 
 
 def batch_partials(
@@ -19,6 +21,19 @@ def batch_partials(
     return partials.withColumn("batch_id", F.lit(epoch).cast("bigint"))
 
 
+def _start(
+    records: DataFrame, order: str | None, floor: int, store, checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    return (
+        clean(parse_observations(records, order=order), floor)
+        .writeStream.foreachBatch(store)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "2 seconds"}))
+        .start()
+    )
+
+
 def start_ingest(
     records: DataFrame,
     stations: DataFrame,
@@ -28,27 +43,41 @@ def start_ingest(
     floor: int = DATE_FLOOR,
     divisor: str = "count",
     trigger: dict | None = None,
-    write=write_partials,
+    write: Callable[[DataFrame, str], None] = write_partials,
 ) -> StreamingQuery:
-    """Parse, clean, aggregate and store each micro-batch.
+    """Parse, clean, aggregate and store each micro-batch as monthly partials.
 
     No state is kept: late data makes one more partial row, and merging the partials gives the
     totals. A batch that is run again after a failure replaces its own directory, and `write`
     may be another sink, such as a database. The unit of the daily first value is the
-    micro-batch: a station's day should arrive within one.
+    micro-batch: repeated values of a day that arrive in different ones count separately;
+    `start_daily_ingest` avoids that.
     """
-    observations = clean(parse_observations(records, order=order), floor)
 
     def store(batch: DataFrame, epoch: int) -> None:
         write(batch_partials(batch, epoch, stations, divisor), path)
 
-    return (
-        observations.writeStream.foreachBatch(store)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "2 seconds"}))
-        .start()
-    )
+    return _start(records, order, floor, store, checkpoint, trigger)
+
+
+def start_daily_ingest(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: str = "offset",
+    floor: int = DATE_FLOOR,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Store the first values of each micro-batch; months are made when the table is read.
+
+    The result does not depend on how the micro-batches cut the data. The table is larger.
+    """
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        first = daily_values(batch).withColumn("batch_id", F.lit(epoch).cast("bigint"))
+        write_daily(first, path)
+
+    return _start(records, order, floor, store, checkpoint, trigger)
 
 
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
