@@ -5,7 +5,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from meteorill.schemas import COUNTRIES, SEASON_BY_MONTH
+from meteorill.schemas import COUNTRIES, MONTH_NAMES, SEASON_BY_MONTH, SEASON_NAMES
 
 
 def fips_code(station: str = "StationId") -> Column:
@@ -28,6 +28,14 @@ def country_name(code: str = "FIPS_code") -> Column:
     return lookup(F.col(code), COUNTRIES)
 
 
+def month_name(month: str = "Month") -> Column:
+    return lookup(F.col(month), MONTH_NAMES)
+
+
+def season_name(season_number: str = "Season") -> Column:
+    return lookup(F.col(season_number), SEASON_NAMES)
+
+
 def season(code: str = "FIPS_code", month: str = "Month") -> Column:
     """Season 1..4 of a month by the calendar of the country, null for an unknown code or month."""
     chain = None

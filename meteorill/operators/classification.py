@@ -78,7 +78,7 @@ def fit_forests(
     include_label: bool = False,
     trees: int = 10,
     seed: int = 7,
-    parallelism: int = 3,
+    parallelism: int = 5,
 ) -> dict[str, PipelineModel]:
     """One model for each country with training rows, fitted a few at a time."""
     lists = label_lists(rows, label)
@@ -126,7 +126,3 @@ def forest_predictions(
             F.lit(None).cast("string").alias("prediction"),
         ).filter(F.lit(False))
     return reduce(DataFrame.unionByName, parts)
-
-
-def predictions_sample(predictions: DataFrame, n: int = 5) -> DataFrame:
-    return predictions.orderBy("FIPS_code", "StationId", "Year", "Month").limit(n)

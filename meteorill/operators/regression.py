@@ -74,7 +74,7 @@ def cross_validate(
     weather: DataFrame,
     grid: dict[str, list] = GRID,
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Validation RMSE of every setting in every fold.
 

@@ -5,9 +5,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meteorill.functions.codes import lookup
+from meteorill.functions.codes import country_name, month_name
 from meteorill.functions.numbers import from_tenths
-from meteorill.schemas import COUNTRIES, MONTH_NAMES
 
 SPATIAL_SQL = """
 select distinct StationId, LONGITUDE, LATITUDE, AvgPrcp
@@ -100,9 +99,9 @@ def spatial_slices(
         )
         .select(
             "FIPS_code",
-            lookup(F.col("FIPS_code"), COUNTRIES).alias("country"),
+            country_name().alias("country"),
             "Month",
-            lookup(F.col("Month"), MONTH_NAMES).alias("month_name"),
+            month_name().alias("month_name"),
             "StationId",
             "LONGITUDE",
             "LATITUDE",

@@ -10,10 +10,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.functions.codes import fips_code
+from meteorill.functions.codes import fips_code, season_name
 from meteorill.functions.dates import month_of, year_of
 from meteorill.operators import classification, evaluate, features, monthly, profile, regression, series
 from meteorill.operators.observations import clean, parse_observations
+from meteorill.operators.preview import preview
 from meteorill.operators.stations import enrich, weather_from_daily, weather_from_partials
 from meteorill.plans import fixtures as fx
 from meteorill.plans.workspace import new_folder
@@ -112,6 +113,11 @@ def monthly_partials(spark, sf_dir):
     return monthly.monthly_partials(fx.clean_obs(spark, sf_dir))
 
 
+@query
+def partials_sample(spark, sf_dir):
+    return preview(monthly_partials(spark, sf_dir), "StationId", "Year", "Month")
+
+
 @query
 def monthly_partials_by_batch(spark, sf_dir):
     return monthly.monthly_partials(fx.batched_obs(spark, sf_dir))
@@ -352,7 +358,9 @@ ROW = ["StationId", "Year", "Month"]
 
 @query
 def season_label(spark, sf_dir):
-    return features.with_season(fx.weather(spark, sf_dir)).select(*ROW, "FIPS_code", "Season")
+    return features.with_season(fx.weather(spark, sf_dir)).select(
+        *ROW, "FIPS_code", "Season", season_name().alias("season_name")
+    )
 
 
 @query
@@ -465,4 +473,5 @@ def rf_season_error(spark, sf_dir):
 @query
 def predictions_sample(spark, sf_dir):
     weather = published_weather(spark, sf_dir)
-    return classification.predictions_sample(classification.forest_predictions(weather, "Season"))
+    predictions = classification.forest_predictions(weather, "Season")
+    return preview(predictions, "FIPS_code", "StationId", "Year", "Month")

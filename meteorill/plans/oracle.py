@@ -167,6 +167,7 @@ SELECTS = {
           countTmax, cast(0 as bigint) as countTmin, countPrcp
         from monthly where countTmax > 0 or countPrcp > 0""",
     "monthly_partials": "select * from monthly",
+    "partials_sample": "select * from monthly order by StationId, Year, Month limit 5",
     "monthly_partials_by_batch": "select * from batches",
     "merge_partials": "select * from monthly",
     "enrich_stations": f"""
@@ -229,7 +230,11 @@ SELECTS = {
     "error_by_country": f"""
         select FIPS_code, round({_HIT}, 6) as accuracy, round(1 - {_HIT}, 6) as test_error
         from labelled group by FIPS_code""",
-    "season_label": "select StationId, Year, Month, FIPS_code, Season from labelled",
+    "season_label": """
+        select StationId, Year, Month, FIPS_code, Season,
+          case Season when 1 then 'spring' when 2 then 'summer' when 3 then 'autumn' else 'winter' end
+            as season_name
+        from labelled""",
     "train_test_split": "select StationId, Year, Month, split from labelled",
     "incomplete_rows": """
         select FIPS_code, count(*) as n_rows, count(*) filter (LATITUDE is null) as n_incomplete

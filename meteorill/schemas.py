@@ -23,7 +23,12 @@ SEASON_BY_MONTH = {
     "IS": (4, 4, 1, 1, 1, 2, 2, 2, 3, 3, 3, 4),
 }
 SEASON_NAMES = {1: "spring", 2: "summer", 3: "autumn", 4: "winter"}
-MONTH_NAMES = {2: "February", 8: "August"}
+MONTH_NAMES = dict(
+    enumerate(
+        "January February March April May June July August September October November December".split(),
+        start=1,
+    )
+)
 
 # Fixed value: observations before this day are not used.
 DATE_FLOOR = 19700101

@@ -2,6 +2,7 @@
 
 import math
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -29,7 +30,8 @@ def _rows(columns, rows):
 def assert_same(df, con, sql):
     result = con.execute(sql)
     columns = [d[0] for d in result.description]
-    assert sorted(df.columns) == sorted(columns)
+    types = {name: TYPES[t] for name, t in df.dtypes}
+    assert types == {d[0]: str(d[1]) for d in result.description}
     expected = _rows(columns, result.fetchall())
     actual = _rows(df.columns, [tuple(r) for r in df.collect()])
     assert len(actual) == len(expected)

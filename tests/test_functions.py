@@ -21,7 +21,7 @@ def test_station_prefix_equals_the_pattern(spark, rows):
     assert rows(by_prefix) == rows(by_pattern) == [("CH000000001",), ("CH1",)]
 
 
-# The rule for each country, written by season.
+# The months of each season, by country.
 SEASONS = {
     "CH": {1: [3, 4], 2: [5, 6, 7], 3: [8, 9, 10], 4: [11, 12, 1, 2]},
     "GM": {1: [3, 4, 5], 2: [6, 7, 8], 3: [9, 10, 11], 4: [12, 1, 2]},
@@ -45,8 +45,9 @@ def test_no_season(spark, code, month):
 
 
 def test_names(spark):
-    df = spark.createDataFrame([("GM",), ("XX",), (None,)], "FIPS_code string")
-    assert [r[0] for r in df.select(codes.country_name()).collect()] == ["Germany", None, None]
+    df = spark.createDataFrame([("GM", 8, 1), ("XX", 13, 5), (None, None, None)], "FIPS_code string, Month int, Season int")
+    got = df.select(codes.country_name(), codes.month_name(), codes.season_name()).collect()
+    assert [tuple(r) for r in got] == [("Germany", "August", "spring"), (None,) * 3, (None,) * 3]
 
 
 def test_ratio_of_nothing_is_null(spark):

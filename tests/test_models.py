@@ -7,6 +7,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from meteorill.operators import classification, evaluate, features, regression
+from meteorill.operators.preview import preview
 from meteorill.schemas import WEATHER
 
 
@@ -141,7 +142,7 @@ def test_country_without_training_rows(spark):
 
 def test_sample_is_ordered(weather):
     predictions = classification.forest_predictions(weather, "Month", ["GM", "CH"])
-    sample = classification.predictions_sample(predictions).collect()
+    sample = preview(predictions, "FIPS_code", "StationId", "Year", "Month").collect()
     keys = [(r.FIPS_code, r.StationId, r.Year, r.Month) for r in sample]
     assert len(keys) == 5 and keys == sorted(keys)
 
