@@ -250,9 +250,10 @@ def temp_prcp_corr(spark, sf_dir):
 # Streaming
 
 
-def _record_stream(spark: SparkSession, observations: DataFrame, base: str, files: int) -> DataFrame:
+def _record_stream(spark: SparkSession, observations: DataFrame, base: str) -> DataFrame:
     """Write observations as record files and read them as a stream of four micro-batches."""
-    fx.records(observations).write.parquet(f"{base}/records")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fx.records(observations.repartition(files)).write.parquet(f"{base}/records")
     return observation_stream(
         spark,
         {"maxFilesPerTrigger": str(-(-files // 4))},
@@ -263,15 +264,10 @@ def _record_stream(spark: SparkSession, observations: DataFrame, base: str, file
 
 
 def _ingest(spark: SparkSession, sf_dir: str):
-    """Run the stream to its end, and give its query and table.
-
-    A station's day lies in one file, so micro-batches do not cut it.
-    """
+    """Run the stream to its end, and give its query and table."""
     base = new_folder(spark)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_day = fx.obs(spark, sf_dir).repartition(files, "StationId", "Date")
     stream = start_ingest(
-        _record_stream(spark, by_day, base, files),
+        _record_stream(spark, fx.unique_obs(spark, sf_dir), base),
         fx.stations(spark, sf_dir),
         path=f"{base}/partials",
         checkpoint=f"{base}/checkpoint",
@@ -290,12 +286,10 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_daily_ingest(spark, sf_dir):
-    """The values of a day are spread over the micro-batches."""
+    """Repeated values of a day, spread over the micro-batches."""
     base = new_folder(spark)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = fx.obs(spark, sf_dir).repartition(files, "seq")
     stream = start_daily_ingest(
-        _record_stream(spark, spread, base, files),
+        _record_stream(spark, fx.obs(spark, sf_dir), base),
         path=f"{base}/daily",
         checkpoint=f"{base}/checkpoint",
         floor=fx.FLOOR,

@@ -68,6 +68,21 @@ def obs(spark: SparkSession, sf_dir: str, since: int | None = None) -> DataFrame
     )
 
 
+def unique_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One value for each station, day, variable and flag, as in a station archive.
+
+    Cleaning it leaves a single value of each variable and day, so micro-batches may cut it
+    anywhere.
+    """
+    keys = [name for name in OBSERVATION.names if name != "Value"]
+    first = (
+        obs(spark, sf_dir)
+        .groupBy(*keys)
+        .agg(F.min_by("Value", "seq").alias("Value"), F.min("seq").alias("seq"))
+    )
+    return first.select(*OBSERVATION.names, "seq")
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine of ten suppliers, so that some observations have no station."""
     number = F.col("s_suppkey")

@@ -44,6 +44,16 @@ def test_stream_equals_batch(spark, small_dir, tmp_path, expected, files):
     assert progress.agg(F.sum("input_rows")).first()[0] == fx.obs(spark, small_dir).count()
 
 
+def test_days_cut_by_batches_merge(spark, small_dir, tmp_path, expected):
+    """With one value for each day and variable, batches may cut days anywhere."""
+    base = str(tmp_path)
+    fx.records(fx.unique_obs(spark, small_dir).repartition(5)).write.parquet(f"{base}/records")
+    run(spark, small_dir, base, stations=fx.stations(spark, small_dir))
+    partials = tables.read_partials(spark, f"{base}/table")
+    assert partials.select("batch_id").distinct().count() == 5
+    assert sorted(map(str, weather_from_partials(partials).collect())) == expected
+
+
 def test_restart_adds_only_new_records(spark, small_dir, tmp_path):
     base = str(tmp_path)
     write_records(spark, small_dir, f"{base}/records", 2, "StationId", "Date")
