@@ -12,7 +12,8 @@ def parse_observations(records: DataFrame, value: str = "value", order: str | No
     """JSON records to observation columns.
 
     `order` names a column of the record, such as its offset; it is kept as `seq` and decides
-    which of several values of a station, day and variable is the first one.
+    which of several values of a station, day and variable is the first one. It should differ
+    between a station's records, as the offset does when messages are keyed by station.
     """
     kept = [F.col(order).alias("seq")] if order else []
     observation = F.from_json(F.col(value).cast("string"), OBSERVATION)
