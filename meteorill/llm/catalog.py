@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import url_filter
+from meteorill.llm import decontamination, quality_rules, secret_scan, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,48 @@ def op4_url_filters(spark, sf_dir):
     host, path = url_filter.url_host(F.col("url")), url_filter.url_path(F.col("url"))
     universe = pages.select(F.concat(host, path).alias("key"), host.rlike(BAIT_HOST).alias("listed"))
     return url_filter.judge(pages, url_filter.build_cascade(universe), URL_RULES)
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    """A decision list learned from `labels.quality`, over the statistics of every document."""
+    statistics = quality_rules.text_statistics(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg((F.min("quality") == 0).alias("bad"))
+    rules = quality_rules.learn(statistics.where(~quality_rules.base_failed()).join(labels, "doc_id"))
+    judged = quality_rules.judge(statistics, rules)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept")
+
+
+@query
+def op2_benchmark_decontamination(spark, sf_dir):
+    """Words of every document inside occurrences of ten-word windows of `benchmark`."""
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op10_secret_scans(spark, sf_dir):
+    """Secrets of every document; its source is the owner, and a source's language a repository."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.find_candidates(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+    spans, base = F.col("spans"), F.filter("spans", lambda s: s["kind"] != "generic")
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secret_scan.judge(found).select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secret_scan.rendered(base), 256).alias("base_sha256"),
+        secret_scan.rendered(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+    )

@@ -26,6 +26,36 @@ select page_id, host, path,
 from parsed
 """
 
+DECONTAMINATION = """
+with doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+  from documents),
+item_words as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+  from benchmark),
+item_windows as (
+  select item_id, least(10, len(words)) as size, array_to_string(words[s:s + 9], ' ') as phrase
+  from (select *, unnest(range(1, greatest(1, len(words) - 9) + 1)) as s from item_words where len(words) > 0)),
+doc_windows as (
+  select doc_id, s, size, array_to_string(words[s:s + size - 1], ' ') as phrase
+  from (select *, unnest(range(1, len(words) - size + 2)) as s
+        from doc_words cross join (select distinct size from item_windows) where len(words) >= size)),
+found as (select distinct doc_id, s, d.size, item_id from doc_windows d join item_windows i using (phrase)
+          where d.size = i.size),
+hits as (select doc_id, count(distinct p) as n_hit
+         from (select doc_id, unnest(range(s, s + size)) as p from found) group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+          from (select distinct doc_id, item_id from found) group by doc_id)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hits using (doc_id) left join items using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": URL_FILTERS}
+    return {"op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
