@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import decontamination, quality_rules, secret_scan, url_filter
+from meteorill.llm import decontamination, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, toxicity, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,50 @@ def op10_secret_scans(spark, sf_dir):
         secret_scan.rendered(spans).alias("spans"),
         F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
     )
+
+
+@query
+def op9_packing(spark, sf_dir):
+    """All of `documents` in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op3_resharding(spark, sf_dir):
+    """`documents` from 32 shards by text, which copies make uneven, to 40 of equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.xxhash64("text"), F.lit(32))
+    written = resharding.rewrite(docs.select("doc_id", "text"), old, resharding.plan_resharding(docs, old, 40))
+    return written.select(
+        "doc_id",
+        resharding.document_size().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    """The language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True)).alias("held_out")
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.predict(docs, model, keep=["doc_id", held_out])
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    """Probabilities of the chain for every document, and whether it is toxic."""
+    docs = table(spark, sf_dir, "documents")
+    judged = toxicity.judge(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), F.col("flagged").alias("toxic"))
+
+
+@query
+def op8_ngram_jaccard_join(spark, sf_dir):
+    """The component of every document under links of 80 percent similarity of five-word shingles."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))

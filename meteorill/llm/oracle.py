@@ -56,6 +56,31 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from doc_words left join hits using (doc_id) left join items using (doc_id)
 """
 
+JACCARD = """
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(words[s:s + 4], ' ') as shingle
+  from (select *, unnest(range(1, greatest(1, len(words) - 4) + 1)) as s from words where len(words) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as common
+  from shingles a join shingles b using (shingle) where a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from shared join sizes s on s.doc_id = x join sizes t on t.doc_id = y
+  where 100 * common >= 80 * (s.n + t.n - common)),
+ways as (select x, y from links union all select y, x from links),
+reached as (
+  select doc_id as x, doc_id as y from documents
+  union
+  select r.x, b.y from reached r join ways b on r.y = b.x)
+select r.x as doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(y) as component_id
+from reached r left join sizes on sizes.doc_id = r.x group by r.x
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
+    return {"op8_ngram_jaccard_join": JACCARD, "op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
