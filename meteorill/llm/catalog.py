@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import decontamination, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, toxicity, url_filter
+from meteorill.llm import decontamination, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, suffix_dedup, toxicity, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,10 @@ def op1_toxicity(spark, sf_dir):
 def op8_ngram_jaccard_join(spark, sf_dir):
     """The component of every document under links of 80 percent similarity of five-word shingles."""
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array_dedup(spark, sf_dir):
+    """What is left of every document without strings of 100 bytes that start earlier, too."""
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
