@@ -125,7 +125,7 @@ def _hit_positions(window: int) -> Column:
 
 def exact_matches(docs: DataFrame, index: Index, found: DataFrame, *, window: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Every document with n_words, hits (positions) and item_ids (sorted), in rows of
-    (row, doc_id, n_words, hits, item_ids); `found` are the candidates.
+    (row, doc_id, text_hash, n_words, hits, item_ids); `found` are the candidates.
 
     Each document's words are read once more, beside the candidates they are cut to.
     """
@@ -143,7 +143,7 @@ def exact_matches(docs: DataFrame, index: Index, found: DataFrame, *, window: in
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     small = bounded(wanted, found.count(), max_broadcast_rows)
     both = texts.join(small, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")), "left")
-    rows = stored(both.select("doc_id", let(text_words(), cut).alias("cut")).select("doc_id", F.col("cut.n_words").alias("n_words"), F.col("cut.pieces").alias("pieces")).withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(both.select(*DOCUMENT, let(text_words(), cut).alias("cut")).select(*DOCUMENT, F.col("cut.n_words").alias("n_words"), F.col("cut.pieces").alias("pieces")).withColumn("row", F.monotonically_increasing_id()))
     pieces = rows.where("size(pieces) > 0").select("row", F.inline("pieces")).join(index.items, "item")
     matched = pieces.select("row", "item_id", _hit_positions(window).alias("hits")).where("size(hits) > 0")
     matched = matched.groupBy("row").agg(
@@ -152,7 +152,7 @@ def exact_matches(docs: DataFrame, index: Index, found: DataFrame, *, window: in
     )
     nothing = F.array().cast("array<int>"), F.array().cast("array<string>")
     return rows.drop("pieces").join(matched, "row", "left").select(
-        "row", "doc_id", "n_words", F.coalesce("hits", nothing[0]).alias("hits"), F.coalesce("item_ids", nothing[1]).alias("item_ids")
+        "row", *DOCUMENT, "n_words", F.coalesce("hits", nothing[0]).alias("hits"), F.coalesce("item_ids", nothing[1]).alias("item_ids")
     )
 
 
@@ -160,3 +160,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     """Exact phrase matches of benchmark windows in every document; see `exact_matches`."""
     index = build_index(docs, benchmark)
     return exact_matches(docs, index, candidates(index, window=window, rarest=rarest), window=window)
+
+
+def keep_clean(docs: DataFrame, matches: DataFrame, *, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`docs` without those that `matches` finds hit."""
+    hit = stored(matches.where("size(hits) > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    small = bounded(hit, hit.count(), max_broadcast_rows)
+    return docs.join(small, docs["doc_id"].eqNullSafe(small["__id"]) & (F.xxhash64(docs["text"]) == small["__hash"]), "left_anti")

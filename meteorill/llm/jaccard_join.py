@@ -40,6 +40,7 @@ COMMON = 64
 MAX_COMMON = 1 << 17
 #: N-grams that a task counts at a time.
 COUNTED = 1 << 21
+#: Rounds of one partner for each set before all remaining pairs are counted.
 MAX_ROUNDS = 4
 #: Documents whose n-grams a task holds at a time.
 ROWS = 500
@@ -106,7 +107,7 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def document_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class, n) of every document, stored; equal sets have equal class and n."""
+    """(doc_id, text_hash, class, n) of every document, stored; equal sets have equal class and n."""
 
     def run(batches):
         for batch, sets in _texts(batches):
@@ -115,7 +116,8 @@ def document_classes(docs: DataFrame) -> DataFrame:
             yield kept.append_column("n", pa.array([len(s) for s in sets], pa.int64()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, class bigint, n bigint"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
+    return stored(texts.mapInArrow(run, f"doc_id {kind}, text_hash bigint, class bigint, n bigint"))
 
 
 def common_shingles(docs: DataFrame, *, common: int = COMMON, most: int = MAX_COMMON) -> dict[int, int]:
@@ -328,32 +330,57 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(leaves.unionByName(edges.select(F.col("v").alias("class"), F.col("v").alias("group")).distinct()))
 
 
-def near_duplicates(docs: DataFrame, *, common: int = COMMON, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of `docs`."""
+def grouped_documents(docs: DataFrame, *, common: int = COMMON, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """(doc_id, text_hash, n, group) of every row of `docs`; group is null without n-grams, else the same for all that are connected."""
     classes = document_classes(docs)
     order = Order(common_shingles(docs, common=common))
     shared = shared_prefixes(prefixes(docs, order))
-    links = groups = None
+    groups: DataFrame | None = None
 
-    def grouped():
+    def now() -> DataFrame:
         if groups is None:
             return shared.withColumn("group", F.col("class"))
         return shared.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
 
+    last = False
     for turn in range(max_rounds + 1):
-        pairs = _star_pairs(grouped(), turn) if turn < max_rounds else _remaining_pairs(grouped())
-        found = linked(docs, classes, pairs)
-        if found.isEmpty():
-            if turn < max_rounds:
-                found = linked(docs, classes, _remaining_pairs(grouped()))
-                if not found.isEmpty():
-                    groups = components(found if links is None else links.unionByName(found))
+        last = last or turn == max_rounds
+        found = linked(docs, classes, _remaining_pairs(now()) if last else _star_pairs(now(), turn))
+        if not found.isEmpty():
+            known = found if groups is None else found.unionByName(groups.select("class", F.col("group").alias("other")))
+            groups = components(known)
+        elif not last:
+            found = linked(docs, classes, _remaining_pairs(now()))
+            if not found.isEmpty():
+                groups = components(found if groups is None else found.unionByName(groups.select("class", F.col("group").alias("other"))))
+            last = True
+        if last:
             break
-        links = found if groups is None else groups.select("class", F.col("group").alias("other")).unionByName(found)
-        groups = components(links)
-        links = groups.select("class", F.col("group").alias("other"))
-    placed = classes.withColumn("group", F.col("class")) if groups is None else classes.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    placed = placed.withColumn("group", F.when(F.col("n") > 0, F.col("group")))
-    least = placed.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    joined = placed.join(least, "group", "left")
+    own = F.when(F.col("n") > 0, F.col("class"))
+    if groups is None:
+        return classes.select("doc_id", "text_hash", "n", own.alias("group"))
+    joined = classes.join(groups, "class", "left")
+    return joined.select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("group", "class")).alias("group"))
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of `docs`: the least id its group holds, its own without n-grams."""
+    grouped = grouped_documents(docs, **options)
+    least = grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    joined = grouped.join(least, "group", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """`docs` with one row of each group, that of the least id, and all rows without n-grams."""
+    grouped = stored(grouped_documents(docs, **options))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = grouped.where("group is not null").groupBy("group").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("first"))
+    empty = grouped.where("group is null").select("doc_id", "text_hash").distinct()
+    kept = stored(first.select("first.*").unionByName(empty).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    small = bounded(kept, kept.count(), MAX_BROADCAST_ROWS)
+    rows = docs.join(small, docs["doc_id"].eqNullSafe(small["__id"]) & (F.xxhash64(docs["text"]) == small["__hash"]), "left_semi")
+    if not _repeated(grouped):
+        return rows
+    blank = F.trim(F.translate(text_or_empty(), "\t\n\x0b\f\r", "     ")) == ""
+    return rows.where(~blank).dropDuplicates(["doc_id", "text"]).unionByName(rows.where(blank))

@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteorill.llm.tables import stored, text_or_empty
+from meteorill.llm.tables import let, stored, text_or_empty
 
 #: Labelled documents, about, that the chain is fitted on.
 MAX_TRAINING_ROWS = 20_000
@@ -32,8 +32,18 @@ REG_PARAM = 1e-3
 FLAG = 0.5
 
 
+#: A longer word also counts by its beginning, marked with a caret, so that its relatives are known by it.
+BEGINNING, LONGER_THAN = 4, 5
+
+
 def distinct_words(text: Column) -> Column:
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), "")
+    """Words of letters and digits in lower case, and the beginnings of long ones, each once."""
+
+    def with_beginnings(words):
+        long = F.filter(words, lambda w: F.length(w) > LONGER_THAN)
+        return F.array_union(words, F.transform(long, lambda w: F.concat(F.lit("^"), F.substring(w, 1, BEGINNING))))
+
+    return let(F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), ""), with_beginnings)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
