@@ -126,7 +126,7 @@ def learn(train: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS,
         points = vectors(group["text"].tolist(), idf)
         points = points[np.linalg.norm(points, axis=1) > 0]
         if not len(points):
-            return pd.DataFrame({"lang": [], "centroid": [], "radius": []})
+            return pd.DataFrame({"lang": [], "centroid": pd.Series([], dtype=object), "radius": []})
         found, cosines = _clusters(points, centroids)
         own = np.argmax(cosines, axis=1)
         radii = [float(np.quantile(cosines[own == k, k], OUTSIDE)) if (own == k).any() else 1.0 for k in range(len(found))]

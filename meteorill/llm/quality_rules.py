@@ -83,21 +83,21 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def _share(part: str, whole: str) -> Column:
-    return F.col(part) / F.greatest(F.col(whole), F.lit(1))
-
-
 #: What conditions may be about.
 FEATURES = {
-    "words": F.col("n_words").cast("double"),
-    "word_length": _share("word_chars", "n_words"),
-    "symbol_share": _share("n_symbols", "word_chars"),
-    "capital_share": _share("n_capitals", "word_chars"),
-    "repeat_share": _share("n_repeat_words", "n_words"),
-    "duplicate_line_share": _share("n_dup_lines", "n_lines"),
+    "words": "cast(n_words as double)",
+    "word_length": "word_chars / greatest(n_words, 1)",
+    "symbol_share": "n_symbols / greatest(word_chars, 1)",
+    "capital_share": "n_capitals / greatest(word_chars, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "duplicate_line_share": "n_dup_lines / greatest(n_lines, 1)",
 }
 
 
+def features() -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in FEATURES.items()]
+
+
 @dataclass(frozen=True)
 class Condition:
     """`feature` at least the threshold, or below it."""
@@ -198,25 +198,25 @@ def learn(
     Thresholds are quantiles of all labelled rows. Learning stops at a rule whose precision or
     cover on the pruning rows is too low.
     """
-    features = list(FEATURES)
-    rows = labelled.where("bad is not null").select("bad", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"), *(c.alias(f) for f, c in FEATURES.items()))
+    names = list(FEATURES)
+    rows = labelled.where("bad is not null").select("bad", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"), *features())
     rows = stored(rows)
     cuts = [k / bins for k in range(1, bins)]
-    quantiles = rows.agg(*(F.percentile_approx(f, cuts, 10_000).alias(f) for f in features)).first()
-    thresholds = {f: sorted(set(quantiles[f] or [])) for f in features}
+    quantiles = rows.agg(*(F.percentile_approx(f, cuts, 10_000).alias(f) for f in names)).first()
+    thresholds = {f: sorted(set(quantiles[f] or [])) for f in names}
 
     def binned(f):
         known = F.array(*(F.lit(t) for t in thresholds[f])).cast("array<double>")
         return F.size(F.filter(known, lambda t: F.col(f) >= t)).alias(f)
 
-    rows = stored(rows.select("*", F.array(*(binned(f) for f in features)).alias("bins")))
+    rows = stored(rows.select("*", F.array(*(binned(f) for f in names)).alias("bins")))
     rules: list[Rule] = []
     while len(rules) < max_rules:
         left = rows.where(~DecisionList(tuple(rules)).rule_number().isNotNull())
         grow, prune = left.where("part < 2"), left.where("part = 2")
         rule: Rule = ()
         while len(rule) < max_conditions:
-            condition, _ = _best_condition(grow.where(fits(rule)), features, thresholds)
+            condition, _ = _best_condition(grow.where(fits(rule)), names, thresholds)
             if condition is None:
                 break
             rule += (condition,)
@@ -236,7 +236,7 @@ def base_failed() -> Column:
 
 def judge(statistics: DataFrame, rules: DecisionList) -> DataFrame:
     """`statistics` with base_failed, rule (number of the first that fits) and kept."""
-    judged = statistics.select("*", *(c.alias(f) for f, c in FEATURES.items()))
+    judged = statistics.select("*", *features())
     return judged.select(
         *statistics.columns, base_failed().alias("base_failed"), rules.rule_number().alias("rule")
     ).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())

@@ -26,8 +26,8 @@ from meteorill.plans.workspace import new_folder
 #: Bytes that a document takes besides its text.
 OVERHEAD = 16
 BLOCKS = 512
-#: Files of a new shard are written by so many tasks.
-PARTS = 4
+#: A new shard is written by so many tasks at least, and by more if each would get more than so many bytes.
+PARTS, TASK_BYTES = 4, 256 << 20
 
 
 def document_size(text: str = "text") -> Column:
@@ -178,6 +178,7 @@ def plan_resharding(docs: DataFrame, old_shard: Column, new_shards: int, *, bloc
 def place(docs: DataFrame, old_shard: Column, plan: Plan, *, blocks: int = BLOCKS, parts: int = PARTS) -> DataFrame:
     """`docs` with shard, slot (gapless from 0 in each shard) and moved, dealt to tasks by parts of shards."""
     rows, filled = [], [0] * plan.new_shards
+    parts = max(parts, -(-max(plan.sizes(), default=0) // TASK_BYTES))
     for number, (block, shard) in enumerate(sorted(plan.places.items(), key=lambda x: (x[0].old, x[0].block))):
         rows.append((block.old, block.block, shard, number % parts, filled[shard]))
         filled[shard] += block.rows
