@@ -41,7 +41,7 @@ MAX_COMMON = 1 << 17
 #: N-grams that a task counts at a time.
 COUNTED = 1 << 21
 #: Rounds of one partner for each set before all remaining pairs are counted.
-MAX_ROUNDS = 4
+MAX_ROUNDS = 2
 #: Documents whose n-grams a task holds at a time.
 ROWS = 500
 MAX_BROADCAST_ROWS = 500_000
@@ -208,14 +208,22 @@ def prefixes(docs: DataFrame, order: Order) -> DataFrame:
 
 
 def shared_prefixes(prefix: DataFrame) -> DataFrame:
-    """Rows of `prefix` whose token more than one class has, each class once, stored."""
-    twice = prefix.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
-    rows = prefix.join(twice, "token").distinct()
-    return stored(rows)
+    """Rows of `prefix` whose token occurs more than once, each class once, with two figures of the
+    class: `alone`, how many n-grams of its beginning no other row has, and `weight`, how often the
+    others occur in all. Stored.
+    """
+    twice = prefix.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
+    rows = stored(prefix.join(twice, "token").distinct())
+    figures = rows.groupBy("class").agg(F.count("*").alias("known"), F.sum("rows").alias("weight"))
+    joined = rows.drop("rows").join(figures, "class")
+    return stored(joined.withColumn("alone", F.col("size") - F.col("known")).drop("known"))
 
 
-def _compatible(n1: Column, n2: Column) -> Column:
-    return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * PERCENT
+def _compatible() -> Column:
+    """Whether sizes, and what either set has alone, leave room for a link."""
+    n, other = F.col("n"), F.col("other_n")
+    most = F.least(n - F.col("alone"), other - F.col("other_alone"))
+    return (F.least(n, other) * 100 >= F.greatest(n, other) * PERCENT) & ((100 + PERCENT) * most >= PERCENT * (n + other))
 
 
 def _bounded_pairs(met: DataFrame) -> DataFrame:
@@ -233,18 +241,20 @@ def _bounded_pairs(met: DataFrame) -> DataFrame:
     return pairs.where(enough).select("class", "n", "other", "other_n", "common")
 
 
-OTHER = {"class": "other", "n": "other_n", "place": "other_place", "size": "other_size", "last": "other_last", "group": "other_group"}
+OTHER = {"class": "other", "n": "other_n", "place": "other_place", "size": "other_size", "last": "other_last", "alone": "other_alone", "group": "other_group"}
 
 
 def _star_pairs(shared: DataFrame, turn: int) -> DataFrame:
     """For each class the partner of another group that shares most with it, among one for each token.
 
-    `shared` has `group`, what a class is connected with so far.
+    `shared` has `group`, what a class is connected with so far. First the partner is the class whose
+    n-grams are the most common ones, such as the original of many copies; later it is one by chance.
     """
     columns = [c for c in OTHER if c in shared.columns]
-    leader = shared.groupBy("token").agg(F.min_by(F.struct(*columns), F.xxhash64(F.lit(turn), F.col("group"), F.col("class"))).alias("leader"))
+    rank = F.xxhash64(F.lit(turn), "group", "class") if turn else F.col("weight") / F.col("size")
+    leader = shared.groupBy("token").agg(F.max_by(F.struct(*columns), F.struct(rank, "class")).alias("leader"))
     leader = leader.select("token", *(F.col(f"leader.{c}").alias(OTHER[c]) for c in columns))
-    met = shared.join(leader, "token").where((F.col("group") != F.col("other_group")) & _compatible(F.col("n"), F.col("other_n")))
+    met = shared.join(leader, "token").where((F.col("group") != F.col("other_group")) & _compatible())
     best = _bounded_pairs(met).groupBy("class", "n").agg(F.max_by(F.struct("other", "other_n"), F.struct("common", "other")).alias("best"))
     return best.select("class", "n", "best.other", "best.other_n")
 
@@ -255,7 +265,7 @@ def _remaining_pairs(shared: DataFrame) -> DataFrame:
     mixed = shared.join(groups.where("least <> most").select("token"), "token")
     columns = [c for c in OTHER if c in shared.columns]
     other = mixed.select("token", *(F.col(c).alias(OTHER[c]) for c in columns))
-    met = mixed.join(other, "token").where((F.col("class") < F.col("other")) & (F.col("group") != F.col("other_group")) & _compatible(F.col("n"), F.col("other_n")))
+    met = mixed.join(other, "token").where((F.col("class") < F.col("other")) & (F.col("group") != F.col("other_group")) & _compatible())
     return _bounded_pairs(met).drop("common")
 
 
