@@ -8,6 +8,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,31 +99,27 @@ def forest_predictions(
     label: str = "Month",
     codes: Iterable[str] = tuple(COUNTRIES),
     include_label: bool = False,
+    with_features: bool = False,
     **options,
 ) -> DataFrame:
-    """Predictions for the test rows of every country.
+    """Predictions for the test rows of every country, with the feature vectors if asked for.
 
-    The label is not among the features unless `include_label` asks for it. A country without
+    A row that lacks a coordinate has no vector and a null prediction. The label is not among the features unless `include_label` asks for it. A country without
     training rows has no predictions.
     """
     rows = labelled_rows(weather, label, codes)
     models = fit_forests(rows, label, include_label, **options)
     test = rows.filter("split = 'test'")
-    parts = [
-        model.transform(test.filter(F.col("FIPS_code") == code)).select(
-            "StationId",
-            "Year",
-            "Month",
-            "FIPS_code",
-            F.col(label).cast("string").alias("label"),
-            F.col("predictedLabel").alias("prediction"),
-        )
-        for code, model in models.items()
-    ]
-    if not parts:
-        return test.select(
-            "StationId", "Year", "Month", "FIPS_code",
-            F.col(label).cast("string").alias("label"),
-            F.lit(None).cast("string").alias("prediction"),
-        ).filter(F.lit(False))
+    keys = ["StationId", "Year", "Month", "FIPS_code", F.col(label).cast("string").alias("label")]
+    nothing = [F.lit(None).cast("string").alias("prediction")]
+    found = [F.col("predictedLabel").alias("prediction")]
+    if with_features:
+        nothing.append(F.lit(None).cast("array<double>").alias("features"))
+        found.append(vector_to_array("features").alias("features"))
+    incomplete = F.lit(False)
+    for column in COORDINATES:
+        incomplete = incomplete | F.col(column).isNull()
+    parts = [test.filter(incomplete & F.col("FIPS_code").isin(list(models))).select(*keys, *nothing)]
+    for code, model in models.items():
+        parts.append(model.transform(test.filter(F.col("FIPS_code") == code)).select(*keys, *found))
     return reduce(DataFrame.unionByName, parts)

@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 from meteorill.functions.codes import season
 from meteorill.schemas import COORDINATES
 
+# The models' columns, in the order of the feature vector.
 TEMPERATURES = ("AvgTmin", "AvgTmax")
 REGRESSION_SCALARS = ("Month", "Year", "AvgTmin", "AvgTmax", "LONGITUDE", "LATITUDE", "ELEVATION")
 FOREST_SCALARS = ("AvgPrcp", "AvgTmin", "AvgTmax", "Year")
 
 
+#: Values of the four hexadecimal digits that a row's bucket comes from.
+HASH_VALUES = 1 << 16
+
+
 def _row_key() -> Column:
     return F.concat_ws("|", "StationId", "Year", "Month")
 
 
 def row_bucket(buckets: int) -> Column:
     """A bucket for each station and month that depends on nothing but these."""
+    if not 0 < buckets <= HASH_VALUES:
+        raise ValueError(f"buckets must be from 1 to {HASH_VALUES}")
     number = F.conv(F.substring(F.md5(_row_key()), 1, 4), 16, 10).cast("int")
     return number % buckets
 
@@ -62,13 +69,14 @@ def country_encoder() -> list:
     ]
 
 
-def regression_features(with_temperature: bool = True) -> Pipeline:
+def regression_vector(with_temperature: bool = True, output: str = "features") -> VectorAssembler:
     """Scalars and the encoded country as one vector; rows with a missing scalar are skipped."""
     scalars = [c for c in REGRESSION_SCALARS if with_temperature or c not in TEMPERATURES]
-    assembler = VectorAssembler(
-        inputCols=[*scalars, "FIPS_vec"], outputCol="features", handleInvalid="skip"
-    )
-    return Pipeline(stages=[*country_encoder(), assembler])
+    return VectorAssembler(inputCols=[*scalars, "FIPS_vec"], outputCol=output, handleInvalid="skip")
+
+
+def regression_features(with_temperature: bool = True) -> Pipeline:
+    return Pipeline(stages=[*country_encoder(), regression_vector(with_temperature)])
 
 
 def location_features(scalars: Iterable[str] = FOREST_SCALARS, more: Iterable[str] = ()) -> list:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meteorill.functions.dates import month_of, year_of
 from meteorill.functions.numbers import ratio
-from meteorill.schemas import COORDINATES, VARIABLES
+from meteorill.schemas import VARIABLES
 
 # Column suffix of each variable in the monthly tables.
 SUFFIX = {"TMAX": "Tmax", "TMIN": "Tmin", "PRCP": "Prcp"}
@@ -68,10 +68,13 @@ def monthly_partials(observations: DataFrame, divisor: str = "count") -> DataFra
     """Sums and divisors for each station and month (and batch).
 
     divisor: `count` counts days, which makes a true mean that merges over batches.
-    `distinct` counts distinct values, `approx_distinct` estimates that number.
+    `distinct` counts distinct values, `approx_distinct` estimates that number; neither merges, so
+    input that carries batches is refused.
     """
     if divisor not in DIVISORS:
         raise ValueError(f"divisor must be one of {DIVISORS}")
+    if divisor != "count" and _batch(observations):
+        raise ValueError(f"divisor {divisor!r} cannot be merged over batches")
     keys = [*_batch(observations), "StationId", "Month", "Year"]
 
     if divisor == "distinct":
@@ -100,10 +103,9 @@ def monthly_partials(observations: DataFrame, divisor: str = "count") -> DataFra
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Partial sums of all batches to one row for each station and month.
 
-    Country and coordinates stay in the key where the partials carry them.
+    Coordinates that the partials carry play no part: they may have come or changed in between.
     """
-    carried = [c for c in ("FIPS_code", *COORDINATES) if c in partials.columns]
-    return partials.groupBy("StationId", "Month", "Year", *carried).agg(
+    return partials.groupBy("StationId", "Month", "Year").agg(
         *[F.sum(c).alias(c) for c in [*SUMS, *COUNTS]]
     )
 

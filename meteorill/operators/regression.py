@@ -5,14 +5,21 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteorill.functions.metrics import rmse
-from meteorill.operators.features import REGRESSION_SCALARS, regression_features, row_bucket, with_split
+from meteorill.operators.features import (
+    REGRESSION_SCALARS,
+    country_encoder,
+    regression_features,
+    regression_vector,
+    row_bucket,
+    with_split,
+)
 
 LABEL = "AvgPrcp"
 COLUMNS = ["StationId", "FIPS_code", *REGRESSION_SCALARS, LABEL]
@@ -47,23 +54,42 @@ def fit_linear(
 def linear_predictions(weather: DataFrame, with_temperature: bool = True, **settings) -> DataFrame:
     """Predictions for train and test rows alike, told apart by `split`."""
     features, model = fit_linear(weather, with_temperature, **settings)
-    rows = features.transform(with_split(weather.select(COLUMNS)))
-    return model.transform(rows).select(
-        "StationId", "Year", "Month", "FIPS_code", "split", F.col(LABEL).alias("label"), "prediction"
-    )
+    return predict(weather, features, model)
+
+
+def predict(weather: DataFrame, features: PipelineModel, model: LinearRegressionModel) -> DataFrame:
+    """Predictions for every row; one that lacks a feature keeps its place with a null."""
+    *encoder, assembler = features.stages
+    rows = PipelineModel(encoder).transform(with_split(weather.select(COLUMNS)))
+    rows = model.transform(assembler.copy().setHandleInvalid("keep").transform(rows))
+    known = F.when(~F.isnan("prediction"), F.col("prediction")).alias("prediction")
+    return rows.select("StationId", "Year", "Month", "FIPS_code", "split", F.col(LABEL).alias("label"), known)
 
 
 def ablation(weather: DataFrame) -> DataFrame:
-    """RMSE by country and split, with and without the temperature features."""
-    results = []
-    for name, with_temperature in (("all", True), ("no_temperature", False)):
-        predictions = linear_predictions(weather, with_temperature)
-        results.append(
-            predictions.groupBy("split", "FIPS_code")
-            .agg(rmse().alias("rmse"))
-            .select(F.lit(name).alias("features"), "split", "FIPS_code", "rmse")
-        )
-    return results[0].unionByName(results[1])
+    """RMSE by country and split, with and without the temperature features.
+
+    The country index is fitted once, the vectors of both models are cached together, and one
+    aggregation evaluates both; its few rows come to the driver.
+    """
+    spark = weather.sparkSession
+    variants = {"all": True, "no_temperature": False}
+    rows = Pipeline(stages=country_encoder()).fit(weather).transform(with_split(weather.select(COLUMNS)))
+    for name, with_temperature in variants.items():
+        rows = regression_vector(with_temperature, f"features_{name}").transform(rows)
+    rows = rows.select("split", "FIPS_code", LABEL, *[f"features_{n}" for n in variants])
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        predicted = rows
+        for name in variants:
+            estimator = linear_regression(**SETTINGS).setFeaturesCol(f"features_{name}")
+            model = estimator.fit(rows.filter("split = 'train'"))
+            predicted = model.setPredictionCol(f"p_{name}").transform(predicted)
+        errors = predicted.groupBy("split", "FIPS_code").agg(*[rmse(f"p_{n}", LABEL).alias(n) for n in variants]).collect()
+    finally:
+        rows.unpersist()
+    data = [(name, r["split"], r["FIPS_code"], r[name]) for name in variants for r in errors]
+    return spark.createDataFrame(data, "features string, split string, FIPS_code string, rmse double")
 
 
 def with_fold(df: DataFrame, folds: int) -> DataFrame:
@@ -75,8 +101,9 @@ def cross_validate(
     grid: dict[str, list] = GRID,
     folds: int = 3,
     parallelism: int = 8,
-) -> DataFrame:
-    """Validation RMSE of every setting in every fold.
+    keep_models: bool = False,
+) -> DataFrame | tuple[DataFrame, list[list[LinearRegressionModel]]]:
+    """Validation RMSE of every setting in every fold, and with `keep_models` the models by fold.
 
     The folds come from the row's key. The feature stages, which never see the label, are fitted
     once, on all rows, so that every fold knows every country. In each fold the settings are
@@ -93,13 +120,15 @@ def cross_validate(
     features = fit_features(weather)
     rows = features.transform(with_fold(weather.select(COLUMNS), folds))
     rows = rows.select("fold", "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-    metrics = []
+    metrics, kept = [], []
     try:
         for fold in range(folds):
             train = rows.filter(F.col("fold") != fold)
             fit = inheritable_thread_target(spark)(partial(estimator.fit, train))
             with ThreadPoolExecutor(parallelism) as pool:
                 models = list(pool.map(fit, settings))
+            if keep_models:
+                kept.append(models)
             validation = rows.filter(F.col("fold") == fold)
             for i, model in enumerate(models):
                 validation = model.setPredictionCol(f"p{i}").transform(validation)
@@ -112,7 +141,8 @@ def cross_validate(
     finally:
         rows.unpersist()
     schema = ", ".join([*[f"{name} double" for name in grid], "fold int", "rmse double"])
-    return spark.createDataFrame(metrics, schema)
+    table = spark.createDataFrame(metrics, schema)
+    return (table, kept) if keep_models else table
 
 
 def average_metrics(metrics: DataFrame, parameters: Iterable[str] = tuple(GRID)) -> DataFrame:
@@ -122,3 +152,15 @@ def average_metrics(metrics: DataFrame, parameters: Iterable[str] = tuple(GRID))
 def best_setting(metrics: DataFrame, parameters: Iterable[str] = tuple(GRID)) -> DataFrame:
     """The setting with the lowest average error; ties go to the smaller parameters."""
     return average_metrics(metrics, parameters).orderBy("avg_rmse", *parameters).limit(1)
+
+
+def refit(
+    weather: DataFrame, metrics: DataFrame, parameters: Iterable[str] = tuple(GRID)
+) -> tuple[PipelineModel, LinearRegressionModel]:
+    """The model of the best setting, fitted on all rows."""
+    best = best_setting(metrics, parameters).first()
+    setting = {name: best[name] for name in parameters}
+    if "maxIter" in setting:
+        setting["maxIter"] = int(setting["maxIter"])
+    features = fit_features(weather)
+    return features, linear_regression(**setting).fit(features.transform(weather.select(COLUMNS)))

@@ -114,11 +114,17 @@ def spatial_slices(
 def spatial_pairs(
     weather: DataFrame, pairs: Iterable[tuple[str, int]], year: int = 2000
 ) -> DataFrame:
-    """Points for any list of (country, month) pairs given by the caller."""
-    wanted = weather.sparkSession.createDataFrame(list(pairs), "FIPS_code string, Month int")
+    """Points for any list of (country, month) pairs given by the caller.
+
+    Its countries and months prune the scan; Spark sizes the list for the join.
+    """
+    pairs = sorted(set(pairs))
+    wanted = weather.sparkSession.createDataFrame(pairs, "FIPS_code string, Month int")
     return (
         weather.filter(F.col("Year") == year)
-        .join(F.broadcast(wanted.distinct()), ["FIPS_code", "Month"])
+        .filter(F.col("FIPS_code").isin(sorted({code for code, _ in pairs})))
+        .filter(F.col("Month").isin(sorted({month for _, month in pairs})))
+        .join(wanted, ["FIPS_code", "Month"])
         .select("FIPS_code", "Month", "StationId", "LONGITUDE", "LATITUDE", "AvgPrcp")
         .distinct()
     )

@@ -5,19 +5,28 @@ from pyspark.sql import functions as F
 
 from meteorill.functions.codes import fips_code
 from meteorill.operators.monthly import merge_partials, monthly_averages, monthly_partials
-from meteorill.schemas import WEATHER
+from meteorill.schemas import COORDINATES, WEATHER
 
 
-def enrich(monthly: DataFrame, stations: DataFrame) -> DataFrame:
+def one_per_station(stations: DataFrame) -> DataFrame:
+    """One line for each id: of several, the one with the greatest coordinates, known ones first."""
+    line = F.max(F.struct(*COORDINATES)).alias("line")
+    return stations.groupBy("StationIdA").agg(line).select("StationIdA", "line.*")
+
+
+def enrich(monthly: DataFrame, stations: DataFrame, unique: bool = False) -> DataFrame:
     """Add country code and coordinates; an unknown station keeps its rows with nulls.
 
+    Repeated station lines are reduced to one first, unless the caller says they are `unique`.
+
     No broadcast hint: Spark broadcasts the stations when their size is under
     `spark.sql.autoBroadcastJoinThreshold` and sort-merges beyond it, where AQE splits a hot
     station.
     """
+    known = stations if unique else one_per_station(stations)
     return (
         monthly.withColumn("FIPS_code", fips_code())
-        .join(stations, F.col("StationId") == F.col("StationIdA"), "left")
+        .join(known, F.col("StationId") == F.col("StationIdA"), "left")
         .drop("StationIdA")
     )
 
@@ -30,12 +39,12 @@ def weather_from_observations(
     Coordinates are joined last, to the fewest rows.
     """
     averages = monthly_averages(monthly_partials(observations, divisor))
-    return enrich(averages, stations.distinct()).select(WEATHER.names)
+    return enrich(averages, stations).select(WEATHER.names)
 
 
-def weather_from_partials(partials: DataFrame) -> DataFrame:
-    """Enriched partials of all micro-batches to the weather table."""
-    return monthly_averages(merge_partials(partials)).select(WEATHER.names)
+def weather_from_partials(partials: DataFrame, stations: DataFrame) -> DataFrame:
+    """Partials of all micro-batches to the weather table, with the stations as they are now."""
+    return enrich(monthly_averages(merge_partials(partials)), stations).select(WEATHER.names)
 
 
 def weather_from_daily(daily: DataFrame, stations: DataFrame, divisor: str = "count") -> DataFrame:
@@ -43,4 +52,4 @@ def weather_from_daily(daily: DataFrame, stations: DataFrame, divisor: str = "co
 
     The first of a day's values over all batches counts, however the batches cut the day.
     """
-    return weather_from_observations(daily.drop("batch_id"), stations, divisor)
+    return weather_from_observations(daily.drop("stream", "batch_id"), stations, divisor)

@@ -21,7 +21,7 @@ from meteorill.plans.workspace import new_folder
 from meteorill.schemas import RAW_RECORD
 from meteorill.sources import tables, text
 from meteorill.sources.stream import observation_stream
-from meteorill.streaming.ingest import batch_partials, progress, start_daily_ingest, start_ingest
+from meteorill.streaming.ingest import batch_partials, start_daily_ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,9 +32,23 @@ def query(function: Query) -> Query:
     return function
 
 
-def published_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Weather tables that were published for several queries, by session and input.
+_published: dict[tuple[str, str], str] = {}
+
+
+def publish(spark: SparkSession, sf_dir: str) -> str:
     path = new_folder(spark)
     tables.write_weather(fx.weather(spark, sf_dir), path)
+    return path
+
+
+def publish_once(spark: SparkSession, sf_dir: str) -> None:
+    """Let this session's queries read one published table instead of publishing each for itself."""
+    _published[spark.sparkContext.applicationId, sf_dir] = publish(spark, sf_dir)
+
+
+def published_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _published.get((spark.sparkContext.applicationId, sf_dir)) or publish(spark, sf_dir)
     return tables.read_weather(spark, path)
 
 
@@ -60,6 +74,7 @@ def partials_table(spark, sf_dir):
     """Write the partials of four batches twice; the second time replaces the first."""
     path = new_folder(spark)
     partials = enrich(monthly.monthly_partials(fx.batched_obs(spark, sf_dir)), fx.stations(spark, sf_dir))
+    partials = partials.withColumn("stream", F.lit("main"))
     tables.write_partials(partials, path)
     tables.write_partials(partials, path)
     return tables.read_partials(spark, path)
@@ -67,7 +82,7 @@ def partials_table(spark, sf_dir):
 
 @query
 def weather_table(spark, sf_dir):
-    return published_weather(spark, sf_dir)
+    return tables.read_weather(spark, publish(spark, sf_dir))
 
 
 # Parsing and cleaning
@@ -104,7 +119,7 @@ def daily_pivot(spark, sf_dir):
 @query
 def pivot_missing_variable(spark, sf_dir):
     """The minimum temperature never occurs, and its columns are there all the same."""
-    without = clean(fx.obs(spark, sf_dir, fx.FLOOR), fx.FLOOR, ("TMAX", "PRCP"))
+    without = clean(fx.obs(spark, sf_dir), fx.FLOOR, ("TMAX", "PRCP"))
     return monthly.monthly_partials(without)
 
 
@@ -139,9 +154,21 @@ def exact_distinct_values(spark, sf_dir):
     return monthly.monthly_partials(fx.clean_obs(spark, sf_dir), "distinct")
 
 
+def _estimates(spark, sf_dir) -> DataFrame:
+    return monthly.monthly_partials(fx.clean_obs(spark, sf_dir), "approx_distinct")
+
+
 @query
 def approx_distinct_values(spark, sf_dir):
-    return monthly.monthly_partials(fx.clean_obs(spark, sf_dir), "approx_distinct")
+    """Sums, and whether each estimate is near the exact number of distinct values."""
+    exact = monthly.monthly_partials(fx.clean_obs(spark, sf_dir), "distinct")
+    keys = ["StationId", "Month", "Year"]
+    named = exact.select(*keys, *[F.col(c).alias(f"exact_{c}") for c in monthly.COUNTS])
+    near = [
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.lit(1.0), F.col(f"exact_{c}") * 0.15)).cast("int").alias(f"near_{c}")
+        for c in monthly.COUNTS
+    ]
+    return _estimates(spark, sf_dir).join(named, keys).select(*keys, *monthly.SUMS, *near)
 
 
 @query
@@ -250,59 +277,62 @@ def temp_prcp_corr(spark, sf_dir):
 # Streaming
 
 
-def _record_stream(spark: SparkSession, observations: DataFrame, base: str) -> DataFrame:
-    """Write observations as record files and read them as a stream of four micro-batches."""
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fx.records(observations.repartition(files)).write.parquet(f"{base}/records")
-    return observation_stream(
-        spark,
-        {"maxFilesPerTrigger": str(-(-files // 4))},
-        source="parquet",
-        schema=RAW_RECORD,
-        path=f"{base}/records",
-    )
-
-
-def _ingest(spark: SparkSession, sf_dir: str):
-    """Run the stream to its end, and give its query and table."""
+def _in_batches(spark: SparkSession, sf_dir: str, base: str, start, part, **options) -> None:
+    """Send all observations through a stream that is stopped and started again for each batch.
+
+    `part` says which of the batches an observation belongs to; its records are written, and then
+    the stream takes all there is as one batch.
+    """
+    for k in range(fx.BATCHES):
+        some = fx.obs(spark, sf_dir).filter(F.pmod(part, F.lit(fx.BATCHES)) == k)
+        fx.records(some).write.mode("append").parquet(f"{base}/records")
+        records = observation_stream(spark, {}, "parquet", RAW_RECORD, f"{base}/records")
+        start(
+            records,
+            checkpoint=f"{base}/checkpoint",
+            floor=fx.FLOOR,
+            trigger={"availableNow": True},
+            progress=f"{base}/progress",
+            **options,
+        ).awaitTermination()
+
+
+def _ingest(spark: SparkSession, sf_dir: str) -> str:
+    """Partials by batch, all records of a day in the same one; gives the folder."""
     base = new_folder(spark)
-    stream = start_ingest(
-        _record_stream(spark, fx.unique_obs(spark, sf_dir), base),
-        fx.stations(spark, sf_dir),
-        path=f"{base}/partials",
-        checkpoint=f"{base}/checkpoint",
-        floor=fx.FLOOR,
-        trigger={"availableNow": True},
+    _in_batches(
+        spark, sf_dir, base, start_ingest, F.col("Date"),
+        stations=fx.stations(spark, sf_dir), path=f"{base}/partials",
     )
-    stream.awaitTermination()
-    return stream, f"{base}/partials"
+    return base
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    _, path = _ingest(spark, sf_dir)
-    return weather_from_partials(tables.read_partials(spark, path))
+    base = _ingest(spark, sf_dir)
+    return weather_from_partials(tables.read_partials(spark, f"{base}/partials"), fx.stations(spark, sf_dir))
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """The same, with the first three batches compacted."""
+    base = _ingest(spark, sf_dir)
+    tables.compact_partials(spark, f"{base}/partials", f"{base}/compacted", 2)
+    partials = tables.read_partials(spark, f"{base}/partials", f"{base}/compacted")
+    return weather_from_partials(partials, fx.stations(spark, sf_dir))
 
 
 @query
 def stream_daily_ingest(spark, sf_dir):
     """Repeated values of a day, spread over the micro-batches."""
     base = new_folder(spark)
-    stream = start_daily_ingest(
-        _record_stream(spark, fx.obs(spark, sf_dir), base),
-        path=f"{base}/daily",
-        checkpoint=f"{base}/checkpoint",
-        floor=fx.FLOOR,
-        trigger={"availableNow": True},
-    )
-    stream.awaitTermination()
+    _in_batches(spark, sf_dir, base, start_daily_ingest, F.xxhash64("seq"), path=f"{base}/daily")
     return weather_from_daily(tables.read_daily(spark, f"{base}/daily"), fx.stations(spark, sf_dir))
 
 
 @query
 def stream_progress(spark, sf_dir):
-    stream, _ = _ingest(spark, sf_dir)
-    return progress(spark, stream)
+    return tables.read_progress(spark, f"{_ingest(spark, sf_dir)}/progress")
 
 
 # Evaluation of a fixed predictor
@@ -452,20 +482,73 @@ def cv_best(spark, sf_dir):
     return regression.best_setting(regression.cross_validate(published_weather(spark, sf_dir)))
 
 
+@query
+def cv_refit_predictions(spark, sf_dir):
+    """Predictions of the best setting's model, fitted on all rows."""
+    weather = published_weather(spark, sf_dir)
+    return regression.predict(weather, *regression.refit(weather, regression.cross_validate(weather)))
+
+
+@query
+def cv_refit_complete(spark, sf_dir):
+    """Which rows the refitted model has predictions for."""
+    return cv_refit_predictions(spark, sf_dir).select(*ROW, F.col("prediction").isNotNull().cast("int").alias("predicted"))
+
+
+# One feature, for which the elastic net has a closed form.
+ELASTIC = {"maxIter": 100, "regParam": 0.5, "elasticNetParam": 0.8, "solver": "l-bfgs", "tol": 1e-12}
+
+
+def _one_feature(weather: DataFrame):
+    rows = features.VectorAssembler(inputCols=["AvgTmax"], outputCol="features").transform(features.with_split(weather))
+    return regression.linear_regression(**ELASTIC).fit(rows.filter("split = 'train'")), rows
+
+
+@query
+def lr_elastic_one(spark, sf_dir):
+    model, _ = _one_feature(published_weather(spark, sf_dir))
+    return spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 3))], "slope double, intercept double"
+    )
+
+
+@query
+def lr_elastic_one_rmse(spark, sf_dir):
+    model, rows = _one_feature(published_weather(spark, sf_dir))
+    errors = evaluate.rmse_by(model.transform(rows).withColumn("label", F.col("AvgPrcp")), "split")
+    return errors.withColumn("rmse", F.round("rmse", 3))
+
+
+@query
+def rf_label_given_away(spark, sf_dir):
+    """With the label among the features, as the models of the time had it, a forest cannot miss."""
+    weather = published_weather(spark, sf_dir)
+    predictions = classification.forest_predictions(weather, "Season", include_label=True)
+    errors = evaluate.error_by_country(predictions.filter("prediction is not null"))
+    return errors.select("FIPS_code", (F.col("test_error") < 0.1).cast("int").alias("given_away"))
+
+
+@query
+def rf_tested_rows(spark, sf_dir):
+    """Rows that the season forests were tested on, and which of them they could use."""
+    predictions = classification.forest_predictions(published_weather(spark, sf_dir), "Season")
+    return predictions.select(*ROW, "label", F.col("prediction").isNotNull().cast("int").alias("predicted"))
+
+
 @query
 def rf_month_error(spark, sf_dir):
     weather = published_weather(spark, sf_dir)
-    return evaluate.error_by_country(classification.forest_predictions(weather, "Month"))
+    return evaluate.error_by_country(classification.forest_predictions(weather, "Month").filter("prediction is not null"))
 
 
 @query
 def rf_season_error(spark, sf_dir):
     weather = published_weather(spark, sf_dir)
-    return evaluate.error_by_country(classification.forest_predictions(weather, "Season"))
+    return evaluate.error_by_country(classification.forest_predictions(weather, "Season").filter("prediction is not null"))
 
 
 @query
 def predictions_sample(spark, sf_dir):
     weather = published_weather(spark, sf_dir)
-    predictions = classification.forest_predictions(weather, "Season")
+    predictions = classification.forest_predictions(weather, "Season", with_features=True)
     return preview(predictions, "FIPS_code", "StationId", "Year", "Month")

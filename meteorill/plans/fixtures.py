@@ -6,7 +6,6 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.functions.dates import year_of
 from meteorill.operators.observations import clean
 from meteorill.operators.stations import weather_from_observations
 from meteorill.schemas import OBSERVATION
@@ -14,9 +13,11 @@ from meteorill.schemas import OBSERVATION
 # Parameters for the years these tables cover.
 FLOOR = 19960101
 INVENTORY_YEAR = 1998
+# Batches that the streams are cut into.
+BATCHES = 4
 SPATIAL_YEAR = 2000
 SERIES_YEARS = (1996, 1998, 2000)
-TOP_VARIABLES = 2
+TOP_VARIABLES = 5
 
 STATION_LINE = "%-11s %8.4f %9.4f %6.1f"
 INVENTORY_LINE = "%-11s %8.4f %9.4f %-4s %4d %4d"
@@ -26,11 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _id(nation: str, key: str, codes: tuple[str, ...]) -> Column:
+    country = F.get(F.array(*[F.lit(c) for c in codes]), F.col(nation) % len(codes))
+    return F.concat(country, F.lpad(F.col(key).cast("string"), 9, "0"))
+
+
 def _station_id() -> Column:
-    country = F.get(
-        F.array(*[F.lit(c) for c in ("CH", "GM", "GR", "BR", "IS")]), F.col("s_nationkey") % 5
-    )
-    return F.concat(country, F.lpad(F.col("s_suppkey").cast("string"), 9, "0"))
+    return _id("s_nationkey", "s_suppkey", ("CH", "GM", "GR", "BR", "IS"))
 
 
 def _latitude(number: Column) -> Column:
@@ -41,12 +44,8 @@ def _longitude(number: Column) -> Column:
     return ((number * 53) % 3600).cast("double") / 10 - 180
 
 
-def obs(spark: SparkSession, sf_dir: str, since: int | None = None) -> DataFrame:
-    """Observations; `since` (yyyymmdd) also filters the ship date, which reaches the scan."""
+def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    if since is not None:
-        day = f"{since // 10000}-{since // 100 % 100:02d}-{since % 100:02d}"
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(day).cast(lines.schema["l_shipdate"].dataType))
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", _station_id().alias("StationId"))
     date = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.day("l_shipdate")
     value = (F.col("l_quantity") * 10).cast("int")
@@ -68,58 +67,42 @@ def obs(spark: SparkSession, sf_dir: str, since: int | None = None) -> DataFrame
     )
 
 
-def unique_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One value for each station, day, variable and flag, as in a station archive.
-
-    Cleaning it leaves a single value of each variable and day, so micro-batches may cut it
-    anywhere.
-    """
-    keys = [name for name in OBSERVATION.names if name != "Value"]
-    first = (
-        obs(spark, sf_dir)
-        .groupBy(*keys)
-        .agg(F.min_by("Value", "seq").alias("Value"), F.min("seq").alias("seq"))
+def all_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        _station_id().alias("StationIdA"),
+        _latitude(number).alias("LATITUDE"),
+        _longitude(number).alias("LONGITUDE"),
+        ((number * 7) % 500).cast("double").alias("ELEVATION"),
     )
-    return first.select(*OBSERVATION.names, "seq")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine of ten suppliers, so that some observations have no station."""
-    number = F.col("s_suppkey")
-    return (
-        table(spark, sf_dir, "supplier")
-        .filter(number % 10 != 9)
-        .select(
-            _station_id().alias("StationIdA"),
-            _latitude(number).alias("LATITUDE"),
-            _longitude(number).alias("LONGITUDE"),
-            ((number * 7) % 500).cast("double").alias("ELEVATION"),
-        )
-    )
+    return all_stations(spark, sf_dir).filter(F.substring("StationIdA", 3, 9).cast("bigint") % 10 != 9)
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as stations, one in six of no known country; what they ordered how as variables."""
+    orders = table(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", _id("c_nationkey", "c_custkey", ("CH", "GM", "GR", "BR", "IS", "ZZ")).alias("ID")
+    )
+    variable = F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1), F.lit("_"), "o_orderstatus")
     return (
-        obs(spark, sf_dir)
-        .filter("Value > 480")
-        .groupBy(F.col("StationId").alias("ID"), F.col("Variable").alias("VARIABLE"))
-        .agg(F.min("Date").alias("first"), F.max("Date").alias("last"))
-        .select(
-            "ID",
-            "VARIABLE",
-            year_of("first").alias("FIRSTYEAR"),
-            year_of("last").alias("LASTYEAR"),
-        )
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("ID", variable.alias("VARIABLE"))
+        .agg(F.min(F.year("o_orderdate")).alias("FIRSTYEAR"), F.max(F.year("o_orderdate")).alias("LASTYEAR"))
     )
 
 
 def clean_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(obs(spark, sf_dir, FLOOR), FLOOR)
+    return clean(obs(spark, sf_dir), FLOOR)
 
 
 def batched_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean observations in four logical batches that cut through months, but not days."""
-    return clean_obs(spark, sf_dir).withColumn("batch_id", (F.col("Date") % 4).cast("bigint"))
+    return clean_obs(spark, sf_dir).withColumn("batch_id", (F.col("Date") % BATCHES).cast("bigint"))
 
 
 def weather(spark: SparkSession, sf_dir: str, divisor: str = "count") -> DataFrame:
@@ -131,11 +114,12 @@ def records(observations: DataFrame) -> DataFrame:
     return observations.select(
         F.to_json(F.struct(*OBSERVATION.names)).cast("binary").alias("value"),
         F.col("seq").alias("offset"),
+        F.pmod(F.xxhash64("StationId"), F.lit(8)).cast("int").alias("partition"),
     )
 
 
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stations(spark, sf_dir).select(
+    return all_stations(spark, sf_dir).select(
         F.format_string(STATION_LINE, "StationIdA", "LATITUDE", "LONGITUDE", "ELEVATION").alias("value")
     )
 

@@ -1,6 +1,6 @@
 """The same queries as SQL for duckdb, over the same tables."""
 
-from meteorill.plans.fixtures import FLOOR, INVENTORY_YEAR, SERIES_YEARS, SPATIAL_YEAR, TOP_VARIABLES
+from meteorill.plans.fixtures import BATCHES, FLOOR, INVENTORY_YEAR, SERIES_YEARS, SPATIAL_YEAR, TOP_VARIABLES
 
 _STATION_ID = """case s_nationkey % 5 when 0 then 'CH' when 1 then 'GM' when 2 then 'GR'
     when 3 then 'BR' else 'IS' end || lpad(cast(s_suppkey as varchar), 9, '0')"""
@@ -19,16 +19,19 @@ VIEWS = {
           '0700' as ObsTime,
           (l_orderkey * 10 + l_linenumber) * 10000 + cast(l_quantity * 10 as int) as seq
         from lineitem join supplier on l_suppkey = s_suppkey""",
-    "stations": f"""
+    "all_stations": f"""
         select {_STATION_ID} as StationIdA,
           cast((s_suppkey * 37) % 1800 as double) / 10 - 90 as LATITUDE,
           cast((s_suppkey * 53) % 3600 as double) / 10 - 180 as LONGITUDE,
           cast((s_suppkey * 7) % 500 as double) as ELEVATION
-        from supplier where s_suppkey % 10 <> 9""",
+        from supplier""",
+    "stations": "select * from all_stations where cast(substr(StationIdA, 3) as bigint) % 10 <> 9",
     "inventory": """
-        select StationId as ID, Variable as VARIABLE,
-          cast(min(Date) // 10000 as int) as FIRSTYEAR, cast(max(Date) // 10000 as int) as LASTYEAR
-        from obs where Value > 480 group by StationId, Variable""",
+        select case c_nationkey % 6 when 0 then 'CH' when 1 then 'GM' when 2 then 'GR' when 3 then 'BR'
+            when 4 then 'IS' else 'ZZ' end || lpad(cast(c_custkey as varchar), 9, '0') as ID,
+          'P' || substr(o_orderpriority, 1, 1) || '_' || o_orderstatus as VARIABLE,
+          cast(min(year(o_orderdate)) as int) as FIRSTYEAR, cast(max(year(o_orderdate)) as int) as LASTYEAR
+        from orders join customer on o_custkey = c_custkey group by all""",
     "recent": f"""
         select * from inventory where FIRSTYEAR >= {INVENTORY_YEAR} or LASTYEAR > {INVENTORY_YEAR}""",
     "cleaned": f"""
@@ -87,7 +90,8 @@ VIEWS |= {
           from (select distinct FIPS_code, StationId from weather))
         where rank <= 3""",
     "counts": """
-        select substr(ID, 1, 2) as FIPS, VARIABLE, count(*) as n from recent group by all""",
+        select substr(ID, 1, 2) as FIPS, VARIABLE, count(*) as n from recent
+        where substr(ID, 1, 2) in ('CH', 'GM', 'GR', 'BR', 'IS') group by all""",
     "ranked": f"""
         select * from (
           select FIPS, VARIABLE, n,
@@ -111,6 +115,13 @@ VIEWS |= {
           case when ('0x' || substr(md5(StationId || '|' || Year || '|' || Month), 1, 4))::int % 10 < 7
                then 'train' else 'test' end as split
         from weather""",
+    # The elastic net on one standardised feature, regParam 0.5 and elasticNetParam 0.8.
+    "elastic": """
+        select slope, my - slope * mx as intercept from (
+          select mx, my, sign(r) * greatest(abs(r) - 0.8 * e, 0) / (1 + 0.2 * e) * sy / sx as slope from (
+            select avg(AvgTmax) as mx, avg(AvgPrcp) as my, corr(AvgPrcp, AvgTmax) as r,
+              stddev_samp(AvgTmax) as sx, stddev_samp(AvgPrcp) as sy, 0.5 / stddev_samp(AvgPrcp) as e
+            from labelled where split = 'train'))""",
     "codes": """
         select FIPS_code, cast(row_number() over (order by n desc, FIPS_code) - 1 as double) as FIPS_index
         from (select FIPS_code, count(*) as n from weather group by FIPS_code)""",
@@ -142,7 +153,7 @@ SELECTS = {
     # The text lines carry four decimals.
     "station_fixed_width": """
         select StationIdA, round(LATITUDE, 4) as LATITUDE, round(LONGITUDE, 4) as LONGITUDE, ELEVATION
-        from stations""",
+        from all_stations""",
     "inventory_scan": """
         select ID,
           round(cast((n * 37) % 1800 as double) / 10 - 90, 4) as LATITUDE,
@@ -151,7 +162,7 @@ SELECTS = {
         from (select *, cast(substr(ID, 3) as bigint) as n from inventory)""",
     "partials_table": f"""
         select StationId, Month, Year, SumTmax, SumTmin, SumPrcp, countTmax, countTmin, countPrcp,
-          {_ENRICHED}, batch_id
+          {_ENRICHED}, 'main' as stream, batch_id
         from batches left join stations on StationIdA = StationId""",
     "weather_table": f"select {_WEATHER_COLUMNS} from weather",
     "json_observations":
@@ -171,9 +182,13 @@ SELECTS = {
     "monthly_partials_by_batch": "select * from batches",
     "merge_partials": "select * from monthly",
     "enrich_stations": f"""
-        select monthly.*, {_ENRICHED}, cast(0 as bigint) as batch_id
+        select monthly.*, {_ENRICHED}, 'main' as stream, cast(0 as bigint) as batch_id
         from monthly left join stations on StationIdA = StationId""",
     "exact_distinct_values": "select * from monthly_distinct",
+    "approx_distinct_values": """
+        select StationId, Month, Year, SumTmax, SumTmin, SumPrcp,
+          1 as near_countTmax, 1 as near_countTmin, 1 as near_countPrcp
+        from monthly""",
     "weather_distinct_divisor": f"select {_WEATHER_COLUMNS} from weather_distinct",
     "inventory_recent": "select * from recent",
     "stations_per_country": """
@@ -218,6 +233,10 @@ SELECTS = {
                then round(corr(AvgTmax, AvgPrcp), 6) end as corr
         from weather group by StationId, Month""",
     "stream_ingest": f"select {_WEATHER_COLUMNS} from weather",
+    "stream_compacted": f"select {_WEATHER_COLUMNS} from weather",
+    "stream_progress": f"""
+        select 'main' as stream, cast(Date % {BATCHES} as bigint) as batch_id, count(*) as input_rows
+        from obs group by all""",
     "stream_daily_ingest": f"select {_WEATHER_COLUMNS} from weather",
     "rmse_overall": f"select round({_RMSE}, 6) as rmse from labelled",
     "rmse_by_country": f"""
@@ -254,6 +273,21 @@ SELECTS = {
         select round(regr_slope(AvgPrcp, AvgTmax), 6) as slope,
           round(regr_intercept(AvgPrcp, AvgTmax), 6) as intercept
         from weather""",
+    "lr_elastic_one": "select round(slope, 4) as slope, round(intercept, 3) as intercept from elastic",
+    "lr_elastic_one_rmse": """
+        select split, round(sqrt(avg(pow(AvgPrcp - slope * AvgTmax - intercept, 2))), 3) as rmse
+        from labelled cross join elastic group by split""",
+    "cv_refit_complete": """
+        select StationId, Year, Month,
+          case when LATITUDE is null or LONGITUDE is null or ELEVATION is null then 0 else 1 end as predicted
+        from weather""",
+    "rf_label_given_away": """
+        select distinct FIPS_code, 1 as given_away from labelled
+        where split = 'test' and LATITUDE is not null""",
+    "rf_tested_rows": """
+        select StationId, Year, Month, cast(Season as varchar) as label,
+          case when LATITUDE is null or LONGITUDE is null or ELEVATION is null then 0 else 1 end as predicted
+        from labelled where split = 'test'""",
 }
 
 

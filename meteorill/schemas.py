@@ -51,6 +51,7 @@ RAW_RECORD = T.StructType(
     [
         T.StructField("value", T.BinaryType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("partition", T.IntegerType()),
     ]
 )
 
@@ -71,6 +72,7 @@ PARTIALS = T.StructType(
         T.StructField("LATITUDE", T.DoubleType()),
         T.StructField("LONGITUDE", T.DoubleType()),
         T.StructField("ELEVATION", T.DoubleType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -83,10 +85,20 @@ DAILY = T.StructType(
         T.StructField("Variable", T.StringType()),
         T.StructField("Value", T.IntegerType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
+# What came in with each micro-batch, before cleaning.
+PROGRESS = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("input_rows", T.LongType()),
+    ]
+)
+
 WEATHER = T.StructType(
     [
         T.StructField("StationId", T.StringType()),

@@ -38,5 +38,10 @@ def read_jdbc(
     return reader.load()
 
 
+def without_replays(partials: DataFrame) -> DataFrame:
+    """Partials of a table that sinks append to: a batch that ran again counts once."""
+    return partials.dropDuplicates(["stream", "batch_id", "StationId", "Month", "Year"])
+
+
 def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append") -> None:
     df.write.format("jdbc").mode(mode).options(**options).save()

@@ -3,6 +3,7 @@
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meteorill.schemas import COUNTRIES
@@ -11,10 +12,14 @@ from meteorill.schemas import COUNTRIES
 def kafka_options(
     servers: str,
     topics: Iterable[str] = tuple(COUNTRIES),
-    max_offsets: int | None = 500_000,
+    max_offsets: int | None = None,
     starting: str = "earliest",
 ) -> dict[str, str]:
-    """Reader options: one topic for each country, read from the start, with a cap for each trigger."""
+    """Reader options: one topic for each country, read from the start.
+
+    `max_offsets` caps the records of a trigger, 500,000 for instance; without it a stream that is
+    behind catches up in one batch.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
@@ -37,3 +42,15 @@ def observation_stream(
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path) if path is not None else reader.load()
+
+
+#: Bits of `seq` that hold the record's partition.
+PARTITION_BITS = 12
+
+
+def numbered(records: DataFrame) -> DataFrame:
+    """Add `seq` from a record's offset and partition: offsets alone repeat across partitions."""
+    offset = F.shiftleft(F.col("offset").cast("bigint"), PARTITION_BITS)
+    if "partition" not in records.columns:
+        return records.withColumn("seq", offset)
+    return records.withColumn("seq", offset + F.coalesce("partition", F.lit(0)) % (1 << PARTITION_BITS))

@@ -1,14 +1,16 @@
 """The tables of the pipeline, kept as Parquet.
 
-`partials` and `daily` have one directory for each micro-batch, so that a batch that runs
-again replaces what it wrote before. `weather` has one directory for each country, so that
+`partials`, `daily` and `progress` have one directory for each micro-batch of each stream, so that
+a batch that runs again replaces what it wrote before, and no other stream's. `weather` has one directory for each country, so that
 country predicates prune files.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meteorill.schemas import DAILY, PARTIALS, WEATHER
+from meteorill.operators.monthly import COUNTS, SUMS
+from meteorill.schemas import COORDINATES, DAILY, PARTIALS, PROGRESS, WEATHER
 
 
 def _write_batches(df: DataFrame, schema: StructType, path: str) -> None:
@@ -16,7 +18,7 @@ def _write_batches(df: DataFrame, schema: StructType, path: str) -> None:
         df.select(schema.names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("stream", "batch_id")
         .parquet(path)
     )
 
@@ -30,8 +32,33 @@ def write_partials(partials: DataFrame, path: str) -> None:
     _write_batches(partials, PARTIALS, path)
 
 
-def read_partials(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, PARTIALS, path)
+def read_partials(spark: SparkSession, path: str, compacted: str | None = None) -> DataFrame:
+    """Partials of all batches; those that `compacted` covers come from there."""
+    batches = _read(spark, PARTIALS, path)
+    if compacted is None:
+        return batches
+    merged = _read(spark, PARTIALS, compacted)
+    # One row for each stream.
+    covered = merged.groupBy("stream").agg(F.max("batch_id").alias("covered"))
+    old = merged.join(covered, "stream").filter("batch_id = covered")
+    new = batches.join(covered, "stream", "left").filter("covered is null or batch_id > covered")
+    return old.select(PARTIALS.names).unionByName(new.select(PARTIALS.names))
+
+
+def compact_partials(spark: SparkSession, path: str, compacted: str, up_to: int) -> None:
+    """Merge the batches of every stream up to `up_to`, which must be closed, into `compacted`.
+
+    Each stream's merged rows go to one directory named by its last batch. Doing it again, or a late
+    replay of a covered batch, changes nothing for readers: what lies at or below the last compacted
+    batch is read from there only, and the batches' own directories may go.
+    """
+    closed = read_partials(spark, path).filter(F.col("batch_id") <= up_to)
+    keys = ["stream", "StationId", "Month", "Year"]
+    place = F.max(F.struct("batch_id", "FIPS_code", *COORDINATES)).alias("place")
+    merged = closed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*SUMS, *COUNTS)], place)
+    last = closed.groupBy("stream").agg(F.max("batch_id").alias("batch_id"))
+    columns = [*keys, *SUMS, *COUNTS, "place.FIPS_code", *[f"place.{c}" for c in COORDINATES]]
+    _write_batches(merged.select(*columns).join(last, "stream"), PARTIALS, compacted)
 
 
 def write_daily(daily: DataFrame, path: str) -> None:
@@ -42,14 +69,26 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, DAILY, path)
 
 
+def write_progress(progress: DataFrame, path: str) -> None:
+    _write_batches(progress, PROGRESS, path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, PROGRESS, path)
+
+
 def write_weather(weather: DataFrame, path: str) -> None:
-    """Replaces the table: publishing twice does not double it."""
+    """Replaces the table, whatever the session's overwrite mode: publishing twice does not double it.
+
+    A country that holds much of the table is split over tasks where adaptive execution is on.
+    """
     # Rebalancing gathers a country's rows into few files and splits a country that holds
     # much of the table over many tasks.
     (
         weather.select(WEATHER.names)
         .hint("rebalance", "FIPS_code")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("FIPS_code")
         .parquet(path)
     )

@@ -1,35 +1,51 @@
-"""Observation stream to the partials table."""
+"""Observation stream to the partials or the daily table."""
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meteorill.operators.monthly import daily_values, monthly_partials
 from meteorill.operators.observations import clean, parse_observations
-from meteorill.operators.stations import enrich
-from meteorill.schemas import DATE_FLOOR
-from meteorill.sources.tables import write_daily, write_partials
+from meteorill.operators.stations import enrich, one_per_station
+from meteorill.schemas import DATE_FLOOR, PROGRESS
+from meteorill.sources.stream import numbered
+from meteorill.sources.tables import write_daily, write_partials, write_progress
+
+
+def _of_batch(df: DataFrame, stream: str, epoch: int) -> DataFrame:
+    return df.withColumns({"stream": F.lit(stream), "batch_id": F.lit(epoch).cast("bigint")})
 
 
 def batch_partials(
-    observations: DataFrame, epoch: int, stations: DataFrame, divisor: str = "count"
+    observations: DataFrame, epoch: int, stations: DataFrame, stream: str = "main", unique: bool = False
 ) -> DataFrame:
     """Enriched monthly partials of one micro-batch of clean observations."""
-    partials = enrich(monthly_partials(observations, divisor), stations)
-    return partials.withColumn("batch_id", F.lit(epoch).cast("bigint"))
+    return _of_batch(enrich(monthly_partials(observations), stations, unique), stream, epoch)
 
 
 def _start(
-    records: DataFrame, order: str | None, floor: int, store, checkpoint: str, trigger: dict | None
+    records: DataFrame, floor: int, store, checkpoint: str, trigger: dict | None, stream: str, progress: str | None
 ) -> StreamingQuery:
+    spark = records.sparkSession
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        # The records are counted while the batch is written, not in a pass of their own.
+        counted = Observation()
+        observed = batch.observe(counted, F.count(F.lit(1)).alias("input_rows"))
+        store(clean(parse_observations(observed, order="seq"), floor), epoch)
+        if progress is not None:
+            # A batch without records may be planned away, and then nothing is observed.
+            row = (stream, epoch, 0 if batch.isEmpty() else counted.get["input_rows"])
+            write_progress(spark.createDataFrame([row], PROGRESS), progress)
+
     return (
-        clean(parse_observations(records, order=order), floor)
-        .writeStream.foreachBatch(store)
+        numbered(records)
+        .writeStream.foreachBatch(run)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "2 seconds"}))
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
 
@@ -39,34 +55,39 @@ def start_ingest(
     stations: DataFrame,
     path: str,
     checkpoint: str,
-    order: str | None = "offset",
     floor: int = DATE_FLOOR,
-    divisor: str = "count",
     trigger: dict | None = None,
     write: Callable[[DataFrame, str], None] = write_partials,
+    stream: str = "main",
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Parse, clean, aggregate and store each micro-batch as monthly partials.
 
-    No state is kept: late data makes one more partial row, and merging the partials gives the
+    `write` has to run the batch it is given. No state is kept: late data makes one more partial row, and merging the partials gives the
     totals. A batch that is run again after a failure replaces its own directory, and `write`
-    may be another sink, such as a database. The unit of the daily first value is the
-    micro-batch: repeated values of a day that arrive in different ones count separately;
-    `start_daily_ingest` avoids that.
+    may be another sink, such as a database. Streams that share a table need different names; a
+    stream that is begun anew with another checkpoint needs a new one. With `progress` the
+    number of records of each batch is kept in a table there.
+
+    The unit of the daily first value is the micro-batch: repeated values of a day that arrive in
+    different ones count separately. Where that can happen, take `start_daily_ingest`.
     """
+    unique = one_per_station(stations).persist()
 
     def store(batch: DataFrame, epoch: int) -> None:
-        write(batch_partials(batch, epoch, stations, divisor), path)
+        write(batch_partials(batch, epoch, unique, stream, unique=True), path)
 
-    return _start(records, order, floor, store, checkpoint, trigger)
+    return _start(records, floor, store, checkpoint, trigger, stream, progress)
 
 
 def start_daily_ingest(
     records: DataFrame,
     path: str,
     checkpoint: str,
-    order: str = "offset",
     floor: int = DATE_FLOOR,
     trigger: dict | None = None,
+    stream: str = "main",
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Store the first values of each micro-batch; months are made when the table is read.
 
@@ -74,13 +95,6 @@ def start_daily_ingest(
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        first = daily_values(batch).withColumn("batch_id", F.lit(epoch).cast("bigint"))
-        write_daily(first, path)
-
-    return _start(records, order, floor, store, checkpoint, trigger)
-
+        write_daily(_of_batch(daily_values(batch), stream, epoch), path)
 
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batch number and input rows of the query's recent batches."""
-    rows = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint")
+    return _start(records, floor, store, checkpoint, trigger, stream, progress)

@@ -20,6 +20,11 @@ def test_split_is_stable_on_any_partitioning(weather, rows):
     assert 0.6 < share < 0.8
 
 
+def test_more_buckets_than_hash_values_are_refused():
+    with pytest.raises(ValueError):
+        features.row_bucket(1 << 17)
+
+
 def test_missing_features_are_counted_and_skipped(weather, rows):
     counted = features.incomplete_rows(weather).agg(F.sum("n_rows"), F.sum("n_incomplete")).first()
     vectors = regression.fit_features(weather).transform(weather)
@@ -39,7 +44,8 @@ def test_one_feature_matches_closed_form(weather):
 
 def test_rmse_equals_the_evaluator(weather):
     predictions = regression.linear_predictions(weather)
-    whole = RegressionEvaluator(metricName="rmse").evaluate(predictions)
+    known = predictions.filter("prediction is not null")
+    whole = RegressionEvaluator(metricName="rmse").evaluate(known)
     assert evaluate.rmse_by(predictions).first().rmse == pytest.approx(whole)
     wide = {r.FIPS_code: r for r in evaluate.rmse_train_test(predictions).collect()}
     for row in evaluate.rmse_by(predictions, "split", "FIPS_code").collect():
@@ -78,6 +84,29 @@ def test_cross_validation_equals_the_library_one(weather):
         assert got[key] == pytest.approx(metric)
 
 
+def test_rows_that_lack_a_feature_keep_their_place(weather):
+    missing = features.incomplete_rows(weather).agg(F.sum("n_incomplete")).first()[0]
+    predictions = regression.linear_predictions(weather)
+    assert predictions.count() == weather.count()
+    assert predictions.filter("prediction is null").count() == missing > 0
+    forest = classification.forest_predictions(weather, "Season", ["GM"], with_features=True)
+    tested = classification.labelled_rows(weather, "Season", ["GM"]).filter("split = 'test'")
+    assert forest.count() == tested.count()
+    assert forest.filter("(prediction is null) <> (features is null)").count() == 0
+
+
+def test_models_of_each_fold_and_refit(weather):
+    grid = {"maxIter": [5], "regParam": [0.1, 1.0], "elasticNetParam": [0.0]}
+    metrics, models = regression.cross_validate(weather, grid, keep_models=True)
+    assert [len(m) for m in models] == [2, 2, 2] and metrics.count() == 6
+    stages, model = regression.refit(weather, metrics, list(grid))
+    best = regression.best_setting(metrics, list(grid)).first()
+    data = stages.transform(weather)
+    direct = regression.linear_regression(maxIter=5, regParam=best.regParam, elasticNetParam=0.0).fit(data)
+    assert list(model.coefficients) == pytest.approx(list(direct.coefficients))
+    assert regression.predict(weather, stages, model).count() == weather.count()
+
+
 def test_best_is_the_lowest(spark):
     metrics = spark.createDataFrame(
         [(1.0, 0.1, 0.0, 0, 5.0), (1.0, 0.1, 0.0, 1, 3.0), (5.0, 0.1, 0.0, 0, 2.0), (5.0, 0.1, 0.0, 1, 5.0)],

@@ -133,28 +133,47 @@ def test_enrich_keeps_unknown_stations(spark, rows):
     ]
 
 
-def test_weather_from_enriched_partials(spark, rows):
-    """Null coordinates form a group; a month with a missing average is left out."""
-    schema = (
-        "StationId string, Month int, Year int, SumTmax long, SumTmin long, SumPrcp long, "
-        "countTmax long, countTmin long, countPrcp long, FIPS_code string, LATITUDE double, "
-        "LONGITUDE double, ELEVATION double, batch_id long"
-    )
+PARTIAL_ROWS = (
+    "StationId string, Month int, Year int, SumTmax long, SumTmin long, SumPrcp long, "
+    "countTmax long, countTmin long, countPrcp long, FIPS_code string, LATITUDE double, "
+    "LONGITUDE double, ELEVATION double, batch_id long"
+)
+
+
+def test_weather_from_partials_takes_the_stations_of_today(spark, rows):
+    """Coordinates that came or changed between batches do not split a month."""
     here, nowhere = ("CH", 1.0, 2.0, 3.0), ("GM", None, None, None)
     data = [
-        ("CH1", 1, 2000, 10, 4, 1, 2, 2, 1, *here, 0),
-        ("CH1", 1, 2000, 20, None, 3, 1, 0, 3, *here, 1),
+        ("CH1", 1, 2000, 10, 4, 1, 2, 2, 1, "CH", None, None, None, 0),
+        ("CH1", 1, 2000, 20, None, 3, 1, 0, 3, "CH", 9.0, 9.0, 9.0, 1),
         ("CH1", 2, 2000, None, None, 3, 0, 0, 3, *here, 1),
         ("GM2", 1, 2000, 1, 1, 1, 1, 1, 1, *nowhere, 0),
         ("GM2", 1, 2000, 3, 1, 1, 1, 1, 1, *nowhere, 1),
     ]
-    got = rows(weather_from_partials(spark.createDataFrame(data, schema)))
+    stations = spark.createDataFrame([("CH1", 1.0, 2.0, 3.0)], STATIONS)
+    got = rows(weather_from_partials(spark.createDataFrame(data, PARTIAL_ROWS), stations))
     assert got == [
         ("CH1", 1, 2000, 10.0, 2.0, 1.0, *here),
         ("GM2", 1, 2000, 2.0, 1.0, 1.0, *nowhere),
     ]
 
 
+def test_repeated_station_lines_count_once(spark, rows):
+    lines = [("CH1", None, 2.0, 3.0), ("CH1", 1.0, 2.0, 3.0), ("CH1", 1.0, 2.0, 3.0), ("CH1", 0.5, 9.0, 9.0)]
+    stations = spark.createDataFrame(lines, STATIONS)
+    df = spark.createDataFrame([("CH1", 1)], "StationId string, n int")
+    assert rows(enrich(df, stations)) == [("CH1", 1, "CH", 1.0, 2.0, 3.0)]
+    data = observations(spark, random_observations(500, 6))
+    assert weather_from_observations(data, stations).count() == weather_from_observations(data, stations.limit(0)).count()
+
+
+@pytest.mark.parametrize("divisor", ["distinct", "approx_distinct"])
+def test_divisors_that_do_not_merge_are_refused_by_batch(spark, divisor):
+    batched = observations(spark, []).withColumn("batch_id", F.lit(0))
+    with pytest.raises(ValueError, match="merged"):
+        monthly.monthly_partials(batched, divisor)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -175,7 +194,7 @@ def test_stations_are_broadcast_only_below_the_limit(spark, rows):
     facts = monthly.monthly_partials(observations(spark, random_observations(500, 5)))
     stations = spark.createDataFrame([("CH1", 1.0, 2.0, 3.0)], STATIONS)
     small = spark.range(9).select(
-        F.concat(F.lit("GM"), F.col("id").cast("string")).alias("StationIdA"), F.lit(1.0).alias("LATITUDE")
+        F.concat(F.lit("GM"), F.col("id").cast("string")).alias("StationIdA"), *[F.lit(1.0).alias(c) for c in ("LATITUDE", "LONGITUDE", "ELEVATION")],
     )
     assert "BroadcastHashJoin" in plan(enrich(facts, small))
     expected = rows(enrich(facts, stations))

@@ -62,6 +62,7 @@ def test_pairs_equal_slices_for_all_pairs(table, rows):
     columns = ["FIPS_code", "Month", "StationId", "LONGITUDE", "LATITUDE", "AvgPrcp"]
     pairs = [(c, m) for c in ("CH", "BR", "GM") for m in (2, 8)]
     assert rows(series.spatial_pairs(df, pairs + pairs[:1])) == rows(series.spatial_slices(df), *columns)
+    assert series.spatial_pairs(df, []).count() == 0
     one = rows(series.spatial_pairs(df, [("GM", 2)]), "StationId", "LONGITUDE", "LATITUDE", "AvgPrcp")
     assert one == rows(series.spatial(df, "GM", 2))
 
@@ -95,3 +96,9 @@ def test_correlation_of_a_constant_is_null(spark):
 
 def test_distinct_values(table, rows):
     assert rows(series.distinct_values(table[1], "Month")) == [(1,), (2,), (8,)]
+
+
+def test_pairs_prune_the_scan(weather):
+    plan = series.spatial_pairs(weather, [("GM", 2), ("CH", 8)])._jdf.queryExecution().executedPlan().toString()
+    assert "FIPS_code" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert " IN (CH,GM)" in plan and "In(Month, [2,8])" in plan

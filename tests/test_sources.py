@@ -93,10 +93,16 @@ def test_kafka_options_reach_the_reader():
         "kafka.bootstrap.servers": "host:1",
         "subscribe": "CH,GM,GR,BR,IS",
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "500000",
         "path": None,
     }
-    assert "maxOffsetsPerTrigger" not in stream.kafka_options("host:1", max_offsets=None)
+    assert stream.kafka_options("host:1", max_offsets=500_000)["maxOffsetsPerTrigger"] == "500000"
+
+
+def test_records_are_numbered_by_offset_and_partition(spark, rows):
+    records = spark.createDataFrame([(5, 0), (5, 3), (4, 9), (6, None)], "offset bigint, partition int")
+    numbers = [r[0] for r in stream.numbered(records).select("seq").collect()]
+    assert len(set(numbers)) == 4 and numbers[2] < numbers[0] < numbers[1] < numbers[3]
+    assert rows(stream.numbered(records.drop("partition")), "seq") == [(4 << 12,), (5 << 12,), (5 << 12,), (6 << 12,)]
 
 
 def test_jdbc_options_reach_reader_and_writer():
@@ -123,8 +129,8 @@ def test_file_stream_has_schema_and_path(spark, tmp_path):
     assert df.isStreaming and df.schema == RAW_RECORD
 
 
-def partial_row(batch, total):
-    return ("CH1", 1, 2000, total, 1, 1, 1, 1, 1, "CH", 1.0, 2.0, 3.0, batch)
+def partial_row(batch, total, stream="main"):
+    return ("CH1", 1, 2000, total, 1, 1, 1, 1, 1, "CH", 1.0, 2.0, 3.0, stream, batch)
 
 
 def test_partials_replace_only_their_batch(spark, tmp_path, rows):
@@ -134,6 +140,51 @@ def test_partials_replace_only_their_batch(spark, tmp_path, rows):
     assert rows(tables.read_partials(spark, path), "batch_id", "SumTmax") == [(0, 10), (1, 25)]
 
 
+def test_streams_do_not_replace_each_other(spark, tmp_path, rows):
+    path = str(tmp_path / "partials")
+    for name in ("one", "two"):
+        tables.write_partials(spark.createDataFrame([partial_row(0, 10, name)], PARTIALS), path)
+    assert rows(tables.read_partials(spark, path), "stream", "batch_id") == [("one", 0), ("two", 0)]
+
+
+def test_compaction_survives_a_replay(spark, tmp_path, rows):
+    path, compacted = str(tmp_path / "partials"), str(tmp_path / "compacted")
+    data = [partial_row(b, 10 * (b + 1), s) for s in ("one", "two") for b in range(4)]
+    tables.write_partials(spark.createDataFrame(data, PARTIALS), path)
+    total = [("one", 100), ("two", 100)]
+
+    def sums():
+        table = tables.read_partials(spark, path, compacted)
+        return rows(table.groupBy("stream").sum("SumTmax"))
+
+    for up_to in (1, 1, 2):
+        tables.compact_partials(spark, path, compacted, up_to)
+        assert sums() == total
+        assert tables.read_partials(spark, path, compacted).count() == 2 * (1 + 3 - up_to)
+    tables.write_partials(spark.createDataFrame(data[:2], PARTIALS), path)
+    assert sums() == total
+
+
+def test_appended_partials_count_once(spark, rows):
+    data = [partial_row(0, 10), partial_row(0, 10), partial_row(1, 20), partial_row(0, 10, "two")]
+    table = jdbc.without_replays(spark.createDataFrame(data, PARTIALS))
+    assert rows(table, "stream", "batch_id") == [("main", 0), ("main", 1), ("two", 0)]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_absent_countries_leave_the_table(spark, tmp_path, mode):
+    path = str(tmp_path / "weather")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for code in ("CH", "GM"):
+            row = (f"{code}1", 1, 2000, 1.0, 2.0, 3.0, code, 1.0, 2.0, 3.0)
+            tables.write_weather(spark.createDataFrame([row], WEATHER), path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert [r.FIPS_code for r in tables.read_weather(spark, path).collect()] == ["GM"]
+
+
 def test_empty_tables_have_their_schema(spark, tmp_path):
     path = str(tmp_path / "empty")
     tables.write_partials(spark.createDataFrame([], PARTIALS), path)
