@@ -126,13 +126,14 @@ def learn(train: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS,
         points = vectors(group["text"].tolist(), idf)
         points = points[np.linalg.norm(points, axis=1) > 0]
         if not len(points):
-            return pd.DataFrame({"lang": [], "centroid": pd.Series([], dtype=object), "radius": []})
+            points = np.zeros((1, len(idf)), dtype=np.float32)  # left out below
         found, cosines = _clusters(points, centroids)
         own = np.argmax(cosines, axis=1)
         radii = [float(np.quantile(cosines[own == k, k], OUTSIDE)) if (own == k).any() else 1.0 for k in range(len(found))]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.tolist() for c in found], "radius": radii})
 
     fitted = few.groupBy("lang").applyInPandas(fit, "lang string, centroid array<float>, radius double").collect()
+    fitted = [r for r in fitted if any(r["centroid"])]
     fitted.sort(key=lambda r: (r["lang"], r["radius"], r["centroid"]))
     matrix = np.array([r["centroid"] for r in fitted], dtype=np.float32).reshape(len(fitted), dimensions)
     return Model(tuple(r["lang"] for r in fitted), matrix, np.array([r["radius"] for r in fitted]), idf)

@@ -106,8 +106,9 @@ def cut_places(starts: np.ndarray, ids: np.ndarray, ends: np.ndarray, length: in
     order = np.argsort(places, kind="stable")
     places, cost = places[order], cost[order]
     gaps = np.diff(places)
-    wide = np.flatnonzero(gaps > STRETCH)
-    inside = [np.arange(places[k] + STRETCH, places[k + 1], STRETCH) for k in wide]
+    stretch = min(STRETCH, length)
+    wide = np.flatnonzero(gaps > stretch)
+    inside = [np.arange(places[k] + stretch, places[k + 1], stretch) for k in wide]
     tail = size - 2 ** np.arange(0, length.bit_length())
     more = np.concatenate([*inside, tail[tail > 0]]).astype(np.int64)
     places = np.concatenate([places, more])
