@@ -26,9 +26,9 @@ from meteorill.llm.tables import let, stored, text_or_empty
 #: Labelled documents, about, that the chain is fitted on.
 MAX_TRAINING_ROWS = 20_000
 #: Words that may be features, and how telling (chi-squared of one category) and frequent they must be.
-MAX_WORDS, MIN_CHI2, MIN_DOCUMENTS = 2048, 20.0, 4
+MAX_WORDS, MIN_CHI2, MIN_DOCUMENTS = 2048, 20.0, 3
 FOLDS = 3
-REG_PARAM = 1e-3
+REG_PARAM = 2e-4
 FLAG = 0.5
 
 

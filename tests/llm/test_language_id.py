@@ -1,0 +1,58 @@
+import random
+
+from llm_texts import odd_texts
+from meteorill.llm import language_id as li
+from pyspark.sql import functions as F
+
+SYLLABLES = {"aa": ["ka", "lo", "mi", "nu"], "bb": ["sch", "ein", "ung", "er"], "cc": ["что", "не", "как", "это"]}
+
+
+def text(lang, seed, words=30):
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(words))
+
+
+def train(spark, count=60):
+    rows = [(text(lang, k), lang) for lang in SYLLABLES for k in range(count)]
+    return spark.createDataFrame([*rows, (None, "aa"), ("ka", None), ("", "dd")], "text string, lang string").repartition(3)
+
+
+def test_held_out_texts(spark):
+    model = li.learn(train(spark))
+    assert set(model.languages) == set(SYLLABLES) and len(model.languages) <= 4 * 3
+    unseen = spark.createDataFrame([(lang, text(lang, 1000 + k), "x", 1) for lang in SYLLABLES for k in range(30)], "doc_id string, text string, lang_pred string, score int")
+    rows = li.predict(unseen, model).collect()
+    assert all(r["doc_id"] == r["lang_pred"] and 0.2 < r["score"] <= 1 for r in rows)
+    assert sum(r["rejected"] for r in rows) < 30
+
+
+def test_far_texts_are_rejected(spark):
+    model = li.learn(train(spark))
+    rows = li.predict(spark.createDataFrame([(1, "zzyx qqwv xxzq " * 20)], "doc_id int, text string"), model).collect()
+    assert rows[0]["rejected"] and rows[0]["lang_pred"] in SYLLABLES
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    one, two = li.learn(train(spark)), li.learn(train(spark).repartition(7))
+    assert one.languages == two.languages and abs(one.idf - two.idf).max() == 0
+
+
+def test_sample_is_bounded(spark):
+    model = li.learn(train(spark, 100), sample=10, centroids=50)
+    assert all(model.languages.count(lang) <= 30 for lang in SYLLABLES)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    model = li.learn(train(spark))
+    rows = li.predict(odd_docs, model).collect()
+    assert len(rows) == odd_docs.count()
+    unknown = sum(not any(map(str.isalpha, t or "")) for t in odd_texts()) + 1
+    assert sum(r["lang_pred"] == "und" for r in rows) == unknown
+    assert all((r["lang_pred"] == "und") == (r["score"] == 0 and r["rejected"]) or r["lang_pred"] != "und" for r in rows)
+    assert li.predict(no_docs, model).count() == 0
+
+
+def test_nothing_learned(odd_docs):
+    model = li.learn(odd_docs.select("text", F.lit(None).cast("string").alias("lang")))
+    assert model.languages == ()
+    assert {r["lang_pred"] for r in li.predict(odd_docs, model).collect()} == {"und"}

@@ -1,0 +1,63 @@
+import random
+
+from llm_texts import prose
+from meteorill.llm import toxicity
+
+BAD = ["grumlo", "grumka", "vexnor", "vextil", "drosk"]
+
+
+def text(seed, bad):
+    words = prose(seed, 50).split()
+    rng = random.Random(seed)
+    for _ in range(bad):
+        words.insert(rng.randrange(len(words)), rng.choice(BAD))
+    return " ".join(words)
+
+
+def labelled(spark, make_docs, count=240):
+    texts = [text(k, 4 if k % 6 == 0 else 0) for k in range(count)]
+    labels = spark.createDataFrame([(k, 1 - (k % 5 == 0), int(k % 6 == 0)) for k in range(count)], "doc_id bigint, quality int, toxic int")
+    return texts, labels
+
+
+def test_chain_finds_unseen_toxic_documents_and_leaves_clean_ones(spark, make_docs):
+    texts, labels = labelled(spark, make_docs)
+    more = [text(1000 + k, 3 if k % 2 else 0) for k in range(40)]
+    docs = make_docs(texts + more)
+    judged = {r["doc_id"]: r for r in toxicity.judge(docs.select("doc_id", "text"), labels.where("doc_id < 240")).collect()}
+    assert all(judged[240 + k]["flagged"] == bool(k % 2) for k in range(40))
+    assert all(0 <= r[f"p_{c}"] <= 1 for r in judged.values() for c in toxicity.CATEGORIES)
+
+
+def test_later_models_take_earlier_probabilities(spark, make_docs):
+    texts, labels = labelled(spark, make_docs)
+    chain = toxicity.fit(toxicity.labelled(make_docs(texts), labels), toxicity.CATEGORIES)
+    assert [m.numFeatures - len(chain.vocabulary) for m in chain.models] == [0, 1, 2]
+
+
+def test_training_sample_is_bounded_and_stable(spark, make_docs):
+    texts, labels = labelled(spark, make_docs)
+    docs = make_docs(texts)
+    some = toxicity.training_rows(docs, labels, max_rows=60)
+    again = toxicity.training_rows(docs.repartition(7), labels.repartition(5), max_rows=60)
+    ids = sorted(r["doc_id"] for r in some.collect())
+    assert 20 < len(ids) < 110 and ids == sorted(r["doc_id"] for r in again.collect())
+
+
+def test_odd_rows(spark, make_docs, odd_docs, no_docs):
+    texts, labels = labelled(spark, make_docs)
+    chain = toxicity.fit(toxicity.labelled(make_docs(texts), labels), toxicity.CATEGORIES)
+    scored = toxicity.score(odd_docs, chain, toxicity.CATEGORIES)
+    assert scored.columns == [*odd_docs.columns, *(f"p_{c}" for c in toxicity.CATEGORIES)]
+    rows = scored.collect()
+    assert len(rows) == odd_docs.count() and all(r["p_toxic"] is not None for r in rows)
+    same = {r["p_toxic"] for r in rows if not (r["text"] or "").strip()}
+    assert len(same) == 1
+    assert toxicity.score(no_docs, chain, toxicity.CATEGORIES).count() == 0
+
+
+def test_nothing_to_learn_from(spark, make_docs, odd_docs, no_docs):
+    nothing = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert {r["flagged"] for r in toxicity.judge(odd_docs.select("doc_id", "text"), nothing).collect()} == {False}
+    clean = spark.createDataFrame([(k, 1, 0) for k in range(10)], nothing.schema)
+    assert {r["flagged"] for r in toxicity.judge(odd_docs.select("doc_id", "text"), clean).collect()} == {False}
