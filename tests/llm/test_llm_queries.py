@@ -62,7 +62,7 @@ def test_quality_statistics(spark, small_dir, documents):
         assert r["kept"] == (not r["base_failed"] and r["rule"] is None)
 
 
-def test_suffix_dedup(spark, small_dir, documents):
+def test_repeats_are_removed(spark, small_dir, documents):
     expected = test_suffix_dedup.brute([(i, r["text"]) for i, r in documents.items()])
     rows = QUERIES["op6_suffix_array_dedup"](spark, small_dir).collect()
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows}
@@ -79,7 +79,7 @@ def test_language_accuracy(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_packing(spark, small_dir):
+def test_packed_documents(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").coalesce(1)
     padding, total, rows = test_packing.check(docs)
     got = QUERIES["op9_packing"](spark, small_dir)
