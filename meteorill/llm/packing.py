@@ -55,6 +55,14 @@ def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {bytes(byte_of[c] for c in w): k for w, k in words.items()}, special
 
 
+@cache
+def _exact(path: str):
+    """The file's own tokenizer; large, so only loaded where it is needed."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @cache
 def tokenizer(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids, as the vocabulary at `path` gives them with add_special_tokens=False.
@@ -64,11 +72,9 @@ def tokenizer(path: str) -> Callable[[str], np.ndarray]:
     """
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     ranks, special = _vocabulary(path)
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    exact = Tokenizer.from_file(path)
 
     def encode(text: str) -> np.ndarray:
         if not any(s in text for s in special):
@@ -77,7 +83,7 @@ def tokenizer(path: str) -> Callable[[str], np.ndarray]:
             except BaseException as error:
                 if type(error).__name__ not in ("PanicException", "ValueError"):
                     raise
-        return np.array(exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(_exact(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode
 
