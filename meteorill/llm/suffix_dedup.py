@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteorill.llm.jaccard_join import _mixed, _powers
-from meteorill.llm.tables import bounded, stored, text_or_empty
+from meteorill.llm.tables import stored, text_or_empty
 
 LENGTH = 100
 K = 24
@@ -45,8 +45,9 @@ def tag(data: bytes) -> int:
     return zlib.crc32(data) >> 9
 
 
-def packed(text_tag: int, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (np.int64(text_tag) << (START_BITS + COUNT_BITS)) | (start.astype(np.int64) << COUNT_BITS) | count.astype(np.int64)
+def packed(text_tag, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    tags = np.asarray(text_tag, dtype=np.int64)
+    return (tags << (START_BITS + COUNT_BITS)) | (start.astype(np.int64) << COUNT_BITS) | count.astype(np.int64)
 
 
 def unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +114,7 @@ def _bytes_of(docs: DataFrame) -> DataFrame:
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes of `data` (bytes) in the order of their first `depth` bytes at least.
 
-    Suffixes smaller than their successors are sorted directly, by words of eight bytes. Then the
+    Suffixes smaller than their successors are sorted directly, by their first bytes. Then the
     buckets of first bytes are scanned in ascending order: a suffix larger than its successor comes
     before the others of its bucket, in the order of the successors.
     """
@@ -125,9 +126,8 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     step = np.sign(following - data)  # 1: smaller than the successor, -1: larger, 0: as the successor
     change = np.flatnonzero(step)
     smaller = step[change[np.searchsorted(change, np.arange(size))]] > 0
-    words = word_table(data, depth)
     direct = np.flatnonzero(smaller)
-    direct = direct[np.lexsort([words[direct + 8 * k] for k in range(-(-depth // 8) - 1, -1, -1)])]
+    direct = direct[np.argsort(beginnings(data, direct, depth).view(f"S{depth}").ravel(), kind="stable")]
 
     counts = np.bincount(data, minlength=256)
     heads = np.concatenate([[0], np.cumsum(counts)])
@@ -154,26 +154,20 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def word_table(data: np.ndarray, depth: int) -> np.ndarray:
-    """Eight bytes from each place on as one number, with zeros after the end, for places up to `depth` beyond it."""
-    padded = np.concatenate([data, np.zeros(depth + 16, dtype=np.uint8)]).astype(np.uint64)
-    words = np.zeros(len(padded) - 7, dtype=np.uint64)
-    for k in range(8):
-        words |= padded[k : k + len(words)] << np.uint64(56 - 8 * k)
-    return words
+def beginnings(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """A row of `depth` bytes from each place on, with zeros after the end."""
+    padded = np.concatenate([data, np.zeros(depth, dtype=np.uint8)])
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, depth)[places])
 
 
-def common_prefixes(words: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int, block: int = 1 << 14) -> np.ndarray:
     """Bytes that each suffix of `order` has in common with the one before it, up to `depth`; 0 for the first."""
     common = np.zeros(len(order), dtype=np.int64)
-    a, b, still = order[:-1], order[1:], np.ones(max(0, len(order) - 1), dtype=bool)
-    for k in range(0, depth, 8):
-        different = words[a + k] ^ words[b + k]
-        odd = different != 0
-        same = np.where(odd, (different.astype(">u8").view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1), 8)
-        common[1:][still] += same[still]
-        still &= ~odd
-    return np.minimum(common, depth)
+    for begin in range(1, len(order), block):
+        rows = beginnings(data, order[begin - 1 : begin + block], depth)
+        different = rows[1:] != rows[:-1]
+        common[begin : begin + block] = np.where(different.any(axis=1), different.argmax(axis=1), depth)
+    return common
 
 
 def equal_strings(segments: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +180,7 @@ def equal_strings(segments: list[bytes], length: int = LENGTH) -> tuple[np.ndarr
     offset = order - starts[segment]
     inside = offset + length <= sizes[segment]
     order, segment, offset = order[inside], segment[inside], offset[inside]
-    common = common_prefixes(word_table(data, length), order, length)
+    common = common_prefixes(data, order, length)
     return np.cumsum(common < length), segment, offset
 
 
@@ -204,24 +198,32 @@ def _settle(rows: list[tuple], length: int) -> tuple[list, list[int], list[tuple
     start = starts[segment] + offset
     place = (rank << START_BITS) | start
     first = np.minimum.reduceat(place, np.flatnonzero(np.diff(cluster, prepend=0)))[cluster - cluster[0]]
-    one = np.ones(1, dtype=np.int64)
+    # Neighbouring strings of a segment go together again.
     later = np.flatnonzero(place > first)
+    later = later[np.lexsort((offset[later], segment[later]))]
+    apart = (np.diff(segment[later], prepend=-1) != 0) | (np.diff(offset[later], prepend=-2) != 1)
+    begins = np.flatnonzero(apart)
+    counts = np.diff(np.append(begins, len(later)))
+    later = later[begins]
     ids = [rows[s][1] for s in segment[later].tolist()]
-    places = [int(packed(int(tags[s]), np.array([b]), one)[0]) for s, b in zip(segment[later].tolist(), start[later].tolist(), strict=True)]
+    places = packed(tags[segment[later]], start[later], counts).tolist()
     many = np.array([r[0] > 1 for r in rows])[segment]
+    own = np.flatnonzero((place == first) & many)
     earliest = []
-    for k in np.flatnonzero((place == first) & many).tolist():
-        s, b = int(segment[k]), int(offset[k])
+    for s, b, at in zip(segment[own].tolist(), offset[own].tolist(), packed(tags[segment[own]], start[own], np.ones(len(own))).tolist(), strict=True):
         key = hashlib.blake2b(rows[s][3][b : b + length], digest_size=16).digest()
-        earliest.append((rows[s][1], int(packed(int(tags[s]), start[k : k + 1], one)[0]), int.from_bytes(key[:8], "big", signed=True), int.from_bytes(key[8:], "big", signed=True)))
+        earliest.append((rows[s][1], at, int.from_bytes(key[:8], "big", signed=True), int.from_bytes(key[8:], "big", signed=True)))
     return ids, places, earliest
 
 
 def repeated_places(docs: DataFrame, *, length: int = LENGTH, k: int = K, together: int = TOGETHER, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """(doc_id, at) of strings, in runs, that also start earlier; stored."""
+    if not 0 < length - k + 1 < 1 << COUNT_BITS:
+        raise ValueError(f"a run of strings of {length} bytes around {k} does not fit {COUNT_BITS} bits")
     kind = docs.schema["doc_id"].dataType.simpleString()
     everything = run_rows(docs, length, k)
-    twice = everything.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor")
+    # Stored, so that the join below shuffles both sides and a hot anchor can be split.
+    twice = stored(everything.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
     met = stored(everything.join(twice.hint("shuffle_hash"), "anchor"))
     first = stored(met.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("rows")))
 
@@ -233,8 +235,12 @@ def repeated_places(docs: DataFrame, *, length: int = LENGTH, k: int = K, togeth
     salts = F.ceil(F.col("contents") / together).cast("int")
     open_runs = first.join(mixed, "anchor").select("anchor", salts.alias("salts"), F.pmod("content", salts.cast("long")).cast("int").alias("salt"), "first.doc_id", "first.at")
     wanted = stored(open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "salts", "salt", "at")).alias("wanted")).withColumnRenamed("doc_id", "wanted_id"))
-    small = bounded(wanted, wanted.count(), max_broadcast_rows)
-    texts = _bytes_of(docs).join(small, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("doc_id", "text", "wanted")
+    same_id = F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+    texts = _bytes_of(docs)
+    if wanted.count() <= max_broadcast_rows:
+        # The ids of texts with such runs are few: only these texts are shuffled.
+        texts = texts.join(F.broadcast(wanted.select("wanted_id")), same_id, "left_semi")
+    texts = texts.join(wanted.hint("merge"), same_id).select("doc_id", "text", "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +307,9 @@ def _remove(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *out])
 
 
-def deduplicate(docs: DataFrame, *, length: int = LENGTH, k: int = K, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, *, length: int = LENGTH, k: int = K, together: int = TOGETHER, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, spans) of every row of `docs`.
 
     kept are the remaining bytes, which may begin or end inside a character; spans the maximal
@@ -309,7 +317,7 @@ def deduplicate(docs: DataFrame, *, length: int = LENGTH, k: int = K, max_broadc
     counted to be few enough to be known to all tasks; else all texts are.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    places = repeated_places(docs, length=length, k=k, max_broadcast_rows=max_broadcast_rows)
+    places = repeated_places(docs, length=length, k=k, together=together, max_broadcast_rows=max_broadcast_rows)
     lists = stored(places.groupBy("doc_id").agg(F.collect_list("at").alias("places")).withColumnRenamed("doc_id", "list_id"))
     texts = _bytes_of(docs)
     same: Column = F.col("doc_id").eqNullSafe(F.col("list_id"))
