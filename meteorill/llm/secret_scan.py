@@ -122,7 +122,7 @@ def redact(docs: DataFrame, judged: DataFrame, *, mark: str = "<secret>", max_br
     n_chars, if there is such a column, counted anew. Texts without spans stay as they are, null ones too.
     """
     wanted = stored(judged.where("size(spans) > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__hash"]))
-    small = bounded(wanted, wanted.count(), max_broadcast_rows)
+    small = bounded(wanted, wanted.agg(F.sum(F.size("__spans"))).first()[0] or 0, max_broadcast_rows)
     same = docs["doc_id"].eqNullSafe(small["__id"]) & (F.xxhash64(docs["text"]) == small["__hash"])
 
     def cut(state, span):
