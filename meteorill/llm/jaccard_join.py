@@ -212,7 +212,8 @@ def shared_prefixes(prefix: DataFrame) -> DataFrame:
     class: `alone`, how many n-grams of its beginning no other row has, and `weight`, how often the
     others occur in all. Stored.
     """
-    twice = prefix.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
+    # Stored, so that the join below shuffles both sides and a hot token can be split.
+    twice = stored(prefix.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1"))
     rows = stored(prefix.join(twice, "token").distinct())
     figures = rows.groupBy("class").agg(F.count("*").alias("known"), F.sum("rows").alias("weight"))
     joined = rows.drop("rows").join(figures, "class")
@@ -286,7 +287,7 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, fragments:
     wanted = sent.groupBy("class").agg(F.collect_list("to").alias("to"))
     holder = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("holder"))
     wanted = stored(wanted.join(holder, "class").select("holder", F.col("class").alias("wanted"), "to"))
-    small = bounded(wanted, wanted.count(), max_broadcast_rows)
+    small = bounded(wanted, wanted.agg(F.sum(F.size("to"))).first()[0] or 0, max_broadcast_rows)
     texts = docs.select("doc_id", text_or_empty().alias("text")).join(small, F.col("doc_id").eqNullSafe(F.col("holder"))).select("text", "wanted", "to")
 
     def run(batches):
@@ -376,7 +377,8 @@ def grouped_documents(docs: DataFrame, *, common: int = COMMON, max_rounds: int
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs`: the least id its group holds, its own without n-grams."""
     grouped = grouped_documents(docs, **options)
-    least = grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # Stored for the same reason: a group may hold a third of all rows.
+    least = stored(grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id")))
     joined = grouped.join(least, "group", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
