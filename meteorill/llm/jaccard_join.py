@@ -209,7 +209,7 @@ def prefixes(docs: DataFrame, order: Order) -> DataFrame:
 
 def shared_prefixes(prefix: DataFrame) -> DataFrame:
     """Rows of `prefix` whose token occurs more than once, each class once, with two figures of the
-    class: `alone`, how many n-grams of its beginning no other row has, and `weight`, how often the
+    class: `alone`, how many n-grams of its beginning no other beginning has, and `weight`, how often the
     others occur in all. Stored.
     """
     # Stored, so that the join below shuffles both sides and a hot token can be split.
@@ -221,9 +221,15 @@ def shared_prefixes(prefix: DataFrame) -> DataFrame:
 
 
 def _compatible() -> Column:
-    """Whether sizes, and what either set has alone, leave room for a link."""
+    """Whether sizes, and what the set whose beginning ends first has alone, leave room for a link.
+
+    What that set has alone would stand in the other's beginning if the other had it. N-grams of the
+    beginning that ends last may stand in the other set behind its beginning, so they prove nothing.
+    """
     n, other = F.col("n"), F.col("other_n")
-    most = F.least(n - F.col("alone"), other - F.col("other_alone"))
+    mine = F.when(F.col("last") < F.col("other_last"), n - F.col("alone")).otherwise(n)
+    theirs = F.when(F.col("other_last") < F.col("last"), other - F.col("other_alone")).otherwise(other)
+    most = F.least(mine, theirs)
     return (F.least(n, other) * 100 >= F.greatest(n, other) * PERCENT) & ((100 + PERCENT) * most >= PERCENT * (n + other))
 
 

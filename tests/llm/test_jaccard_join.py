@@ -70,6 +70,15 @@ def test_thresholds_are_exact(make_docs):
     assert found(docs) == brute(rows)
 
 
+@pytest.mark.parametrize(("inner", "outer"), [(80, 100), (82, 100), (400, 500)])
+def test_sets_inside_others(make_docs, inner, outer):
+    texts = []
+    for pair in range(40 if outer < 500 else 12):
+        words = [f"w{inner}x{pair}x{k}" for k in range(outer + 4)]
+        texts += [" ".join(words[: inner + 4]), " ".join(words)]
+    assert found(make_docs(texts)) == brute(list(enumerate(texts)))
+
+
 def test_small_and_odd_rows(odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert found(odd_docs) == brute(rows)
