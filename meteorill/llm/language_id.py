@@ -33,6 +33,7 @@ CENTROIDS = 4
 #: Share of a cluster's own texts that may lie outside its radius.
 OUTSIDE = 0.01
 CHUNK = 256
+MAX_BROADCAST_ROWS = 200_000
 
 #: Letters of ASCII in lower case, all other ASCII as space; bytes of other characters as they are.
 _PLAIN = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -108,22 +109,35 @@ class Model:
     idf: np.ndarray
 
 
+def drawn(train: DataFrame, sample: int) -> DataFrame:
+    """(lang, text, copies): about `sample` rows of each language, the same whatever the partitions. Stored.
+
+    Of equal texts as many copies are drawn as their share allows, rounded by the text's hash, so that
+    the sample keeps its size however often a text occurs. Texts are taken as equal if their hash is.
+    """
+    hashed = train.select("lang", "text", F.xxhash64("text").alias("hash"))
+    distinct = stored(hashed.groupBy("lang", "hash").agg(F.count("*").alias("rows")))
+    counts = stored(distinct.groupBy("lang").agg(F.sum("rows").alias("count")))
+    counts = bounded(counts, counts.count(), 10_000)
+    unit = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count"))
+    copies = stored(distinct.join(counts, "lang").select("lang", "hash", F.ceil(F.col("rows") * share - unit).alias("copies")).where("copies > 0"))
+    copies = bounded(copies, copies.count(), MAX_BROADCAST_ROWS)
+    return stored(hashed.join(copies, ["lang", "hash"]).groupBy("lang", "hash", "copies").agg(F.min("text").alias("text")).select("lang", "text", "copies"))
+
+
 def learn(train: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS, dimensions: int = DIMENSIONS) -> Model:
     """A model from rows of (text, lang).
 
-    The sample takes the same rows of a language whatever the partitions: those whose hash lies
-    below its share. One task fits a language's centroids to its sample.
+    One task fits a language's centroids to its sample; see `drawn`.
     """
     train = train.where("text is not null and lang is not null").select("text", "lang")
     seen, rows = document_frequencies(train, dimensions)
     idf = np.log((1 + rows) / (1 + seen)).astype(np.float32)
-    counts = stored(train.groupBy("lang").count())
-    counts = bounded(counts, counts.count(), 10_000)
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = stored(train.join(counts, "lang").where(unit * F.col("count") < sample).select("text", "lang"))
+    few = drawn(train, sample)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        points = vectors(group["text"].tolist(), idf)
+        points = np.repeat(vectors(group["text"].tolist(), idf), group["copies"], axis=0)
         points = points[np.linalg.norm(points, axis=1) > 0]
         if not len(points):
             points = np.zeros((1, len(idf)), dtype=np.float32)  # left out below

@@ -42,6 +42,17 @@ def test_sample_is_bounded(spark):
     assert all(model.languages.count(lang) <= 30 for lang in SYLLABLES)
 
 
+def test_sample_is_bounded_at_every_skew(spark):
+    hot = {f"l{k}": text("aa", 5000 + k) for k in range(5)}
+    rows = [(hot[lang], lang) for lang in hot for _ in range(270)] + [(text("bb", f"{lang}{k}"), lang) for lang in hot for k in range(30)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = li.learn(docs, sample=30)
+    found = li.predict(spark.createDataFrame([*hot.items()], "doc_id string, text string"), model).collect()
+    assert all(r["doc_id"] == r["lang_pred"] and r["score"] > 0.99 for r in found)
+    sizes = {r["lang"]: r["n"] for r in li.drawn(docs, 30).groupBy("lang").agg(F.sum("copies").alias("n")).collect()}
+    assert set(sizes) == set(hot) and all(27 <= n <= 60 for n in sizes.values())
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     model = li.learn(train(spark))
     rows = li.predict(odd_docs, model).collect()
