@@ -35,8 +35,8 @@ LENGTH = 2048
 END_TOKEN = 1
 #: Tokens of padding that a cut is worth: at a sentence's end, and inside a long sentence.
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 64
-#: Sentence ends in the same cell of so many tokens count as one; longer stretches get cuts this far apart.
-CELL, STRETCH = 16, 256
+#: Longer stretches without a sentence's end get cuts this far apart.
+STRETCH = 256
 #: Tokens planned at a time.
 SPAN = 1 << 20
 SENTENCE_ENDS = (b".", b"!", b"?", b"\n")
@@ -106,7 +106,6 @@ def cut_places(starts: np.ndarray, ids: np.ndarray, ends: np.ndarray, length: in
     """
     size = len(ids)
     sentences = np.flatnonzero(ends[ids]) + 1
-    sentences = sentences[np.diff(sentences // CELL, prepend=-1) > 0]
     places = np.concatenate([starts, sentences, [size]])
     cost = np.concatenate([np.zeros(len(starts)), np.full(len(sentences), SENTENCE_PENALTY), [0]])
     order = np.argsort(places, kind="stable")

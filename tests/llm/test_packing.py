@@ -98,3 +98,12 @@ def test_small_spans_give_whole_results(make_docs):
 def test_odd_rows(odd_docs, no_docs):
     check(odd_docs)
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_every_sentence_end_may_be_cut():
+    ends = np.array([False, True])
+    ids = np.random.default_rng(8).integers(0, 2, 300)
+    places, cost = packing.cut_places(np.array([0, 150]), ids, ends, 64)
+    price = dict(zip(places.tolist(), cost.tolist(), strict=True))
+    for place in (np.flatnonzero(ids) + 1).tolist():
+        assert price[place] == (0 if place in (0, 150, 300) else packing.SENTENCE_PENALTY)
