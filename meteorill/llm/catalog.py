@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import decontamination, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, suffix_dedup, toxicity, url_filter
+from meteorill.llm import decontamination, hard_negatives, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, suffix_dedup, toxicity, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,11 @@ def op6_suffix_array_dedup(spark, sf_dir):
     """What is left of every document without strings of 100 bytes that start earlier, too."""
     found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_hard_negative_mining(spark, sf_dir):
+    """Hard negatives of every hundredth vector; labels of every seventh are moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)

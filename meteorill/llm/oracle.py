@@ -81,6 +81,26 @@ select r.x as doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(y) as
 from reached r left join sizes on sizes.doc_id = r.x group by r.x
 """
 
+HARD_NEGATIVES = """
+with usable as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from usable a join usable b on a.vec_id % 100 = 0 and b.vec_id is distinct from a.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+  row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+from positives join scores using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_ngram_jaccard_join": JACCARD, "op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
+    return {"op12_hard_negative_mining": HARD_NEGATIVES, "op8_ngram_jaccard_join": JACCARD, "op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
