@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import decontamination, hard_negatives, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, suffix_dedup, toxicity, url_filter
+from meteorill.llm import decontamination, hard_negatives, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, spelling, suffix_dedup, toxicity, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,18 @@ def op12_hard_negative_mining(spark, sf_dir):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def _without_one(doc_id, word: bytes) -> bytes:
+    """One in 31 of a document's words loses a letter, both by the checksum of id and word."""
+    if doc_id is None:
+        return word
+    chance = zlib.crc32(f"{doc_id}:{word.decode('latin-1')}".encode())
+    lost = chance % len(word)
+    return word[:lost] + word[lost + 1 :] if chance % 31 == 0 else word
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents, some with a letter lost, and the much more frequent words one letter away."""
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), change=_without_one))

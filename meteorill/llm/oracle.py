@@ -84,10 +84,10 @@ from reached r left join sizes on sizes.doc_id = r.x group by r.x
 HARD_NEGATIVES = """
 with usable as (
   select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-    list_transform(embedding, x -> floor(256 * x::double)) as v
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
   from embeddings
   where label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scores as (
   select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
   from usable a join usable b on a.vec_id % 100 = 0 and b.vec_id is distinct from a.vec_id),
@@ -101,6 +101,42 @@ where not same and 80 * positive_score <= 100 * score and score <= positive_scor
 qualify rank <= 5
 """
 
+SPELLING = """
+with recursive runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) as run from documents)
+  where len(run) >= 7 group by all),
+hexes as (select *, hex(encode(doc_id || ':' || run)) as bytes from runs),
+sums as (
+  select *, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(len(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) as h
+  from hexes),
+words as (
+  select word, sum(n)::bigint as n
+  from (select case when h % 31 = 0 then substr(run, 1, (h % len(run))::bigint) || substr(run, (h % len(run))::bigint + 2) else run end as word, n
+        from sums)
+  where len(word) >= 7 group by word having sum(n) >= 2),
+without as (
+  select word, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, unnest(range(len(word))) as i from words)),
+near as (
+  select a.word, b.word as near from without a join without b using (rest, i) where a.word <> b.word
+  union select without.word, words.word from without join words on words.word = rest
+  union select words.word, without.word from without join words on words.word = rest),
+best as (
+  select near.word, count(*) as n_near, first(near order by words.n desc, near) as form, max(words.n) as form_n
+  from near join words on words.word = near group by near.word),
+judged as (
+  select word, case when form_n >= 10 * n then form end as form, n, coalesce(n_near, 0) as n_near,
+    case when form_n >= 10 * n then form_n end as form_n
+  from words left join best using (word)),
+followed as (
+  select word, word as here, 0 as steps from words
+  union all select followed.word, form, steps + 1 from followed join judged on judged.word = here where form is not null)
+select judged.*, root
+from judged join (select word, arg_max(here, steps) as root from followed group by word) using (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_hard_negative_mining": HARD_NEGATIVES, "op8_ngram_jaccard_join": JACCARD, "op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
+    return {"op13_spelling_variants": SPELLING, "op12_hard_negative_mining": HARD_NEGATIVES, "op8_ngram_jaccard_join": JACCARD, "op2_benchmark_decontamination": DECONTAMINATION, "op4_url_filters": URL_FILTERS}
