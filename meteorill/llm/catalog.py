@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteorill.llm import decontamination, hard_negatives, jaccard_join, language_id, packing, quality_rules, resharding, secret_scan, spelling, suffix_dedup, toxicity, url_filter
+from meteorill.llm import decontamination, hard_negatives, jaccard_join, language_id, language_model, packing, quality_rules, resharding, secret_scan, spelling, suffix_dedup, toxicity, url_filter
 from meteorill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,17 @@ def op6_suffix_array_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_lm_scoring(spark, sf_dir):
+    """Log probabilities of every document, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(True))
+    learned = language_model.learn(docs.where(~held_out))
+    scored = language_model.score(docs.withColumn("held_out", held_out), learned, ("doc_id", "held_out"))
+    train_tokens = F.lit(learned.n_tokens).cast("long").alias("train_tokens")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", train_tokens, "base_score", "score", "bits_per_byte")
+
+
 @query
 def op12_hard_negative_mining(spark, sf_dir):
     """Hard negatives of every hundredth vector; labels of every seventh are moved on by one."""
