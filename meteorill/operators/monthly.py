@@ -24,7 +24,7 @@ def _is(variable: str) -> Column:
     return F.col("Variable") == variable
 
 
-def _batch(df: DataFrame) -> list[str]:
+def of_batch(df: DataFrame) -> list[str]:
     """`batch_id` takes part in the grouping where the input carries it."""
     return ["batch_id"] if "batch_id" in df.columns else []
 
@@ -45,7 +45,7 @@ def daily_pivot(observations: DataFrame) -> DataFrame:
         F.min_by(F.when(_is(v), F.col("Value")), F.when(_is(v), F.col(order))).alias(v)
         for v in VARIABLES
     ]
-    return observations.groupBy(*_batch(observations), "StationId", "Date").agg(*first)
+    return observations.groupBy(*of_batch(observations), "StationId", "Date").agg(*first)
 
 
 def daily_values(observations: DataFrame) -> DataFrame:
@@ -55,12 +55,12 @@ def daily_values(observations: DataFrame) -> DataFrame:
     """
     order = _order(observations)
     kept = [F.min(order).alias("seq")] if order == "seq" else []
-    return observations.groupBy(*_batch(observations), "StationId", "Date", "Variable").agg(
+    return observations.groupBy(*of_batch(observations), "StationId", "Date", "Variable").agg(
         F.min_by("Value", order).alias("Value"), *kept
     )
 
 
-def _with_month(daily: DataFrame) -> DataFrame:
+def with_month(daily: DataFrame) -> DataFrame:
     return daily.withColumns({"Month": month_of(), "Year": year_of()})
 
 
@@ -68,20 +68,21 @@ def monthly_partials(observations: DataFrame, divisor: str = "count") -> DataFra
     """Sums and divisors for each station and month (and batch).
 
     divisor: `count` counts days, which makes a true mean that merges over batches.
-    `distinct` counts distinct values, `approx_distinct` estimates that number; neither merges, so
-    input that carries batches is refused.
+    `distinct` counts distinct values, `approx_distinct` estimates that number. Such numbers do not merge, so
+    input that carries batches is refused here; `distinct.bit_partials` and `distinct.sketch_partials`
+    keep what does.
     """
     if divisor not in DIVISORS:
         raise ValueError(f"divisor must be one of {DIVISORS}")
-    if divisor != "count" and _batch(observations):
+    if divisor != "count" and of_batch(observations):
         raise ValueError(f"divisor {divisor!r} cannot be merged over batches")
-    keys = [*_batch(observations), "StationId", "Month", "Year"]
+    keys = [*of_batch(observations), "StationId", "Month", "Year"]
 
     if divisor == "distinct":
         # Counting values before months keeps one row for each value; several
         # count(distinct ...) side by side would multiply the rows instead.
         values = (
-            _with_month(daily_values(observations))
+            with_month(daily_values(observations))
             .groupBy(*keys, "Variable", "Value")
             .agg(F.count(F.lit(1)).alias("n"))
         )
@@ -92,7 +93,7 @@ def monthly_partials(observations: DataFrame, divisor: str = "count") -> DataFra
         counter = F.count if divisor == "count" else F.approx_count_distinct
         total = {v: F.sum(v) for v in VARIABLES}
         count = {v: counter(v) for v in VARIABLES}
-        source = _with_month(daily_pivot(observations))
+        source = with_month(daily_pivot(observations))
 
     return source.groupBy(*keys).agg(
         *[total[v].alias(f"Sum{SUFFIX[v]}") for v in VARIABLES],

@@ -36,12 +36,14 @@ def top_stations(weather: DataFrame, codes: Iterable[str], n: int) -> DataFrame:
 
 
 def _of_top_stations(weather: DataFrame, codes: list[str], n: int) -> DataFrame:
-    # The broadcast side has at most n rows for each country. The filter repeats what the
-    # join implies, to prune the country directories of the table.
-    chosen = top_stations(weather, codes, n).select("StationId")
-    return weather.filter(F.col("FIPS_code").isin(codes)).join(
-        F.broadcast(chosen), "StationId", "left_semi"
-    )
+    """Rows of the first n stations of each country.
+
+    Their ids, at most n for each country, are found first, from two columns of the countries' files. As
+    values of a predicate they reach the scan: row groups and pages without these stations are
+    not read. As a join they would be known too late for that.
+    """
+    chosen = [r["StationId"] for r in top_stations(weather, codes, n).select("StationId").collect()]
+    return weather.filter(F.col("FIPS_code").isin(codes) & F.col("StationId").isin(chosen))
 
 
 def temporal(

@@ -5,6 +5,7 @@ folder of the workspace, and read it from there, as a user of that table would.
 """
 
 from collections.abc import Callable
+from itertools import product
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,25 @@ from pyspark.sql import functions as F
 
 from meteorill.functions.codes import fips_code, season_name
 from meteorill.functions.dates import month_of, year_of
-from meteorill.operators import classification, evaluate, features, monthly, profile, regression, series
+from meteorill.operators import classification, distinct, evaluate, features, gram, monthly, profile, regression, series, splits
 from meteorill.operators.observations import clean, parse_observations
 from meteorill.operators.preview import preview
-from meteorill.operators.stations import enrich, weather_from_daily, weather_from_partials
+from meteorill.operators.stations import (
+    enrich,
+    weather_from_bits,
+    weather_from_daily,
+    weather_from_monthly,
+    weather_from_partials,
+    weather_from_sketches,
+)
 from meteorill.plans import fixtures as fx
 from meteorill.plans.workspace import new_folder
-from meteorill.schemas import RAW_RECORD
-from meteorill.sources import tables, text
-from meteorill.sources.stream import observation_stream
-from meteorill.streaming.ingest import batch_partials, start_daily_ingest, start_ingest
+from meteorill.schemas import COUNTRIES, RAW_RECORD, SEASON_NAMES, STATION_HISTORY
+from meteorill.sources import snapshots, tables, text
+from meteorill.sources.stream import admitted, observation_stream
+from meteorill.streaming.ingest import batch_partials, start_daily_ingest, start_distinct_ingest, start_ingest
+from meteorill.streaming.monthly_state import start_monthly_state
+from meteorill.streaming.progress import ProgressLog, follow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,14 +181,27 @@ def approx_distinct_values(spark, sf_dir):
     return _estimates(spark, sf_dir).join(named, keys).select(*keys, *monthly.SUMS, *near)
 
 
+@query
+def sketch_distinct_values(spark, sf_dir):
+    """Sums and estimates from the merged sketches of four batches; so few values are counted without error."""
+    merged = distinct.merge_sketches(distinct.sketch_partials(fx.batched_obs(spark, sf_dir)))
+    return distinct.counted_sketches(merged)
+
+
+@query
+def bit_distinct_values(spark, sf_dir):
+    """Sums and numbers of distinct values from the merged bits of four batches."""
+    return distinct.counted_bits(distinct.merge_bits(distinct.bit_partials(fx.batched_obs(spark, sf_dir))))
+
+
 @query
 def weather_distinct_divisor(spark, sf_dir):
-    return fx.weather(spark, sf_dir, "distinct")
+    return weather_from_bits(distinct.bit_partials(fx.batched_obs(spark, sf_dir)), fx.stations(spark, sf_dir))
 
 
 @query
 def weather_approx_divisor(spark, sf_dir):
-    return fx.weather(spark, sf_dir, "approx_distinct")
+    return weather_from_sketches(distinct.sketch_partials(fx.batched_obs(spark, sf_dir)), fx.stations(spark, sf_dir))
 
 
 # Inventory profile
@@ -277,33 +300,38 @@ def temp_prcp_corr(spark, sf_dir):
 # Streaming
 
 
-def _in_batches(spark: SparkSession, sf_dir: str, base: str, start, part, **options) -> None:
-    """Send all observations through a stream that is stopped and started again for each batch.
+#: Files that the records of each part of a stream are written to.
+FILES = 4
+
 
-    `part` says which of the batches an observation belongs to; its records are written, and then
-    the stream takes all there is as one batch.
+def _records(spark: SparkSession, sf_dir: str, base: str, part, parts: range = range(fx.BATCHES)) -> DataFrame:
+    """A stream that takes the observations of one part after the other, a batch for each.
+
+    `part` says which of the parts an observation belongs to. All files are there before the stream starts; it
+    admits as many at a time as a part has.
     """
-    for k in range(fx.BATCHES):
-        some = fx.obs(spark, sf_dir).filter(F.pmod(part, F.lit(fx.BATCHES)) == k)
+    for k in parts:
+        some = fx.obs(spark, sf_dir).filter(part == k).repartition(FILES)
         fx.records(some).write.mode("append").parquet(f"{base}/records")
-        records = observation_stream(spark, {}, "parquet", RAW_RECORD, f"{base}/records")
-        start(
-            records,
-            checkpoint=f"{base}/checkpoint",
-            floor=fx.FLOOR,
-            trigger={"availableNow": True},
-            progress=f"{base}/progress",
-            **options,
-        ).awaitTermination()
-
-
-def _ingest(spark: SparkSession, sf_dir: str) -> str:
-    """Partials by batch, all records of a day in the same one; gives the folder."""
+    return observation_stream(spark, admitted(files=FILES), "parquet", RAW_RECORD, f"{base}/records")
+
+
+def _run(records: DataFrame, base: str, start, progress: ProgressLog | None = None, **options) -> None:
+    query = start(records, checkpoint=f"{base}/checkpoint", floor=fx.FLOOR, trigger={"availableNow": True}, progress=progress, **options)
+    query.awaitTermination()
+    if progress is not None:
+        progress.wait(query)
+
+
+def _by_day(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """All records of a day in the same batch."""
+    return _records(spark, sf_dir, base, F.pmod("Date", F.lit(fx.BATCHES)))
+
+
+def _ingest(spark: SparkSession, sf_dir: str, progress: ProgressLog | None = None) -> str:
+    """Partials by batch; gives the folder."""
     base = new_folder(spark)
-    _in_batches(
-        spark, sf_dir, base, start_ingest, F.col("Date"),
-        stations=fx.stations(spark, sf_dir), path=f"{base}/partials",
-    )
+    _run(_by_day(spark, sf_dir, base), base, start_ingest, progress, stations=fx.stations(spark, sf_dir), path=f"{base}/partials")
     return base
 
 
@@ -315,9 +343,10 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_compacted(spark, sf_dir):
-    """The same, with the first three batches compacted."""
+    """The same, with the first three batches compacted, in two versions of the compacted table."""
     base = _ingest(spark, sf_dir)
-    tables.compact_partials(spark, f"{base}/partials", f"{base}/compacted", 2)
+    for up_to in (1, {"main": 2}):
+        tables.compact_partials(spark, f"{base}/partials", f"{base}/compacted", up_to)
     partials = tables.read_partials(spark, f"{base}/partials", f"{base}/compacted")
     return weather_from_partials(partials, fx.stations(spark, sf_dir))
 
@@ -326,13 +355,67 @@ def stream_compacted(spark, sf_dir):
 def stream_daily_ingest(spark, sf_dir):
     """Repeated values of a day, spread over the micro-batches."""
     base = new_folder(spark)
-    _in_batches(spark, sf_dir, base, start_daily_ingest, F.xxhash64("seq"), path=f"{base}/daily")
+    records = _records(spark, sf_dir, base, F.pmod(F.xxhash64("seq"), F.lit(fx.BATCHES)))
+    _run(records, base, start_daily_ingest, path=f"{base}/daily")
     return weather_from_daily(tables.read_daily(spark, f"{base}/daily"), fx.stations(spark, sf_dir))
 
 
+@query
+def stream_distinct_divisor(spark, sf_dir):
+    """Numbers of distinct values from the bits of four micro-batches."""
+    base = new_folder(spark)
+    _run(_by_day(spark, sf_dir, base), base, start_distinct_ingest, path=f"{base}/bits")
+    return weather_from_bits(tables.read_bit_partials(spark, f"{base}/bits"), fx.stations(spark, sf_dir))
+
+
+@query
+def stream_approx_divisor(spark, sf_dir):
+    """Estimates of them from the sketches of four micro-batches."""
+    base = new_folder(spark)
+    _run(_by_day(spark, sf_dir, base), base, start_distinct_ingest, path=f"{base}/sketches", exact=False)
+    return weather_from_sketches(tables.read_sketch_partials(spark, f"{base}/sketches"), fx.stations(spark, sf_dir))
+
+
+@query
+def stream_monthly_state(spark, sf_dir):
+    """Sums kept by a stateful stream. It goes through the years, and half of each part's records come with the next part:
+    days are cut over batches, and some first values come last.
+    """
+    base = new_folder(spark)
+    late = F.pmod(F.xxhash64("seq"), F.lit(2)).cast("int")
+    part = F.least(F.call_function("div", F.greatest(fx.month_number(), F.lit(0)), F.lit(fx.PART_MONTHS)).cast("int") + late, F.lit(fx.PARTS - 1))
+    records = _records(spark, sf_dir, base, part, range(fx.PARTS))
+    _run(records, base, start_monthly_state, path=f"{base}/monthly", lateness=fx.LATENESS)
+    return weather_from_monthly(tables.read_monthly(spark, f"{base}/monthly"), fx.stations(spark, sf_dir))
+
+
+@query
+def stream_moved_stations(spark, sf_dir):
+    """Partials of a stream during which stations move and the station table is published anew."""
+    base = new_folder(spark)
+
+    def known() -> DataFrame:
+        return snapshots.read(spark, STATION_HISTORY, f"{base}/stations")
+
+    part = F.call_function("div", F.greatest(fx.month_number(), F.lit(0)), F.lit(fx.PART_MONTHS)).cast("int")
+    moved = fx.station_history(spark, sf_dir)
+    half = fx.MOVE_MONTH // fx.PART_MONTHS
+    for some, parts in ((moved.filter("ValidFrom is null"), range(half)), (moved, range(half, fx.PARTS))):
+        snapshots.publish(some, f"{base}/stations")
+        records = _records(spark, sf_dir, base, part, parts)
+        _run(records, base, start_ingest, stations=known, path=f"{base}/partials")
+    return tables.read_partials(spark, f"{base}/partials").drop("stream", "batch_id")
+
+
 @query
 def stream_progress(spark, sf_dir):
-    return tables.read_progress(spark, f"{_ingest(spark, sf_dir)}/progress")
+    base = new_folder(spark)
+    log = follow(spark, f"{base}/progress")
+    try:
+        _run(_by_day(spark, sf_dir, base), base, start_daily_ingest, log, path=f"{base}/daily")
+    finally:
+        spark.streams.removeListener(log)
+    return tables.read_progress(spark, f"{base}/progress").drop("duration_ms")
 
 
 # Evaluation of a fixed predictor
@@ -472,21 +555,57 @@ def lr_ablation(spark, sf_dir):
     return regression.ablation(published_weather(spark, sf_dir))
 
 
+@query
+def model_sums(spark, sf_dir):
+    """The sums that all linear models are solved from, by country, fold and split."""
+    found = gram.sums(published_weather(spark, sf_dir))
+    return found.select(*gram.PARTS, "n_rows", "n", *[F.round(c, 3).alias(c) for c in found.columns if c.startswith(("s_", "p_"))])
+
+
 @query
 def cv_metrics(spark, sf_dir):
+    """Errors of all settings and folds, solved from one aggregation."""
+    return gram.cross_validate(published_weather(spark, sf_dir))
+
+
+@query
+def cv_library_metrics(spark, sf_dir):
+    """Errors of the library's fits, which end after `maxIter` steps."""
     return regression.cross_validate(published_weather(spark, sf_dir))
 
 
+@query
+def cv_optimality(spark, sf_dir):
+    """How far the fits are from the optimum's conditions, to six decimals."""
+    metrics = gram.cross_validate(published_weather(spark, sf_dir))
+    return metrics.select(*gram.GRID, "fold", F.round("residual", 6).alias("residual"))
+
+
 @query
 def cv_best(spark, sf_dir):
-    return regression.best_setting(regression.cross_validate(published_weather(spark, sf_dir)))
+    return regression.best_setting(gram.cross_validate(published_weather(spark, sf_dir)))
+
+
+@query
+def cv_single_feature(spark, sf_dir):
+    """Slopes of one feature in every fold and setting, to compare with the closed form."""
+    weather = published_weather(spark, sf_dir)
+    known = gram.Sums(gram.sums(weather))
+    at = [known.names.index("AvgTmax")]
+    rows = []
+    for fold, reg, elastic in product(range(3), gram.GRID["regParam"], gram.GRID["elasticNetParam"]):
+        train, validation = known.part(other_than=fold), known.part(fold=fold)
+        model = gram.solve(train, known.names, at, reg, elastic)
+        rows.append((fold, reg, elastic, round(float(model.weights[0]), 6), round(gram.error(validation, at, model), 4)))
+    return spark.createDataFrame(rows, "fold int, regParam double, elasticNetParam double, slope double, rmse double")
 
 
 @query
 def cv_refit_predictions(spark, sf_dir):
     """Predictions of the best setting's model, fitted on all rows."""
     weather = published_weather(spark, sf_dir)
-    return regression.predict(weather, *regression.refit(weather, regression.cross_validate(weather)))
+    best = regression.best_setting(gram.cross_validate(weather)).first()
+    return gram.predict(weather, gram.fit(weather, best["regParam"], best["elasticNetParam"]))
 
 
 @query
@@ -519,6 +638,24 @@ def lr_elastic_one_rmse(spark, sf_dir):
     return errors.withColumn("rmse", F.round("rmse", 3))
 
 
+def _complete(weather: DataFrame) -> DataFrame:
+    return classification.labelled_rows(weather, "Season", COUNTRIES).filter("split = 'train'")
+
+
+@query
+def rf_best_split(spark, sf_dir):
+    """The best first split of every country's training rows by season."""
+    return splits.best_splits(_complete(published_weather(spark, sf_dir)), "Season", SEASON_NAMES)
+
+
+@query
+def rf_feature_splits(spark, sf_dir):
+    """Running class counts over the values of every feature of every country."""
+    rows = _complete(published_weather(spark, sf_dir))
+    sums = splits.running_sums(splits.class_counts(rows, "Season", SEASON_NAMES), SEASON_NAMES)
+    return sums.select(*splits.GROUP, "value", "next", *[c for c in sums.columns if c.startswith(("l_", "t_"))])
+
+
 @query
 def rf_label_given_away(spark, sf_dir):
     """With the label among the features, as the models of the time had it, a forest cannot miss."""

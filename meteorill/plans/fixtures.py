@@ -15,6 +15,10 @@ FLOOR = 19960101
 INVENTORY_YEAR = 1998
 # Batches that the streams are cut into.
 BATCHES = 4
+#: Streams in the order of time: parts of so many months, and how late a record may be.
+PART_MONTHS, PARTS, LATENESS = 18, 4, "600 days"
+#: Month, counted from FLOOR, in which some stations move.
+MOVE_MONTH, MOVE_DAY = 36, 19990101
 SPATIAL_YEAR = 2000
 SERIES_YEARS = (1996, 1998, 2000)
 TOP_VARIABLES = 5
@@ -82,6 +86,21 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_stations(spark, sf_dir).filter(F.substring("StationIdA", 3, 9).cast("bigint") % 10 != 9)
 
 
+def station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations, and for every third a line from the day on which it moved."""
+    known = stations(spark, sf_dir)
+    number = F.substring("StationIdA", 3, 9).cast("bigint")
+    moved = known.filter(number % 3 == 0).select(
+        "StationIdA", (-F.col("LATITUDE")).alias("LATITUDE"), "LONGITUDE", (F.col("ELEVATION") + 10).alias("ELEVATION"), F.lit(MOVE_DAY).alias("ValidFrom")
+    )
+    return known.withColumn("ValidFrom", F.lit(None).cast("int")).unionByName(moved)
+
+
+def month_number() -> Column:
+    """Months since FLOOR of `Date`, negative before."""
+    return (F.call_function("div", "Date", F.lit(10000)) - FLOOR // 10000) * 12 + F.call_function("div", "Date", F.lit(100)) % 100 - 1
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as stations, one in six of no known country; what they ordered how as variables."""
     orders = table(spark, sf_dir, "orders")

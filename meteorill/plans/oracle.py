@@ -1,6 +1,6 @@
 """The same queries as SQL for duckdb, over the same tables."""
 
-from meteorill.plans.fixtures import BATCHES, FLOOR, INVENTORY_YEAR, SERIES_YEARS, SPATIAL_YEAR, TOP_VARIABLES
+from meteorill.plans.fixtures import BATCHES, FLOOR, INVENTORY_YEAR, MOVE_DAY, SERIES_YEARS, SPATIAL_YEAR, TOP_VARIABLES
 
 _STATION_ID = """case s_nationkey % 5 when 0 then 'CH' when 1 then 'GM' when 2 then 'GR'
     when 3 then 'BR' else 'IS' end || lpad(cast(s_suppkey as varchar), 9, '0')"""
@@ -130,6 +130,62 @@ VIEWS |= {
         where LATITUDE is not null and LONGITUDE is not null and ELEVATION is not null""",
 }
 
+_SCALARS = {"Month": "Month - 6.5e0", "Year": "Year - 2000e0", "AvgTmin": "AvgTmin", "AvgTmax": "AvgTmax", "LONGITUDE": "LONGITUDE",
+            "LATITUDE": "LATITUDE", "ELEVATION": "ELEVATION", "AvgPrcp": "AvgPrcp"}
+_FOREST = ("AvgPrcp", "AvgTmin", "AvgTmax", "Year", "LATITUDE", "LONGITUDE", "ELEVATION")
+_KNOWN = "LATITUDE is not null and LONGITUDE is not null and ELEVATION is not null"
+_FOLD = "(('0x' || substr(md5(StationId || '|' || Year || '|' || Month), 1, 4))::int % 3)"
+_SEASONS = range(1, 5)
+
+
+def _model_sums() -> str:
+    columns = list(_SCALARS)
+    sums = [f"round(sum(case when {_KNOWN} then {_SCALARS[c]} end), 3) as s_{c}" for c in columns]
+    pairs = [(a, b) for k, a in enumerate(columns) for b in columns[k:]]
+    sums += [f"round(sum(case when {_KNOWN} then ({_SCALARS[a]}) * ({_SCALARS[b]}) end), 3) as p_{a}_{b}" for a, b in pairs]
+    return f"""select FIPS_code, cast({_FOLD} as int) as fold, split, count(*) as n_rows, count(*) filter ({_KNOWN}) as n, {", ".join(sums)}
+        from labelled group by all"""
+
+
+def _gini(sums: list[str], total: str) -> str:
+    squares = " + ".join(f"{c}::double * {c}" for c in sums)
+    return f"({total} - ({squares}) / ({total}))"
+
+
+_LEFT, _ALL = [f"l_n_{c}" for c in _SEASONS], [f"t_n_{c}" for c in _SEASONS]
+_RIGHT = [f"({t} - {x})" for t, x in zip(_ALL, _LEFT, strict=True)]
+VIEWS |= {
+    "feature_values": " union all ".join(
+        f"select FIPS_code, '{c}' as feature, {k} as place, cast({c} as double) as value, Season from labelled where split = 'train' and {_KNOWN}"
+        for k, c in enumerate(_FOREST)
+    ),
+    "value_classes": f"""
+        select FIPS_code, feature, place, value, {", ".join(f"count(*) filter (Season = {c}) as n_{c}" for c in _SEASONS)}
+        from feature_values group by all""",
+    "feature_splits": f"""
+        select FIPS_code, feature, place, value, lead(value) over byvalue as next,
+          {", ".join(f"cast(sum(n_{c}) over byvalue as bigint) as l_n_{c}" for c in _SEASONS)},
+          {", ".join(f"cast(sum(n_{c}) over (partition by FIPS_code, feature) as bigint) as t_n_{c}" for c in _SEASONS)}
+        from value_classes window byvalue as (partition by FIPS_code, feature order by value)""",
+    "split_gains": f"""
+        select FIPS_code, feature, place, (value + next) / 2 as threshold, {" + ".join(_LEFT)} as n_left,
+          {" + ".join(_RIGHT)} as n_right,
+          round(({_gini(_ALL, "(" + " + ".join(_ALL) + ")")} - {_gini(_LEFT, "(" + " + ".join(_LEFT) + ")")}
+            - {_gini(_RIGHT, "(" + " + ".join(_RIGHT) + ")")}) / ({" + ".join(_ALL)}), 12) as gain
+        from feature_splits where next is not null""",
+    # The elastic net on one standardised feature, in every fold's training rows.
+    "fold_moments": f"""
+        select fold, avg(AvgTmax) as mx, avg(AvgPrcp) as my, corr(AvgPrcp, AvgTmax) as r,
+          stddev_pop(AvgTmax) as sx, stddev_pop(AvgPrcp) as sy
+        from (select * from range(3) as f(fold)) join (select *, {_FOLD} as own from labelled where {_KNOWN}) on own <> fold
+        group by fold""",
+    "fold_slopes": """
+        select fold, regParam, elasticNetParam, mx, my,
+          sign(r) * greatest(abs(r) - regParam / sy * elasticNetParam, 0)
+            / (1 + regParam / sy * (1 - elasticNetParam)) * sy / sx as slope
+        from fold_moments, (values (0.1e0), (0.5e0), (1e0)) as a(regParam), (values (0e0), (0.5e0), (0.8e0)) as b(elasticNetParam)""",
+}
+
 _WEATHER_COLUMNS = (
     "StationId, Month, Year, AvgTmax, AvgTmin, AvgPrcp, FIPS_code, LATITUDE, LONGITUDE, ELEVATION"
 )
@@ -189,7 +245,10 @@ SELECTS = {
         select StationId, Month, Year, SumTmax, SumTmin, SumPrcp,
           1 as near_countTmax, 1 as near_countTmin, 1 as near_countPrcp
         from monthly""",
+    "sketch_distinct_values": "select * from monthly_distinct",
+    "bit_distinct_values": "select * from monthly_distinct",
     "weather_distinct_divisor": f"select {_WEATHER_COLUMNS} from weather_distinct",
+    "weather_approx_divisor": f"select {_WEATHER_COLUMNS} from weather_distinct",
     "inventory_recent": "select * from recent",
     "stations_per_country": """
         select FIPS, country, count(distinct ID) as n_stations
@@ -234,6 +293,16 @@ SELECTS = {
         from weather group by StationId, Month""",
     "stream_ingest": f"select {_WEATHER_COLUMNS} from weather",
     "stream_compacted": f"select {_WEATHER_COLUMNS} from weather",
+    "stream_distinct_divisor": f"select {_WEATHER_COLUMNS} from weather_distinct",
+    "stream_approx_divisor": f"select {_WEATHER_COLUMNS} from weather_distinct",
+    "stream_monthly_state": f"select {_WEATHER_COLUMNS} from weather",
+    "stream_moved_stations": f"""
+        select monthly.* exclude (moved), substr(StationId, 1, 2) as FIPS_code,
+          case when moved then -LATITUDE else LATITUDE end as LATITUDE, LONGITUDE,
+          case when moved then ELEVATION + 10 else ELEVATION end as ELEVATION
+        from (select *, cast(substr(StationId, 3) as bigint) % 3 = 0
+                and Year * 10000 + Month * 100 + 31 >= {MOVE_DAY} as moved from monthly) as monthly
+        left join stations on StationIdA = StationId""",
     "stream_progress": f"""
         select 'main' as stream, cast(Date % {BATCHES} as bigint) as batch_id, count(*) as input_rows
         from obs group by all""",
@@ -277,6 +346,17 @@ SELECTS = {
     "lr_elastic_one_rmse": """
         select split, round(sqrt(avg(pow(AvgPrcp - slope * AvgTmax - intercept, 2))), 3) as rmse
         from labelled cross join elastic group by split""",
+    "model_sums": _model_sums(),
+    "cv_single_feature": f"""
+        select cast(s.fold as int) as fold, regParam::double as regParam, elasticNetParam::double as elasticNetParam,
+          round(any_value(slope), 6) as slope,
+          round(sqrt(avg(pow(AvgPrcp - my - slope * (AvgTmax - mx), 2))), 4) as rmse
+        from fold_slopes s join (select *, {_FOLD} as own from labelled where {_KNOWN}) on own = s.fold
+        group by all""",
+    "rf_best_split": """
+        select FIPS_code, feature, threshold, n_left, n_right, gain from split_gains
+        qualify row_number() over (partition by FIPS_code order by gain desc, place, threshold) = 1""",
+    "rf_feature_splits": "select * exclude (place) from feature_splits",
     "cv_refit_complete": """
         select StationId, Year, Month,
           case when LATITUDE is null or LONGITUDE is null or ELEVATION is null then 0 else 1 end as predicted

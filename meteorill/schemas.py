@@ -57,6 +57,15 @@ RAW_RECORD = T.StructType(
 
 COORDINATES = ("LATITUDE", "LONGITUDE", "ELEVATION")
 
+# Stations over time: a line holds from a day on, a missing day is the beginning.
+STATION_HISTORY = T.StructType(
+    [
+        T.StructField("StationIdA", T.StringType()),
+        *(T.StructField(c, T.DoubleType()) for c in COORDINATES),
+        T.StructField("ValidFrom", T.IntegerType()),
+    ]
+)
+
 PARTIALS = T.StructType(
     [
         T.StructField("StationId", T.StringType()),
@@ -77,6 +86,37 @@ PARTIALS = T.StructType(
     ]
 )
 
+# The partials with a divisor by distinct values: a sketch for each variable, or the bits of 64 neighbouring values.
+SKETCH_PARTIALS = T.StructType(
+    [
+        T.StructField("StationId", T.StringType()),
+        T.StructField("Month", T.IntegerType()),
+        T.StructField("Year", T.IntegerType()),
+        T.StructField("SumTmax", T.LongType()),
+        T.StructField("SumTmin", T.LongType()),
+        T.StructField("SumPrcp", T.LongType()),
+        T.StructField("SketchTmax", T.BinaryType()),
+        T.StructField("SketchTmin", T.BinaryType()),
+        T.StructField("SketchPrcp", T.BinaryType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+BIT_PARTIALS = T.StructType(
+    [
+        T.StructField("StationId", T.StringType()),
+        T.StructField("Month", T.IntegerType()),
+        T.StructField("Year", T.IntegerType()),
+        T.StructField("Variable", T.StringType()),
+        T.StructField("Word", T.IntegerType()),
+        T.StructField("Bits", T.LongType()),
+        T.StructField("Total", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 # First values of each day, the finer alternative to the partials.
 DAILY = T.StructType(
     [
@@ -90,12 +130,16 @@ DAILY = T.StructType(
     ]
 )
 
+# Sums of the months that a batch of a stateful stream has changed.
+MONTHLY = T.StructType([f for f in PARTIALS if f.name not in ("FIPS_code", *COORDINATES)])
+
 # What came in with each micro-batch, before cleaning.
 PROGRESS = T.StructType(
     [
         T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("input_rows", T.LongType()),
+        T.StructField("duration_ms", T.LongType()),
     ]
 )
 

@@ -30,6 +30,19 @@ def kafka_options(
     return options
 
 
+def admitted(files: int | None = None, size: int | None = None) -> dict[str, str]:
+    """Reader options of a file stream: most files, and most bytes, of a micro-batch.
+
+    A stream that is behind then catches up in bounded batches, in the order in which the files were
+    written, also where it takes all there is and ends (`availableNow`). A file is not cut.
+    """
+    if files is not None and size is not None:
+        raise ValueError("a file stream is limited by files or by bytes, not by both")
+    if files is not None:
+        return {"maxFilesPerTrigger": str(files)}
+    return {"maxBytesPerTrigger": str(size)} if size is not None else {}
+
+
 def observation_stream(
     spark: SparkSession,
     options: Mapping[str, str],

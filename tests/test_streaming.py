@@ -1,12 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from meteorill.operators.stations import weather_from_daily, weather_from_partials
+from meteorill.operators.stations import weather_from_bits, weather_from_daily, weather_from_partials, weather_from_sketches
 from meteorill.plans import fixtures as fx
 from meteorill.schemas import RAW_RECORD
 from meteorill.sources import tables
-from meteorill.sources.stream import observation_stream
+from meteorill.sources.stream import admitted, observation_stream
 from meteorill.streaming import ingest
+from meteorill.streaming.progress import follow
 
 
 def write_records(spark, small_dir, path, files, *keys):
@@ -14,16 +15,25 @@ def write_records(spark, small_dir, path, files, *keys):
     fx.records(spread).write.parquet(path)
 
 
-def run(spark, base, start=ingest.start_ingest, **options):
-    records = observation_stream(spark, {"maxFilesPerTrigger": "1"}, "parquet", RAW_RECORD, f"{base}/records")
+def run(spark, base, start=ingest.start_ingest, admit=None, progress=None, **options):
+    records = observation_stream(spark, admit or admitted(files=1), "parquet", RAW_RECORD, f"{base}/records")
     query = start(
         records, path=f"{base}/table", checkpoint=f"{base}/checkpoint", floor=fx.FLOOR,
-        trigger={"availableNow": True}, progress=f"{base}/progress", **options,
+        trigger={"availableNow": True}, progress=progress, **options,
     )
     query.awaitTermination()
+    if progress is not None:
+        progress.wait(query)
     return query
 
 
+@pytest.fixture
+def log(spark, tmp_path):
+    log = follow(spark, str(tmp_path / "progress"))
+    yield log
+    spark.streams.removeListener(log)
+
+
 @pytest.fixture(scope="module")
 def expected(spark, small_dir):
     return sorted(map(str, fx.weather(spark, small_dir).collect()))
@@ -40,19 +50,81 @@ def test_stream_equals_batch(spark, small_dir, tmp_path, expected, files):
     assert sorted(map(str, weather_from_partials(partials, stations).collect())) == expected
 
 
-def test_progress_outlives_the_query_and_its_buffer(spark, small_dir, tmp_path):
+def test_progress_outlives_the_query_and_its_buffer(spark, small_dir, tmp_path, log):
     base = str(tmp_path)
     write_records(spark, small_dir, f"{base}/records", 4, "StationId", "Date")
     key = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(key)
     spark.conf.set(key, "2")
     try:
-        run(spark, base, stations=fx.stations(spark, small_dir))
+        run(spark, base, stations=fx.stations(spark, small_dir), progress=log)
     finally:
         spark.conf.set(key, before)
     progress = tables.read_progress(spark, f"{base}/progress")
     assert sorted(r.batch_id for r in progress.collect()) == [0, 1, 2, 3]
     assert progress.agg(F.sum("input_rows")).first()[0] == fx.obs(spark, small_dir).count()
+    assert progress.filter("duration_ms > 0").count() == 4
+
+
+def test_progress_of_batches_without_records(spark, small_dir, tmp_path, log):
+    base = str(tmp_path)
+    write_records(spark, small_dir, f"{base}/records", 1, "StationId", "Date")
+    fx.records(fx.obs(spark, small_dir).limit(0)).coalesce(1).write.mode("append").parquet(f"{base}/records")
+    run(spark, base, ingest.start_daily_ingest, progress=log)
+    got = {r.batch_id: r.input_rows for r in tables.read_progress(spark, f"{base}/progress").collect()}
+    assert got == {0: fx.obs(spark, small_dir).count(), 1: 0}
+
+
+def test_the_source_is_read_once_for_each_batch(spark, small_dir, tmp_path, log):
+    """Counting the records costs no further job: the stream's plan has read every row once."""
+    base = str(tmp_path)
+    write_records(spark, small_dir, f"{base}/records", 3, "StationId", "Date")
+    query = run(spark, base, ingest.start_daily_ingest, progress=log)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == fx.obs(spark, small_dir).count()
+
+
+@pytest.mark.parametrize("limit", ["files", "size"])
+def test_a_backlog_is_taken_in_bounded_batches_in_order(spark, small_dir, tmp_path, log, limit):
+    """Files that are all there are admitted a few at a time, in the order in which they came."""
+    base, counts = str(tmp_path), []
+    for k in range(5):
+        some = fx.obs(spark, small_dir).filter(F.pmod(F.xxhash64("seq"), F.lit(5)) == k)
+        fx.records(some.repartition(2)).write.mode("append").parquet(f"{base}/records")
+        counts.append(some.count())
+    admit = admitted(files=2) if limit == "files" else admitted(size=40_000)
+    run(spark, base, ingest.start_daily_ingest, admit, log)
+    got = [r.input_rows for r in tables.read_progress(spark, f"{base}/progress").orderBy("batch_id").collect()]
+    assert sum(got) == sum(counts) and len(got) >= 5
+    assert limit == "size" or got == counts
+    with pytest.raises(ValueError):
+        admitted(files=1, size=1)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_distinct_divisors_over_batches(spark, small_dir, tmp_path, exact):
+    base = str(tmp_path)
+    write_records(spark, small_dir, f"{base}/records", 4, "StationId", "Date")
+    run(spark, base, ingest.start_distinct_ingest, exact=exact)
+    stations = fx.stations(spark, small_dir)
+    read, weather = (tables.read_bit_partials, weather_from_bits) if exact else (tables.read_sketch_partials, weather_from_sketches)
+    partials = read(spark, f"{base}/table")
+    assert partials.select("batch_id").distinct().count() == 4
+    whole = fx.weather(spark, small_dir, "distinct").collect()
+    assert sorted(map(str, weather(partials, stations).collect())) == sorted(map(str, whole))
+
+
+def test_stations_are_asked_for_in_every_batch(spark, small_dir, tmp_path):
+    base, asked = str(tmp_path), []
+    write_records(spark, small_dir, f"{base}/records", 3, "StationId", "Date")
+
+    def stations():
+        asked.append(len(asked))
+        return fx.stations(spark, small_dir).limit(0) if len(asked) == 1 else fx.stations(spark, small_dir)
+
+    run(spark, base, stations=stations)
+    partials = tables.read_partials(spark, f"{base}/table")
+    known = {r.batch_id: r.known for r in partials.groupBy("batch_id").agg(F.count("LATITUDE").alias("known")).collect()}
+    assert asked == [0, 1, 2] and known[0] == 0 and known[1] > 0 and known[2] > 0
 
 
 def test_station_that_turns_up_late(spark, small_dir, tmp_path, expected):
