@@ -158,13 +158,18 @@ def op12_hard_negative_mining(spark, sf_dir):
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
-def _without_one(doc_id, word: bytes) -> bytes:
+def _without_one(doc_id) -> Callable[[bytes], bytes]:
     """One in 31 of a document's words loses a letter, both by the checksum of id and word."""
-    if doc_id is None:
-        return word
-    chance = zlib.crc32(f"{doc_id}:{word.decode('latin-1')}".encode())
-    lost = chance % len(word)
-    return word[:lost] + word[lost + 1 :] if chance % 31 == 0 else word
+    begun = zlib.crc32(f"{doc_id}:".encode())
+
+    def change(word: bytes) -> bytes:
+        chance = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), begun)
+        if chance % 31:
+            return word
+        lost = chance % len(word)
+        return word[:lost] + word[lost + 1 :]
+
+    return change if doc_id is not None else bytes
 
 
 @query

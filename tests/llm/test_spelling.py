@@ -84,5 +84,5 @@ def test_words_of_odd_texts(spark, odd_docs, no_docs, make_docs):
 
 def test_changed_words(spark, make_docs):
     docs = make_docs(["Wortende wortende", "wortende anderes anderes"], [1, 2])
-    got = spelling.word_counts(docs, change=lambda i, w: w[1:] if i == 1 else w, least_count=1).collect()
+    got = spelling.word_counts(docs, change=lambda i: lambda w: w[1:] if i == 1 else w, least_count=1).collect()
     assert {r["word"]: r["n"] for r in got} == {"ortende": 2, "wortende": 1, "anderes": 2}
