@@ -52,7 +52,9 @@ def op5_quality_rules(spark, sf_dir):
 
 @query
 def op2_benchmark_decontamination(spark, sf_dir):
-    """Words of every document inside occurrences of ten-word windows of `benchmark`."""
+    """Words of every document inside occurrences of ten-word windows of `benchmark`, and the items with windows whose words
+    stand near each other in it.
+    """
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
@@ -61,6 +63,8 @@ def op2_benchmark_decontamination(spark, sf_dir):
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near_items"),
+        F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"),
     )
 
 

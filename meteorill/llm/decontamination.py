@@ -3,11 +3,16 @@
 The index holds a posting (term, document, position) for every word of the corpus that some
 benchmark item uses. For each window of an item its rarest terms are looked up; their postings,
 shifted by the terms' places in the item, meet where the item may occur, and only there are the
-words themselves compared. Proximity matches use the same lists with some slack.
+words themselves compared. Proximity matches use the same lists with some slack: a window is near where, laid
+on the document at some place, each of its words stands at most `slack` words from its own place. Words put
+in or left out between them, and words that have changed places, are found so.
 
 Everything is built-in functions. Null and empty texts have no words and are never hit. Repeated
 rows and equal ids are told apart by their text; fully equal rows get equal results. Items without
-words have no windows; an item whose id is null counts as one with an empty id.
+words have no windows; an item whose id is null counts as one with an empty id. Terms of one frequency are taken in
+the order of their places. Very long texts have more postings and nothing else; what a document is cut to is its candidates'
+places. Empty documents give an empty result, an empty benchmark hits nothing. Columns of the documents
+besides doc_id and text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Terms looked up for each window.
 RAREST = 2
+#: Words by which a word of a near window may be off its place.
+SLACK = 3
 #: Rows up to which a side may be broadcast: terms of the benchmark, or candidates of a few numbers each.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -90,22 +97,23 @@ def candidates(index: Index, *, window: int = WINDOW, rarest: int = RAREST, max_
     return stored(met.join(needed, "item").where("met >= needed").select(*DOCUMENT, "item", "shift"))
 
 
-def near_matches(index: Index, *, slack: int = 5, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """(doc_id, text_hash, item_id, start): windows whose rarest terms all stand in the document,
-    in any order, each at most `slack` words from where an exact match would have it.
+def near_candidates(index: Index, *, slack: int = SLACK, window: int = WINDOW, rarest: int = RAREST, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, text_hash, item, start, bin): where the words of a window may stand within `slack` of their places, stored.
 
-    Shifts are put into overlapping bins of twice the slack, so that each possible meeting lies
-    in one bin; terms are then counted without repeats.
+    If word p of the item stands at most `slack` from `shift + p`, its own shift is in a range of 2 * slack + 1 around
+    that of the window. Bins of twice this width overlap by half, so that the shifts of all rarest terms lie in one of
+    them; there they are counted without repeats.
     """
     windows = stored(_anchors(index, window, rarest))
     needed = windows.groupBy("item", "start").agg(F.count("*").alias("needed"))
-    width = slack + 1
-    bins = F.array(F.floor(F.col("shift") / width), F.floor(F.col("shift") / width) - 1)
-    shifted = index.postings.join(windows, "term").select("item", "start", "place", *DOCUMENT, (F.col("position") - F.col("place")).alias("shift"))
-    binned = shifted.select("item", "start", "place", *DOCUMENT, F.explode(bins).alias("bin")).distinct()
-    met = binned.groupBy("item", "start", *DOCUMENT, "bin").agg(F.count("*").alias("met"))
-    found = met.join(needed, ["item", "start"]).where("met = needed").select("item", "start", *DOCUMENT).distinct()
-    return found.join(index.items.select("item", "item_id"), "item").select(*DOCUMENT, "item_id", "start")
+    width = 2 * slack + 1
+    bins = F.array(*(F.call_function("div", F.col("shift") - F.pmod("shift", F.lit(width)), F.lit(width)) - k for k in (0, 1)))
+    placed = bounded(windows, windows.count(), max_broadcast_rows)
+    shifted = index.postings.join(placed, "term").select("item", "start", "place", *DOCUMENT, (F.col("position") - F.col("place")).alias("shift"))
+    binned = shifted.select("item", "start", "place", *DOCUMENT, F.explode(bins).alias("bin"))
+    # First the terms of a bin one by one, then their number: no list of a hot term's places is built.
+    met = binned.groupBy("item", "start", *DOCUMENT, "bin", "place").agg(F.lit(1).alias("one")).groupBy("item", "start", *DOCUMENT, "bin").agg(F.count("*").alias("met"))
+    return stored(met.join(needed, ["item", "start"]).where("met = needed").select(*DOCUMENT, "item", "start", "bin"))
 
 
 def _hit_positions(window: int) -> Column:
@@ -123,43 +131,76 @@ def _hit_positions(window: int) -> Column:
     return F.when(F.size("seen") >= size, let(same, hits)).otherwise(F.array().cast("array<int>"))
 
 
-def exact_matches(docs: DataFrame, index: Index, found: DataFrame, *, window: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Every document with n_words, hits (positions) and item_ids (sorted), in rows of
-    (row, doc_id, text_hash, n_words, hits, item_ids); `found` are the candidates.
+def _is_near(window: int, slack: int) -> Column:
+    """Whether some shift puts every word of the window (from `start` in `words`) near its place in `seen`. That begins where the
+    least shift puts the window's first word, less the slack; `skipped` words of it lie before the document.
+    """
+    size = F.least(F.lit(window), F.size("words"))
+    # All shifts of a bin, and of what its terms may be off.
+    shifts = F.sequence(F.lit(-slack), F.lit(2 * (2 * slack + 1) + slack))
+    words = F.transform(F.sequence(F.lit(0), size - 1), lambda p: F.struct(p.alias("p"), F.get(F.col("words"), F.col("start") + p).alias("word")))
+
+    def around(s, p):
+        # Places in `seen` from `slack` before to `slack` behind that of word p under shift s.
+        place = s + p - F.col("skipped") + 2 * slack
+        begin = F.greatest(place - slack, F.lit(0))
+        return F.slice("seen", begin + 1, F.greatest(place + slack - begin + 1, F.lit(0)))
+
+    return let(words, lambda known: F.exists(shifts, lambda s: F.forall(known, lambda w: F.array_contains(around(s, w["p"]), w["word"]))))
+
+
+def matches(
+    docs: DataFrame, index: Index, found: DataFrame, near: DataFrame | None, *, slack: int = SLACK, window: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Every document with n_words, hits (positions), item_ids and near_ids (sorted), in rows of
+    (row, doc_id, text_hash, n_words, hits, item_ids, near_ids); `found` and `near` are the candidates. Without `near`
+    nothing is near.
 
     Each document's words are read once more, beside the candidates they are cut to.
     """
-    wanted = found.join(index.items.select("item", F.size("words").alias("size")), "item")
-    wanted = wanted.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("item", "shift", "size")).alias("wanted"))
+    n_found = found.count()
+    every = found.join(index.items.select("item", F.size("words").alias("size")), "item").select(*DOCUMENT, "item", "shift", "size", F.lit(None).cast("int").alias("start"))
+    if near is not None:
+        # The words that a window may reach under any shift of its bin.
+        width = 2 * slack + 1
+        reach = F.lit(2 * width + 4 * slack + 1 + window).cast("int")
+        close = near.select(*DOCUMENT, "item", (F.col("bin") * width + F.col("start") - 2 * slack).cast("int").alias("shift"), reach.alias("size"), "start")
+        every, n_found = every.unionByName(close), n_found + near.count()
+    wanted = every.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("item", "shift", "size", "start")).alias("wanted"))
     wanted = stored(wanted.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "wanted"))
 
     def cut(words):
         def piece(c):
             skipped = F.greatest(F.lit(0), -c["shift"])
-            return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), F.slice(words, c["shift"] + skipped + 1, c["size"] - skipped).alias("seen"))
+            seen = F.slice(words, c["shift"] + skipped + 1, F.greatest(c["size"] - skipped, F.lit(0)))
+            return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), c["start"].alias("start"), skipped.alias("skipped"), seen.alias("seen"))
 
         return F.struct(F.size(words).alias("n_words"), F.transform("wanted", piece).alias("pieces"))
 
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    small = bounded(wanted, found.count(), max_broadcast_rows)
+    small = bounded(wanted, n_found, max_broadcast_rows)
     both = texts.join(small, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")), "left")
     rows = stored(both.select(*DOCUMENT, let(text_words(), cut).alias("cut")).select(*DOCUMENT, F.col("cut.n_words").alias("n_words"), F.col("cut.pieces").alias("pieces")).withColumn("row", F.monotonically_increasing_id()))
     pieces = rows.where("size(pieces) > 0").select("row", F.inline("pieces")).join(index.items, "item")
-    matched = pieces.select("row", "item_id", _hit_positions(window).alias("hits")).where("size(hits) > 0")
+    close_by = pieces.where("start is not null").where(_is_near(window, slack)).groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("near_ids"))
+    matched = pieces.where("start is null").select("row", "item_id", _hit_positions(window).alias("hits")).where("size(hits) > 0")
     matched = matched.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
     )
     nothing = F.array().cast("array<int>"), F.array().cast("array<string>")
-    return rows.drop("pieces").join(matched, "row", "left").select(
-        "row", *DOCUMENT, "n_words", F.coalesce("hits", nothing[0]).alias("hits"), F.coalesce("item_ids", nothing[1]).alias("item_ids")
+    return rows.drop("pieces").join(matched, "row", "left").join(close_by, "row", "left").select(
+        "row", *DOCUMENT, "n_words", F.coalesce("hits", nothing[0]).alias("hits"), F.coalesce("item_ids", nothing[1]).alias("item_ids"), F.coalesce("near_ids", nothing[1]).alias("near_ids")
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """Exact phrase matches of benchmark windows in every document; see `exact_matches`."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, rarest: int = RAREST, slack: int | None = SLACK) -> DataFrame:
+    """Exact phrase and proximity matches of benchmark windows in every document; see `matches`. Exact ones only if `slack` is None."""
     index = build_index(docs, benchmark)
-    return exact_matches(docs, index, candidates(index, window=window, rarest=rarest), window=window)
+    found = candidates(index, window=window, rarest=rarest)
+    if slack is None:
+        return matches(docs, index, found, None, window=window)
+    return matches(docs, index, found, near_candidates(index, slack=slack, window=window, rarest=rarest), slack=slack, window=window)
 
 
 def keep_clean(docs: DataFrame, matches: DataFrame, *, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -49,11 +49,30 @@ found as (select distinct doc_id, s, d.size, item_id from doc_windows d join ite
 hits as (select doc_id, count(distinct p) as n_hit
          from (select doc_id, unnest(range(s, s + size)) as p from found) group by doc_id),
 items as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
-          from (select distinct doc_id, item_id from found) group by doc_id)
+          from (select distinct doc_id, item_id from found) group by doc_id),
+window_words as (
+  select item_id, w, p, words[w + p] as word, least(10, len(words)) as size
+  from (select item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) as w from item_words where len(words) > 0),
+    range(10) as ps(p)
+  where p < least(10, len(words))),
+doc_places as (select doc_id, words[q] as word, q from (select *, unnest(range(1, len(words) + 1)) as q from doc_words)),
+possible as (
+  select doc_id, item_id, w from window_words join (select distinct doc_id, word from doc_places) using (word)
+  group by doc_id, item_id, w, size having count(distinct p) = size),
+shifts as (
+  select doc_id, item_id, w, p, size, unnest(range(q - p - 3, q - p + 4)) as shift
+  from possible join window_words using (item_id, w) join doc_places using (doc_id, word)),
+near as (
+  select distinct doc_id, item_id
+  from (select doc_id, item_id, w from shifts group by doc_id, item_id, w, shift, size having count(distinct p) = size)),
+near_items as (
+  select doc_id, count(*) as n_near, string_agg(item_id::varchar, ',' order by item_id::varchar) as near_ids
+  from near group by doc_id)
 select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
   coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
-  coalesce(n_hit, 0) > 0 as contaminated
-from doc_words left join hits using (doc_id) left join items using (doc_id)
+  coalesce(n_hit, 0) > 0 as contaminated,
+  coalesce(n_near, 0)::bigint as n_near_items, sha256(coalesce(near_ids, '')) as near_sha256
+from doc_words left join hits using (doc_id) left join items using (doc_id) left join near_items using (doc_id)
 """
 
 JACCARD = """

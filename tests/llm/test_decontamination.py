@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -63,18 +64,70 @@ def test_empty_tables(spark, odd_docs, no_docs):
 def test_shuffled_where_not_small(spark, odd_docs):
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     index = dc.build_index(odd_docs, benchmark, max_broadcast_rows=0)
-    rows = dc.exact_matches(odd_docs, index, dc.candidates(index, max_broadcast_rows=0), max_broadcast_rows=0).collect()
+    near = dc.near_candidates(index, max_broadcast_rows=0)
+    rows = dc.matches(odd_docs, index, dc.candidates(index, max_broadcast_rows=0), near, max_broadcast_rows=0).collect()
     docs = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert sorted(((r["doc_id"], r["n_words"], r["hits"], r["item_ids"]) for r in rows), key=repr) == brute(docs, ITEMS)
 
 
-def test_near_matches_allow_some_slack(spark, make_docs):
+def brute_near(docs, items, slack=3, window=10):
+    out = []
+    for doc_id, text in docs:
+        mine, ids = words(text), set()
+        for item_id, item in items:
+            theirs = words(item)
+            size = min(window, len(theirs))
+            for start in range(len(theirs) - size + 1 if theirs else 0):
+                own = theirs[start : start + size]
+                if set(own) <= set(mine) and any(
+                    all(w in mine[max(0, s + p - slack) : max(0, s + p + slack + 1)] for p, w in enumerate(own)) for s in range(-slack - size, len(mine) + slack + 1)
+                ):
+                    ids.add(str(item_id) if item_id is not None else "")
+        out.append((doc_id, sorted(ids)))
+    return sorted(out, key=repr)
+
+
+def found_near(docs, items, spark, **options):
+    rows = dc.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string"), **options).collect()
+    assert all(set(r["item_ids"]) <= set(r["near_ids"]) for r in rows)
+    return sorted(((r["doc_id"], r["near_ids"]) for r in rows), key=repr)
+
+
+def edited(item, rng):
+    """A passage with words put in, left out of the way, or swapped."""
+    out = list(item)
+    for _ in range(rng.randint(1, 6)):
+        at = rng.randrange(len(out) - 1)
+        if rng.random() < 0.5:
+            out.insert(at, rng.choice(["so", "the", *item]))
+        else:
+            out[at], out[at + 1] = out[at + 1], out[at]
+    return out
+
+
+@pytest.mark.parametrize("slack, rarest", [(3, 2), (1, 2), (3, 10), (0, 1)])
+def test_near_matches_against_brute_force(spark, make_docs, slack, rarest):
+    rng = random.Random(slack + rarest)
+    item = prose(50, 30).split()
+    texts = [" ".join(["x"] * rng.randint(0, 30) + edited(item[k:], rng) + ["y"] * rng.randint(0, 9)) for k in range(0, 24, 2)]
+    texts += ["word", "three two one", "one x x x x two three", " ".join(item[::2]), " ".join(reversed(item)), "the " * 9, "the " * 7, None]
+    docs = make_docs(texts)
+    got = found_near(docs, ITEMS, spark, slack=slack, rarest=rarest)
+    assert got == brute_near(list(enumerate(texts)), ITEMS, slack)
+    assert any("0" in ids for _, ids in got)
+
+
+def test_near_matches_in_odd_rows(spark, odd_docs):
+    docs = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    assert found_near(odd_docs, ITEMS, spark) == brute_near(docs, ITEMS)
+
+
+def test_words_put_in_and_swapped_are_near_and_not_exact(spark, make_docs):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
     swapped = [*item[:4], "so", item[5], item[4], *item[6:]]
     docs = make_docs([" ".join(swapped), " ".join([item[0], *("far " * 40).split(), *item[1:]]), "nothing here"])
-    index = dc.build_index(docs, spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string"))
-    near = dc.near_matches(index, slack=3, rarest=10)
-    assert [(r["doc_id"], r["item_id"]) for r in near.collect()] == [(0, "7")]
+    rows = dc.decontaminate(docs, spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["item_ids"], r["near_ids"]) for r in rows} == {0: ([], ["7"]), 1: ([], []), 2: ([], [])}
 
 
 def test_keep_clean(spark, odd_docs):

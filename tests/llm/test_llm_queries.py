@@ -12,7 +12,7 @@ import test_packing
 import test_quality_rules
 import test_secret_scan
 import test_suffix_dedup
-from meteorill.llm import decontamination, secret_scan
+from meteorill.llm import secret_scan
 from meteorill.llm.catalog import QUERIES
 from meteorill.llm.oracle import oracle_sql
 from pyspark.sql import functions as F
@@ -147,7 +147,3 @@ def test_stages_take_odd_documents(spark, small_dir, odd_docs, no_docs, tmp_path
             assert name == "packing" or after.columns == docs.columns
             docs = after
         assert (docs.count() > 0) == (start == "odd")
-
-
-def test_windows_are_of_ten_words():
-    assert decontamination.WINDOW == 10
