@@ -2,13 +2,19 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from llm_texts import prose
 from meteorill.llm import suffix_dedup as sd
 
 
+def checksum(text):
+    """The number that orders texts of one id."""
+    return int.from_bytes(xxhash.xxh64_digest(text.encode(), 42), "big", signed=True)
+
+
 def brute(rows, length=100):
     """rows: (doc_id, text); fully equal rows are one document."""
-    order = sorted({(i is not None, i or 0, sd.tag((t or "").encode()), t or "") for i, t in rows})
+    order = sorted({(i is not None, i or 0, checksum(t or ""), t or "") for i, t in rows})
     seen, kept = set(), {}
     for known, i, _, text in order:
         data = text.encode()
@@ -94,4 +100,43 @@ def test_many_near_copies(make_docs):
     for _ in range(150):
         at = rng.randrange(len(base))
         copies.append(base[:at] + rng.choice("xyz") + base[at + 1 :])
-    assert found(make_docs(copies), together=16) == brute(list(enumerate(copies)))
+    for together in (1, 16):
+        assert found(make_docs(copies), together=together) == brute(list(enumerate(copies)))
+
+
+def around(core, n, seed):
+    """`n` texts with one core in different surroundings."""
+    rng = random.Random(seed)
+
+    def side():
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(120))
+
+    return [side() + core + side() for _ in range(n)]
+
+
+@pytest.mark.parametrize("size", [64, 99, 120])
+def test_rows_for_each_text_do_not_change_where_a_part_is_split(make_docs, size):
+    """A core that is too short to be removed makes no rows, and a longer one a few for each text, on both sides of the limit."""
+    core = "".join(random.Random(7).choice("qrstuvwxyz") for _ in range(size))
+    for n in (30, 60, 120):
+        texts = around(core, n, n)
+        for together in (50, 1000):
+            rows = sd.repeated_places(make_docs(texts), together=together).count()
+            # A letter more on either side of 99 may be the same in several texts.
+            assert rows == 0 if size == 64 else (n - 1 if size == 120 else 1) <= rows <= 8 * n
+        assert found(make_docs(texts), together=50) == brute(list(enumerate(texts)))
+
+
+def test_two_texts_in_few_with_one_core(make_docs):
+    """Cores of several lengths, in surroundings that some texts share in part."""
+    core = "".join(random.Random(8).choice("qrstuvwxyz") for _ in range(64))
+    texts = around(core, 40, 1)
+    texts += [t[60:] + t[:30] for t in texts[:20]] + [t[:200] + "!" for t in texts[10:30]]
+    for together in (1, 3, 20):
+        assert found(make_docs(texts), together=together) == brute(list(enumerate(texts)))
+
+
+def test_many_texts_of_one_id(make_docs):
+    """All ids are missing: texts are told apart by themselves."""
+    texts = [prose(1, 30) + prose(100 + k, 10) for k in range(60)]
+    assert found(make_docs(texts, [None] * len(texts))) == brute([(None, t) for t in texts])
