@@ -1,8 +1,9 @@
 """Exact n-gram Jaccard join of documents, by vertical partitioning.
 
 A document is the set of its word n-grams, hashed to 64 bits. All n-grams have one global order:
-rare ones by hash, then those that many documents share, by how many. That order is cut into
-fragments: a pair's overlap is counted in each fragment by itself and summed.
+rare ones by hash, then those that many documents share, by how many; it says which n-grams are the beginning of a
+set. For counting, the n-grams are cut vertically into fragments, at equal distances of their hashes, so that
+common ones stand among the others: a pair's overlap is counted in each fragment by itself and summed.
 
 Which pairs are counted: two linked sets share an n-gram in the beginning of each, as far as that
 order and the threshold say; what such beginnings share bounds a pair's overlap, and most pairs fall
@@ -14,7 +15,9 @@ large group of near copies costs about as many counts as it has members.
 Equal sets are one class from the start. A null or empty text, or one without words, has no n-grams,
 is linked with nothing and keeps its own id. With fewer than n words the whole sequence is one
 n-gram. The component of rows whose ids are all null is null. Sets are taken as equal if a 64-bit
-digest and their size are.
+digest and their size are. Rows that occur repeatedly are in one class; of equal ids with different texts each is a document.
+Very long texts are one set like any other, held by one task at a time. Ties in the order of n-grams change no link. Further
+columns, whatever their names, play no part; an empty table has an empty result.
 """
 
 from __future__ import annotations

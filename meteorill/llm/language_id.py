@@ -8,7 +8,8 @@ marked as rejected.
 
 A null text, or one without a letter, is `und` with score 0 and rejected. So is every text if nothing
 could be learned. Rows without a language are not learned from; repeated rows count as often as they
-occur. Ties between centroids go to the first language in order. Texts are taken whole.
+occur. Ties between centroids go to the first language in order. Texts are taken whole, very long ones,
+too. Columns to keep are named by the caller, others play no part; an empty table has an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ window is what counts, and a monotone queue keeps it. A sequence whose size is a
 no padding; those few transitions are looked up beside the queue.
 
 A null text is empty, and an empty document is its end token alone. Equal ids and repeated rows stay
-apart, in the order of their texts. An empty table gives no pieces. A task holds about `span` tokens
+apart, in the order of their texts. Of cuts of equal cost the one whose sequence begins later is taken. Further columns, whatever
+their names, play no part. An empty table gives no pieces. A task holds about `span` tokens
 and the longest document at a time.
 """
 

@@ -7,7 +7,9 @@ their statistics. The list is emitted as ordered conditional branches.
 
 Null and empty texts have no words: all their statistics are 0. Repeated rows count as often as
 they occur. Without labels, or without a rule that is precise enough, the list is empty and keeps
-every row. A row without statistics (null) fits no condition on them.
+every row. A row without statistics (null) fits no condition on them. Very long texts have large
+statistics and nothing else. Conditions of equal gain are taken in the order of the statistics and thresholds. Only doc_id and
+text of the documents are read, whatever further columns are called; an empty table has an empty result.
 """
 
 from __future__ import annotations

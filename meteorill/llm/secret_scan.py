@@ -6,7 +6,9 @@ have is a copied example, a value of few owners looks live. Long mixed tokens wi
 beside them count as secrets only if they look live that way.
 
 Null and empty texts have no candidates. A null owner or repository is one of its own. Repeated
-rows add neither owners nor repositories. Offsets are code points, ends exclusive.
+rows add neither owners nor repositories. Offsets are code points, ends exclusive. Very long texts are read
+whole. Spans that start together are in the order of the kinds. Names of further columns do no harm; an empty table has an
+empty result.
 """
 
 from __future__ import annotations

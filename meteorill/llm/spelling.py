@@ -139,9 +139,8 @@ def paths(words: DataFrame) -> DataFrame:
     return passed.groupBy("side", "word").agg(F.array_sort(F.collect_list(F.struct("depth", "key"))).alias("path"))
 
 
-def _bits(ending: Column) -> list[Column]:
-    """A signature with the one bit of an ending."""
-    place = _place(ending)
+def _bits(place: Column) -> list[Column]:
+    """A signature with one bit."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
     return [F.when(F.call_function("div", place, F.lit(64)) == k, bit) for k in range(len(SIGNATURE))]
 
@@ -157,7 +156,7 @@ def _may_end(place: Column) -> Column:
 
 
 def edges(paths: DataFrame) -> DataFrame:
-    """The edges of both tries, each once: from (depth, parent) over the letters of `label` to (below, child).
+    """The edges of both tries, each once: from (depth, parent) over `letter` and the letters of `beyond` to (below, child).
 
     least, most: letters that words go on below it; SIGNATURE: of these endings; words: how many
     words pass; word: the one that ends there.
@@ -168,12 +167,14 @@ def edges(paths: DataFrame) -> DataFrame:
     rest = F.col("q") - F.col("below")
     each = each.select(
         "depth", "parent", "below", "child",
-        F.substr("text", F.col("depth") + 1, F.col("below") - F.col("depth")).alias("label"),
+        F.substr("text", F.col("depth") + 1, F.lit(1)).alias("letter"),
+        F.substr("text", F.col("depth") + 2, F.col("below") - F.col("depth") - 1).alias("beyond"),
         rest.alias("rest"),
-        *[b.alias(c) for b, c in zip(_bits(F.substr("text", F.col("below") + 1)), SIGNATURE, strict=True)],
+        _place(F.substr("text", F.col("below") + 1)).alias("place"),
         F.when(rest == 0, F.col("word")).alias("word"),
     )
-    return each.groupBy("depth", "parent", "below", "child", "label").agg(
+    each = each.select("*", *[b.alias(c) for b, c in zip(_bits(F.col("place")), SIGNATURE, strict=True)])
+    return each.groupBy("depth", "parent", "below", "child", "letter", "beyond").agg(
         F.min("rest").alias("least"), F.max("rest").alias("most"), *[F.bit_or(c).alias(c) for c in SIGNATURE], F.count("*").alias("words"), F.max("word").alias("near")
     )
 
@@ -183,7 +184,7 @@ def _step(states: DataFrame, level: DataFrame, depth: int) -> DataFrame:
     letters = F.col("below") - F.lit(depth)
 
     def text(begin: Column, size: Column) -> Column:
-        return F.substr("text", F.col(begin) + 1 if isinstance(begin, str) else begin + 1, size)
+        return F.substr("text", begin + 1, size)
 
     def lives(pos: Column, known: str | None = None) -> Column:
         """Words below go on as the word does from `pos`, as far as length and signature say; `known` has the place of
@@ -193,21 +194,25 @@ def _step(states: DataFrame, level: DataFrame, depth: int) -> DataFrame:
         return left.between(F.col("least"), F.col("most")) & _may_end(place if known is None else F.when(letters == 1, F.col(known)).otherwise(place))
 
     pos, fresh = F.col("pos"), ~F.col("edited")
-    letter, wanted = F.substr("label", F.lit(1), F.lit(1)), text("pos", F.lit(1))
+    letter, wanted = F.col("letter"), F.col("wanted")
     same = letter == wanted
     along, swapped, put_in = pos + letters, pos + letters, pos + letters - 1
-    beyond = F.substr("label", F.lit(2))
+
+    def goes_on(begin: Column) -> Column:
+        """The edge's further letters are the word's from `begin`; most edges have none."""
+        return (letters == 1) | (F.col("beyond") == text(begin, letters - 1))
+
     # A word's own edge matters as long as other words pass it.
-    own = same & fresh & (F.col("words") > 1) & (F.col("least") <= F.col("q") + 1 - along) & (F.col("most") >= F.col("q") - along)
-    follows = same & F.col("edited") & (F.col("label") == text("pos", letters)) & lives(along)
-    replaced = (letter > wanted) & fresh & (swapped <= F.col("q")) & (beyond == text(pos + 1, letters - 1)) & lives(swapped, "after")
-    added = ~same & fresh & (put_in <= F.col("q")) & (beyond == text("pos", letters - 1)) & lives(put_in, "here")
+    own = fresh & same & (F.col("words") > 1) & (F.col("least") <= F.col("q") + 1 - along) & (F.col("most") >= F.col("q") - along)
+    follows = F.col("edited") & same & goes_on(pos + 1) & lives(along, "after")
+    replaced = fresh & (letter > wanted) & (swapped <= F.col("q")) & goes_on(pos + 1) & lives(swapped, "after")
+    added = fresh & ~same & (put_in <= F.col("q")) & goes_on(pos) & lives(put_in, "here")
     moves = F.array(
         F.when(own | follows, F.struct(along.alias("pos"), F.col("edited").alias("edited"))),
         F.when(replaced, F.struct(swapped.alias("pos"), F.lit(True).alias("edited"))),
         F.when(added, F.struct(put_in.alias("pos"), F.lit(True).alias("edited"))),
     )
-    states = states.withColumns({"here": _place(F.substr("text", pos + 1)), "after": _place(F.substr("text", pos + 2))})
+    states = states.withColumns({"wanted": text(pos, F.lit(1)), "here": _place(F.substr("text", pos + 1)), "after": _place(F.substr("text", pos + 2))})
     met = states.join(level.hint("shuffle_hash"), (F.col("key") == F.col("parent")) & (own | follows | replaced | added))
     moved = met.withColumn("move", F.explode(F.filter(moves, lambda m: m.isNotNull())))
     done = F.col("move.edited") & (F.col("move.pos") == F.col("q"))
@@ -225,7 +230,7 @@ def neighbours(words: DataFrame) -> DataFrame:
     trie = new_folder(spark)
     edges(known).hint("rebalance", "depth").write.partitionBy("depth").parquet(trie)
     # Written by depth and read by depth: a level reads its own edges and states.
-    trie_edges = spark.read.schema("parent bigint, below int, child bigint, label string, least int, most int, " + ", ".join(f"{c} bigint" for c in SIGNATURE) + ", words bigint, near string, depth int").parquet(trie)
+    trie_edges = spark.read.schema("parent bigint, below int, child bigint, letter string, beyond string, least int, most int, " + ", ".join(f"{c} bigint" for c in SIGNATURE) + ", words bigint, near string, depth int").parquet(trie)
     frontier = new_folder(spark)
 
     def put(states: DataFrame, depth: int) -> None:

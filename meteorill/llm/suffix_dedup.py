@@ -199,13 +199,11 @@ def _settle(rows: list[tuple], length: int) -> pa.RecordBatch:
     starts = np.array([r[2] for r in rows], dtype=np.int64)
     begins = counts = later = np.empty(0, dtype=np.int64)
     if len(cluster):
-        order = np.lexsort((starts[segment] + offset, rank[segment], cluster))
-        cluster, segment, offset = cluster[order], segment[order], offset[order]
-        start = starts[segment] + offset
-        head = np.flatnonzero(np.diff(cluster, prepend=cluster[0] - 1))
-        first = np.repeat(head, np.diff(np.append(head, len(cluster))))
         # A string that two segments hold is one place.
-        later = np.flatnonzero((rank[segment] != rank[segment][first]) | (start != start[first]))
+        place = (rank[segment] << 32) | (starts[segment] + offset)
+        head = np.flatnonzero(np.diff(cluster, prepend=cluster[0] - 1))
+        first = np.repeat(np.minimum.reduceat(place, head), np.diff(np.append(head, len(cluster))))
+        later = np.flatnonzero(place > first)
         later = later[np.lexsort((offset[later], segment[later]))]
         apart = (np.diff(segment[later], prepend=-1) != 0) | (np.diff(offset[later], prepend=-2) != 1)
         begins = np.flatnonzero(apart)

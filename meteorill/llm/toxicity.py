@@ -8,7 +8,8 @@ not trust them more than it may later.
 The chain is fitted on a bounded sample of the labelled documents and scores all. Null and empty
 texts have no words and get the models' base rates. Repeated rows are scored alike. A category that
 no or every training row has gets a constant probability; without training rows all are 0. Columns
-of the documents are kept by `score`, whatever their names; what it adds comes last.
+of the documents are kept by `score`, whatever their names; what it adds comes last. Very long texts are
+read whole. Words that tell equally much are taken in the order of the words; an empty table has an empty result.
 """
 
 from __future__ import annotations

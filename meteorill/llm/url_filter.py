@@ -7,7 +7,8 @@ No table is joined: the levels are literals in an expression.
 
 Null and empty keys are keys like any other. A key outside the universe the cascade was built on
 gets an answer that may be wrong, as with any Bloom filter. An empty list makes a cascade without
-levels, which lists nothing.
+levels, which lists nothing. Repeated keys are one key, listed if any of their rows is. Rules of equal length are
+taken in the order of their texts. Very long urls are keys like any other; an empty table has an empty result.
 """
 
 from __future__ import annotations
