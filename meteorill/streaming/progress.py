@@ -35,16 +35,21 @@ class ProgressLog(StreamingQueryListener):
         self.lock = threading.Lock()
         self.streams: dict[str, str] = {}
         self.rows: dict[str, list[tuple]] = {}
-        self.ended: dict[str, threading.Event] = {}
+        self.ended: set[str] = set()
+        self.written: dict[str, threading.Event] = {}
 
     def follow(self, query: StreamingQuery, stream: str) -> None:
+        """Rows of `query` are kept from its start on, also where it has made batches, or ended, before this call."""
+        run = str(query.runId)
         with self.lock:
-            self.streams[str(query.runId)] = stream
-            self.ended.setdefault(str(query.runId), threading.Event())
+            self.streams[run] = stream
+            self.written.setdefault(run, threading.Event())
+            ended = run in self.ended
+        if ended:
+            self._write(run, last=True)
 
     def onQueryStarted(self, event) -> None:
-        with self.lock:
-            self.ended.setdefault(str(event.runId), threading.Event())
+        """Nothing yet."""
 
     def onQueryProgress(self, event) -> None:
         progress, run = event.progress, str(event.progress.runId)
@@ -64,21 +69,23 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         run = str(event.runId)
-        self._write(run)
         with self.lock:
-            self.ended.setdefault(run, threading.Event()).set()
+            self.ended.add(run)
+        self._write(run, last=True)
 
-    def _write(self, run: str) -> None:
+    def _write(self, run: str, last: bool = False) -> None:
         with self.lock:
-            stream, rows = self.streams.get(run), self.rows.pop(run, [])
-        if stream is not None and rows:
+            if (stream := self.streams.get(run)) is None:
+                return
+            rows = self.rows.pop(run, [])
+        if rows:
             write_progress(self.spark.createDataFrame([(stream, *row) for row in rows], PROGRESS), self.path)
+        if last:
+            self.written[run].set()
 
     def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
         """Until all rows of a query that has ended are written."""
-        with self.lock:
-            ended = self.ended.setdefault(str(query.runId), threading.Event())
-        if not ended.wait(seconds):
+        if not self.written[str(query.runId)].wait(seconds):
             raise TimeoutError(f"the end of query {query.runId} was not reported within {seconds} s")
 
 

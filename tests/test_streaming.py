@@ -5,9 +5,9 @@ from meteorill.operators.stations import weather_from_bits, weather_from_daily,
 from meteorill.plans import fixtures as fx
 from meteorill.schemas import RAW_RECORD
 from meteorill.sources import tables
-from meteorill.sources.stream import admitted, observation_stream
+from meteorill.sources.stream import admitted, numbered, observation_stream
 from meteorill.streaming import ingest
-from meteorill.streaming.progress import follow
+from meteorill.streaming.progress import counted, follow
 
 
 def write_records(spark, small_dir, path, files, *keys):
@@ -75,6 +75,19 @@ def test_progress_of_batches_without_records(spark, small_dir, tmp_path, log):
     assert got == {0: fx.obs(spark, small_dir).count(), 1: 0}
 
 
+def test_a_query_that_has_ended_is_followed_from_its_start(spark, small_dir, tmp_path, log):
+    base = str(tmp_path)
+    write_records(spark, small_dir, f"{base}/records", 2, "StationId", "Date")
+    records = counted(numbered(observation_stream(spark, admitted(files=1), "parquet", RAW_RECORD, f"{base}/records")))
+    query = records.writeStream.format("noop").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    log.follow(query, "late")
+    log.wait(query)
+    got = tables.read_progress(spark, f"{base}/progress")
+    assert {(r.stream, r.batch_id) for r in got.collect()} == {("late", 0), ("late", 1)}
+    assert got.agg(F.sum("input_rows")).first()[0] == fx.obs(spark, small_dir).count()
+
+
 def test_the_source_is_read_once_for_each_batch(spark, small_dir, tmp_path, log):
     """Counting the records costs no further job: the stream's plan has read every row once."""
     base = str(tmp_path)
