@@ -98,22 +98,23 @@ def candidates(index: Index, *, window: int = WINDOW, rarest: int = RAREST, max_
 
 
 def near_candidates(index: Index, *, slack: int = SLACK, window: int = WINDOW, rarest: int = RAREST, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, text_hash, item, start, bin): where the words of a window may stand within `slack` of their places, stored.
+    """(doc_id, text_hash, item, bin): where the words of some window of an item may stand within `slack` of their places, stored.
 
     If word p of the item stands at most `slack` from `shift + p`, its own shift is in a range of 2 * slack + 1 around
     that of the window. Bins of twice this width overlap by half, so that the shifts of all rarest terms lie in one of
-    them; there they are counted without repeats.
+    them. There the terms' places are gathered as bits, modulo 64, which tells apart those of a window.
     """
     windows = stored(_anchors(index, window, rarest))
-    needed = windows.groupBy("item", "start").agg(F.count("*").alias("needed"))
+    anchors = stored(windows.select("item", "place", "term").distinct())
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place") % 64)
+    masks = windows.groupBy("item", "start").agg(F.bit_or(bit).alias("mask")).groupBy("item").agg(F.collect_set("mask").alias("masks"))
     width = 2 * slack + 1
     bins = F.array(*(F.call_function("div", F.col("shift") - F.pmod("shift", F.lit(width)), F.lit(width)) - k for k in (0, 1)))
-    placed = bounded(windows, windows.count(), max_broadcast_rows)
-    shifted = index.postings.join(placed, "term").select("item", "start", "place", *DOCUMENT, (F.col("position") - F.col("place")).alias("shift"))
-    binned = shifted.select("item", "start", "place", *DOCUMENT, F.explode(bins).alias("bin"))
-    # First the terms of a bin one by one, then their number: no list of a hot term's places is built.
-    met = binned.groupBy("item", "start", *DOCUMENT, "bin", "place").agg(F.lit(1).alias("one")).groupBy("item", "start", *DOCUMENT, "bin").agg(F.count("*").alias("met"))
-    return stored(met.join(needed, ["item", "start"]).where("met = needed").select(*DOCUMENT, "item", "start", "bin"))
+    shifted = index.postings.join(bounded(anchors, anchors.count(), max_broadcast_rows), "term").select("item", *DOCUMENT, bit.alias("bit"), (F.col("position") - F.col("place")).alias("shift"))
+    met = shifted.select("item", *DOCUMENT, "bit", F.explode(bins).alias("bin")).groupBy("item", *DOCUMENT, "bin").agg(F.bit_or("bit").alias("met"))
+    # One place is not enough for most windows: those go before the items' windows are looked at.
+    whole = F.exists("masks", lambda m: m.bitwiseAND(F.col("met")) == m)
+    return stored(met.join(masks, "item").where(whole).select(*DOCUMENT, "item", "bin"))
 
 
 def _hit_positions(window: int) -> Column:
@@ -132,21 +133,26 @@ def _hit_positions(window: int) -> Column:
 
 
 def _is_near(window: int, slack: int) -> Column:
-    """Whether some shift puts every word of the window (from `start` in `words`) near its place in `seen`. That begins where the
-    least shift puts the window's first word, less the slack; `skipped` words of it lie before the document.
+    """Whether some shift puts every word of some window of `words` near its place in `seen`. That begins where the least
+    shift puts the item's first word, less the slack; `skipped` words of it lie before the document.
     """
     size = F.least(F.lit(window), F.size("words"))
     # All shifts of a bin, and of what its terms may be off.
     shifts = F.sequence(F.lit(-slack), F.lit(2 * (2 * slack + 1) + slack))
-    words = F.transform(F.sequence(F.lit(0), size - 1), lambda p: F.struct(p.alias("p"), F.get(F.col("words"), F.col("start") + p).alias("word")))
+    starts = F.sequence(F.lit(0), F.size("words") - size)
 
-    def around(s, p):
-        # Places in `seen` from `slack` before to `slack` behind that of word p under shift s.
+    def close(s, p):
+        # Word p stands from `slack` before to `slack` behind its place under shift s.
         place = s + p - F.col("skipped") + 2 * slack
         begin = F.greatest(place - slack, F.lit(0))
-        return F.slice("seen", begin + 1, F.greatest(place + slack - begin + 1, F.lit(0)))
+        return F.array_contains(F.slice("seen", begin + 1, F.greatest(place + slack - begin + 1, F.lit(0))), F.get(F.col("words"), p))
+
+    def along(s):
+        """Which words are close under shift s; a window is near if all of its words are."""
+        each = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda p: close(s, p))
+        return let(each, lambda known: F.exists(starts, lambda start: F.forall(F.slice(known, start + 1, size), lambda x: x)))
 
-    return let(words, lambda known: F.exists(shifts, lambda s: F.forall(known, lambda w: F.array_contains(around(s, w["p"]), w["word"]))))
+    return F.exists(shifts, along)
 
 
 def matches(
@@ -159,21 +165,21 @@ def matches(
     Each document's words are read once more, beside the candidates they are cut to.
     """
     n_found = found.count()
-    every = found.join(index.items.select("item", F.size("words").alias("size")), "item").select(*DOCUMENT, "item", "shift", "size", F.lit(None).cast("int").alias("start"))
+    every = found.join(index.items.select("item", F.size("words").alias("size")), "item").select(*DOCUMENT, "item", "shift", "size", F.lit(False).alias("near"))
     if near is not None:
-        # The words that a window may reach under any shift of its bin.
+        # The words that an item may reach under any shift of its bin.
         width = 2 * slack + 1
-        reach = F.lit(2 * width + 4 * slack + 1 + window).cast("int")
-        close = near.select(*DOCUMENT, "item", (F.col("bin") * width + F.col("start") - 2 * slack).cast("int").alias("shift"), reach.alias("size"), "start")
+        reach = (F.size("words") + 2 * width + 4 * slack + 1).alias("size")
+        close = near.join(index.items.select("item", "words"), "item").select(*DOCUMENT, "item", (F.col("bin") * width - 2 * slack).cast("int").alias("shift"), reach, F.lit(True).alias("near"))
         every, n_found = every.unionByName(close), n_found + near.count()
-    wanted = every.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("item", "shift", "size", "start")).alias("wanted"))
+    wanted = every.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("item", "shift", "size", "near")).alias("wanted"))
     wanted = stored(wanted.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "wanted"))
 
     def cut(words):
         def piece(c):
             skipped = F.greatest(F.lit(0), -c["shift"])
             seen = F.slice(words, c["shift"] + skipped + 1, F.greatest(c["size"] - skipped, F.lit(0)))
-            return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), c["start"].alias("start"), skipped.alias("skipped"), seen.alias("seen"))
+            return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), c["near"].alias("near"), skipped.alias("skipped"), seen.alias("seen"))
 
         return F.struct(F.size(words).alias("n_words"), F.transform("wanted", piece).alias("pieces"))
 
@@ -182,8 +188,8 @@ def matches(
     both = texts.join(small, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")), "left")
     rows = stored(both.select(*DOCUMENT, let(text_words(), cut).alias("cut")).select(*DOCUMENT, F.col("cut.n_words").alias("n_words"), F.col("cut.pieces").alias("pieces")).withColumn("row", F.monotonically_increasing_id()))
     pieces = rows.where("size(pieces) > 0").select("row", F.inline("pieces")).join(index.items, "item")
-    close_by = pieces.where("start is not null").where(_is_near(window, slack)).groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("near_ids"))
-    matched = pieces.where("start is null").select("row", "item_id", _hit_positions(window).alias("hits")).where("size(hits) > 0")
+    close_by = pieces.where("near").where(_is_near(window, slack)).groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("near_ids"))
+    matched = pieces.where("not near").select("row", "item_id", _hit_positions(window).alias("hits")).where("size(hits) > 0")
     matched = matched.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
