@@ -1,7 +1,8 @@
 """Monthly sums kept up to date by a stateful stream.
 
-The state of a station and year has the first value of each day and variable, by the records' order in
-the whole stream. Whenever a batch changes one, the sums of its month go out again (output mode `update`), and the
+The state has the first value of each station, day and variable, by the records' order in
+the whole stream. Stations are dealt into `BUCKETS` groups by their hash, and there is one state for each group and year,
+which is updated for all its stations at once. Whenever a batch changes a value, the sums of its month go out again (output mode `update`), and the
 sink keeps the latest row of each month. A day that is cut over batches, or whose first record comes last,
 counts once and right; no table of daily values is needed.
 
@@ -28,10 +29,16 @@ from meteorill.sources.tables import write_monthly
 from meteorill.streaming.progress import ProgressLog, counted
 
 LATENESS = "100 days"
+#: Groups that the stations of a year are dealt into. Calling Python for a group costs much more than a station's rows, so
+#: that a group for each station would make the calls the most of the time.
+BUCKETS = 1024
 FIRST = ["StationId", "Date", "Variable"]
 FIRST_SCHEMA = "StationId string, Date int, Variable string, Value bigint, seq bigint"
-#: Day and variable as one number, the order of the record, and its value; a missing value is the least number.
-STATE_SCHEMA = "slots array<bigint>, seqs array<bigint>, amounts array<bigint>"
+#: Stations of a group, and as 64-bit numbers: the place of a value (station, day and variable), the order of its record,
+#: and the value; a missing one is the least number.
+STATE_SCHEMA = "stations array<string>, places binary, seqs binary, amounts binary"
+#: Places of a station: more than the last day and variable have.
+PLACES = 4096
 MISSING = np.iinfo(np.int64).min
 OUT_SCHEMA = ", ".join(["StationId string", "Month int", "Year int", *[f"{c} bigint" for c in (*SUMS, *COUNTS)]])
 
@@ -42,65 +49,77 @@ def first_of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.sort_values("seq", kind="stable").drop_duplicates(FIRST)
 
 
-def _merged(slots: np.ndarray, seqs: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first of each slot, by slot."""
-    order = np.lexsort((seqs, slots))
-    slots, seqs, amounts = slots[order], seqs[order], amounts[order]
-    first = np.flatnonzero(np.diff(slots, prepend=-1))
-    return slots[first], seqs[first], amounts[first]
+def _merged(places: np.ndarray, seqs: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first of each place, by place."""
+    order = np.lexsort((seqs, places))
+    places, seqs, amounts = places[order], seqs[order], amounts[order]
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    return places[first], seqs[first], amounts[first]
 
 
-def monthly_sums(slots: np.ndarray, amounts: np.ndarray, months: np.ndarray) -> pd.DataFrame:
-    """Sums and counts of the months with these numbers."""
-    known = amounts != MISSING
-    out: dict[str, list] = {"Month": [int(m) for m in months]}
+def _months(places: np.ndarray) -> np.ndarray:
+    """Station and month of each place as one number."""
+    return places // PLACES * 100 + places % PLACES // len(VARIABLES) // 100
+
+
+def monthly_sums(places: np.ndarray, amounts: np.ndarray, months: np.ndarray, stations: list[str]) -> pd.DataFrame:
+    """Sums and counts of the months with these numbers, which ascend."""
+    of = _months(places)
+    at = np.minimum(np.searchsorted(months, of), len(months) - 1)
+    known = (amounts != MISSING) & (months[at] == of)
+    out = {"StationId": [stations[m // 100] for m in months.tolist()], "Month": months % 100}
     for number, (total, count) in enumerate(zip(SUMS, COUNTS, strict=True)):
-        of = known & (slots % len(VARIABLES) == number)
-        values = [amounts[of & (slots // len(VARIABLES) // 100 == m)] for m in months]
-        out[total] = [int(v.sum()) if len(v) else None for v in values]
-        out[count] = [len(v) for v in values]
+        own = known & (places % PLACES % len(VARIABLES) == number)
+        sums, counts = np.zeros(len(months), dtype=np.int64), np.bincount(at[own], minlength=len(months))
+        np.add.at(sums, at[own], amounts[own])
+        out[total], out[count] = pd.arrays.IntegerArray(sums, counts == 0), counts
     return pd.DataFrame(out)
 
 
 def update_year(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The changed months of one station and year."""
-    station, year = key
+    """The changed months of a group of stations in one year."""
+    year = int(key[1])
     if state.hasTimedOut:
         state.remove()
         return
-    slots, seqs, amounts = (np.array(x, dtype=np.int64) for x in (state.get if state.exists else ([], [], [])))
-    before, changed = (slots, amounts), []
+    stations, *kept = state.get if state.exists else ([], b"", b"", b"")
+    places, seqs, amounts = (np.frombuffer(x, dtype=np.int64) for x in kept)
+    before, number = (places, amounts), {s: k for k, s in enumerate(stations)}
     for rows in batches:
+        codes, names = pd.factorize(rows["StationId"])
+        owner = np.array([number.setdefault(s, len(number)) for s in names], dtype=np.int64)[codes]
         day = rows["Date"].to_numpy() % 10000
-        slot = day * len(VARIABLES) + rows["Variable"].map({v: k for k, v in enumerate(VARIABLES)}).to_numpy()
+        place = owner * PLACES + day * len(VARIABLES) + rows["Variable"].map({v: k for k, v in enumerate(VARIABLES)}).to_numpy()
         value = rows["Value"].astype("Int64")
         amount = value.fillna(0).to_numpy(dtype=np.int64)
         amount[value.isna().to_numpy()] = MISSING
-        changed.append(slot)
-        slots, seqs, amounts = _merged(*(np.concatenate(x) for x in ((slots, slot), (seqs, rows["seq"].to_numpy()), (amounts, amount))))
-    old = dict(zip(before[0].tolist(), before[1].tolist(), strict=True))
-    moved = np.array([s for s, a in zip(slots.tolist(), amounts.tolist(), strict=True) if old.get(s) != a or s not in old], dtype=np.int64)
-    state.update((slots.tolist(), seqs.tolist(), amounts.tolist()))
-    end = int(pd.Timestamp(year=int(year) + 1, month=1, day=1, tz="UTC").timestamp() * 1000)
+        places, seqs, amounts = _merged(*(np.concatenate(x) for x in ((places, place), (seqs, rows["seq"].to_numpy()), (amounts, amount))))
+    state.update((list(number), places.tobytes(), seqs.tobytes(), amounts.tobytes()))
+    end = int(pd.Timestamp(year=year + 1, month=1, day=1, tz="UTC").timestamp() * 1000)
     state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
-    if len(moved):
-        sums = monthly_sums(slots, amounts, np.unique(moved // len(VARIABLES) // 100))
-        for column in SUMS:
-            sums[column] = sums[column].astype("Int64")
-        sums.insert(0, "StationId", station)
-        sums.insert(2, "Year", int(year))
+    same = np.zeros(len(places), dtype=bool)
+    if len(before[0]):
+        at = np.minimum(np.searchsorted(before[0], places), len(before[0]) - 1)
+        same = (before[0][at] == places) & (before[1][at] == amounts)
+    if not same.all():
+        sums = monthly_sums(places, amounts, np.unique(_months(places[~same])), list(number))
+        sums.insert(2, "Year", year)
         yield sums
 
 
-def monthly_updates(observations: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """A stream of the months that change, from a stream of clean observations with `seq`."""
+def monthly_updates(observations: DataFrame, lateness: str = LATENESS, buckets: int = BUCKETS) -> DataFrame:
+    """A stream of the months that change, from a stream of clean observations with `seq`.
+
+    A checkpoint belongs to the number of `buckets` it was begun with.
+    """
     observed = observations.select("StationId", "Date", "Variable", F.col("Value").cast("bigint").alias("Value"), "seq").where("StationId is not null and Date is not null")
     first = observed.mapInPandas(first_of_task, FIRST_SCHEMA)
     day = F.try_to_timestamp(F.col("Date").cast("string"), F.lit("yyyyMMdd"))
-    dated = first.withColumns({"Day": day, "Year": F.call_function("div", "Date", F.lit(10000)).cast("int")}).where("Day is not null")
+    bucket = F.pmod(F.xxhash64("StationId"), F.lit(buckets)).cast("int")
+    dated = first.withColumns({"Day": day, "Year": F.call_function("div", "Date", F.lit(10000)).cast("int"), "Bucket": bucket}).where("Day is not null")
     return (
         dated.withWatermark("Day", lateness)
-        .groupBy("StationId", "Year")
+        .groupBy("Bucket", "Year")
         .applyInPandasWithState(update_year, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout)
     )
 
@@ -114,6 +133,7 @@ def start_monthly_state(
     stream: str = "main",
     progress: ProgressLog | None = None,
     lateness: str = LATENESS,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Keep the monthly sums in the table at `path` up to date; `tables.read_monthly` gives the latest."""
 
@@ -121,7 +141,7 @@ def start_monthly_state(
         write_monthly(batch.withColumns({"stream": F.lit(stream), "batch_id": F.lit(epoch).cast("bigint")}), path)
 
     arriving = counted(numbered(records)) if progress is not None else numbered(records)
-    updates = monthly_updates(clean(parse_observations(arriving, order="seq"), floor), lateness)
+    updates = monthly_updates(clean(parse_observations(arriving, order="seq"), floor), lateness, buckets)
     query = (
         updates.writeStream.foreachBatch(upsert)
         .outputMode("update")

@@ -89,3 +89,16 @@ def test_bad_days_and_stations_do_not_stop_the_stream(spark, tmp_path):
     write(spark, base, [*good, (None, 20000101, "TMAX", 5, 2), ("CH1", 20001399, "TMAX", 5, 3), ("CH1", None, "TMAX", 5, 4)])
     run(spark, base)
     assert result(spark, base) == whole(spark, good)
+
+
+def test_calls_and_states_do_not_grow_with_the_stations(spark, tmp_path):
+    """One state, and one call, for a group of stations and a year; the sums are those of each station."""
+    r, base = random.Random(3), str(tmp_path)
+    rows = [(f"CH{seq % 3000}", r.choice([20000101, 20000102, 20000301]), r.choice(["TMAX", "TMIN"]), r.choice([None, *range(-20, 20)]), seq) for seq in range(9000)]
+    r.shuffle(rows)
+    for k in range(2):
+        write(spark, base, rows[k::2])
+    query = run(spark, base, "100 days")
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(states) <= 1024
+    assert result(spark, base) == whole(spark, rows)
