@@ -205,3 +205,15 @@ def test_stations_are_broadcast_only_below_the_limit(spark, rows):
         assert rows(enrich(facts, stations)) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_estimates_are_of_one_month_at_a_time(spark):
+    """No task holds or shuffles a buffer for each of its months; the estimates are those of the aggregation."""
+    rows = [("CH1", 20000100 + d, v, (d * d + 7 * k) % 11 if d % 4 else None, 100 * d + k) for d in range(1, 29) for k, v in enumerate(("TMAX", "TMIN", "PRCP"))]
+    obs = spark.createDataFrame([*rows, ("CH1", 20000201, "SNWD", 3, 1), ("GM2", 20000101, "TMAX", 5, 1)], "StationId string, Date int, Variable string, Value int, seq bigint")
+    found = monthly.monthly_partials(obs, "approx_distinct")
+    assert "partial_approx_count_distinct" not in found._jdf.queryExecution().executedPlan().toString()
+    days = monthly.with_month(monthly.daily_pivot(obs)).groupBy("StationId", "Month", "Year")
+    sums = [F.sum(v).alias(s) for v, s in zip(monthly.SUFFIX, monthly.SUMS, strict=True)]
+    counts = [F.approx_count_distinct(v).alias(c) for v, c in zip(monthly.SUFFIX, monthly.COUNTS, strict=True)]
+    assert sorted(map(str, found.collect())) == sorted(map(str, days.agg(*sums, *counts).collect()))
