@@ -218,3 +218,21 @@ def test_a_failing_sink_fails_the_query(spark, small_dir, tmp_path):
 
     with pytest.raises(Exception, match="no database"):
         run(spark, base, stations=fx.stations(spark, small_dir), write=broken)
+
+
+def test_files_of_a_micro_batch_grow_with_the_records(spark, tmp_path, monkeypatch):
+    """Tasks that write and read a part's records are bounded; each part is still one batch."""
+    from meteorill.plans import catalog
+
+    small = "/root/testdata/sf0.001"
+    assert catalog._files(spark, small) == catalog.FILES
+    monkeypatch.setattr(catalog, "FILE_RECORDS", 100)
+    n = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    files = catalog._files(spark, small)
+    assert files == -(-n // 400) > catalog.FILES
+    catalog._by_day(spark, small, str(tmp_path))
+    names = [r["f"] for r in spark.read.parquet(f"{tmp_path}/records").select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len(names) == 4 * files
+    base = catalog._ingest(spark, small)
+    batches = spark.read.parquet(f"{base}/partials").select("batch_id", "Year", "Month").distinct()
+    assert sorted(r["batch_id"] for r in batches.select("batch_id").distinct().collect()) == [0, 1, 2, 3]
