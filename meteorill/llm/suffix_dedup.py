@@ -68,8 +68,8 @@ def _least_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - rest], keys[rest:]) if rest else keys
 
 
-def runs(data: bytes, length: int = LENGTH, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor hash, content hash, start, number of strings, distance of the anchor) of the runs in `data`, in portions."""
+def _anchored(data: bytes, length: int, k: int) -> Iterator[tuple]:
+    """(begin, running hash, inverse powers, k-gram hashes, firsts, lasts, anchors) of the runs in each portion of `data`."""
     whole = np.frombuffer(data, dtype=np.uint8)
     low = np.uint64((1 << 24) - 1)
     for begin in range(0, len(whole) - length + 1, STRETCH):
@@ -80,14 +80,38 @@ def runs(data: bytes, length: int = LENGTH, k: int = K) -> Iterator[tuple[np.nda
             np.cumsum(table[part] * up[: len(part)], out=running[1:])
             grams = _mixed((running[k:] - running[:-k]) * down[: len(part) - k + 1])
             least = _least_in_windows((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - k + 1) & low
-            first = np.flatnonzero(np.diff(least, prepend=np.uint64(1 << 30)))
-            last = np.append(first[1:], len(least)) - 1
-            anchor = least[first].astype(np.int64)
+        first = np.flatnonzero(np.diff(least, prepend=np.uint64(1 << 30)))
+        last = np.append(first[1:], len(least)) - 1
+        yield begin, running, down, grams, first, last, least[first].astype(np.int64)
+
+
+def runs(data: bytes, length: int = LENGTH, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchor hash, content hash, start, number of strings, distance of the anchor) of the runs in `data`, in portions."""
+    for begin, running, down, grams, first, last, anchor in _anchored(data, length, k):
+        with np.errstate(over="ignore"):
             content = (running[last + length] - running[first]) * down[first]
             content = _mixed(content + ((anchor - first) * 256 + (last - first)).astype(np.uint64))
         yield grams[anchor], content, begin + first, last - first + 1, anchor - first
 
 
+def anchor_rows(docs: DataFrame, length: int, k: int) -> DataFrame:
+    """(anchor) of all runs of all documents: `run_rows` without what a count of anchors has no use for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[np.ndarray] = []
+            size = 0
+            for row, text in enumerate(batch["text"]):
+                for _, _, _, grams, _, _, anchor in _anchored(text.as_py(), length, k):
+                    found.append(grams[anchor])
+                    size += len(anchor)
+                if size > 100_000 or (row + 1 == batch.num_rows and size):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["anchor"])
+                    found, size = [], 0
+
+    return docs.select(text_or_empty().cast("binary").alias("text")).mapInArrow(run, "anchor bigint")
+
+
 def run_rows(docs: DataFrame, length: int, k: int) -> DataFrame:
     """(anchor, content, doc_id, text_hash, at) of all runs of all documents."""
 
@@ -335,7 +359,7 @@ def repeated_places(docs: DataFrame, *, length: int = LENGTH, k: int = K, togeth
         raise ValueError(f"a run of strings of {length} bytes around {k} does not fit {COUNT_BITS} bits")
     everything = run_rows(docs, length, k)
     # Stored, so that the join below shuffles both sides and a hot anchor can be split.
-    twice = stored(everything.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
+    twice = stored(anchor_rows(docs, length, k).groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
     met = stored(everything.join(twice.hint("shuffle_hash"), "anchor"))
     place = ["doc_id", "text_hash", "at"]
     first = stored(met.groupBy("anchor", "content").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("rows")))

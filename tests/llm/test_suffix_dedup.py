@@ -139,3 +139,12 @@ def test_many_texts_of_one_id(make_docs):
     """All ids are missing: texts are told apart by themselves."""
     texts = [prose(1, 30) + prose(100 + k, 10) for k in range(60)]
     assert found(make_docs(texts, [None] * len(texts))) == brute([(None, t) for t in texts])
+
+
+def test_anchors_are_those_of_the_runs(odd_docs):
+    """The pass that counts anchors makes them alone, one for each run."""
+    found = sd.anchor_rows(odd_docs, 100, 24)
+    assert found.columns == ["anchor"]
+    of_runs = sd.run_rows(odd_docs, 100, 24).select("anchor")
+    assert found.count() == of_runs.count() > 0
+    assert found.exceptAll(of_runs).isEmpty()
