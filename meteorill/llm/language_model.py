@@ -7,8 +7,9 @@ up, under a hash of the decision and of their own context, how often it went eit
 for a piece without context, after the piece before, and after that piece's end; for a byte after the piece so far, and after
 the last five and the last three of its bytes. A mixer adds their log odds with weights chosen by a gate, the predictors'
 confidence, and a last table refines the outcome by what happened at such odds. Weights and that table are
-learned online, block of decisions by block, on a bounded sample of the training texts, with the counts of
-all the others. While a text is scored, its own copy of the weights goes on learning from each block of it, so
+learned online, block of decisions by block, from all training texts: each with the counts of that half of them to which it
+does not belong (copies belong to one half). The texts are dealt into shards of some `SHARD` bytes, each of which is gone
+through in one order, and what shards have learned is averaged, by how often each has seen a gate or a cell. While a text is scored, its own copy of the weights goes on learning from each block of it, so
 that a text's score depends on this text and the model only.
 
 Counts are of all training texts. Those without another piece in the context come from the table of distinct
@@ -54,13 +55,13 @@ MAX_PIECES = 1 << 15
 MAX_BITS = (20, 21, 18)
 #: Slots that travel together, and portions of tasks whose sums meet first.
 BLOCK_BITS, SALTS = 12, 16
-#: Texts that the mixer is fitted on, and the bytes one of them may have.
-SAMPLE, SAMPLE_BYTES = 400, 1 << 16
+#: Bytes of the texts that one mixer learns from in turn, before mixers are averaged; averages are of multiples of 1 / FINE.
+SHARD, FINE = 1 << 23, 1 << 20
 #: Frequent words that all tasks know; distinct pieces a task holds; bytes of text scored, and pieces counted, at a time.
 MAX_KNOWN, HELD, STRETCH, COUNTED = 1 << 18, 200_000, 1 << 16, 400_000
 #: Bytes after which a text's weights move, and by how much; the same while fitting, in decisions.
 BLOCK, RATE = 1024, 0.0004
-FIT_BLOCK, FIT_RATE, FIT_ROUNDS = 256, 0.02, 2
+FIT_BLOCK, FIT_RATE, REFINE_RATE = 4096, 0.0006, 0.02
 PRIOR, UNIT = 0.3, 800.0
 STEPS, ODDS = 33, 8.0
 #: Context of a predictor without context.
@@ -315,33 +316,95 @@ def _cells(node: np.ndarray, total: np.ndarray) -> np.ndarray:
     return cells
 
 
-def fit(model: Model, texts: list[bytes]) -> Model:
-    """Weights and refinement from one small block of decisions after the other."""
-    weights = [w.copy() for w in model.weights]
-    weights[-1][:] = 0
-    gates, steps = len(weights[0]), 0
-    for turn in range(FIT_ROUNDS):
-        for text in texts:
-            known = symbols(model.code, pieces_of(text))
+def stretches(code: Code, texts: list[bytes]) -> Iterator[Symbols]:
+    """The symbols of all texts in their order, some STRETCH bytes at a time."""
+    lists: list[list[bytes]] = []
+    size = 0
+
+    def together() -> Symbols:
+        counts = np.array([len(found) for found in lists])
+        return symbols(code, [p for found in lists for p in found], np.cumsum(counts) - counts)
+
+    for text in texts:
+        if len(text) <= STRETCH:
+            lists.append(pieces_of(text))
+            size += len(text)
+            if size > STRETCH:
+                yield together()
+                lists, size = [], 0
+            continue
+        before, stretch, room, lower = (0, 0), [], 0, text.lower() + b"\xff"
+        for found in PIECE.finditer(lower):
+            stretch.append(found.group())
+            room += len(stretch[-1])
+            if room >= STRETCH or found.end() == len(lower):
+                known = symbols(code, stretch, before=before)
+                before = known.last
+                yield known
+                stretch, room = [], 0
+    if lists:
+        yield together()
+
+
+class Learner:
+    """Weights and refinement that move with each block of decisions, and how often each gate and cell was met."""
+
+    def __init__(self, model: Model) -> None:
+        self.weights, self.refined, self.steps = model.weights.copy(), model.refined.copy(), 0
+        self.weights[-1] = 0
+        self.gates, self.cells = np.zeros(self.weights.shape[1], dtype=np.int64), np.zeros(len(self.refined), dtype=np.int64)
+
+    def learn(self, model: Model, texts: list[bytes]) -> None:
+        """From texts, with the tables of `model`."""
+        for known in stretches(model.code, texts):
             got = inputs(model, known.codes, known.hashes)
             for begin in range(0, len(got.bit), FIT_BLOCK):
                 part = slice(begin, begin + FIT_BLOCK)
-                rate = np.float32(FIT_RATE / (1 + steps / 2000) + RATE)
-                steps += 1
-                gate, bit = got.gate[part], got.bit[part]
-                odds = [o[part] for o in got.odds]
-                total = mixed(weights, gate, odds)
-                error = bit - 1 / (1 + np.exp(-total))
-                for w, o in zip(weights, [*odds, None], strict=True):
-                    w += rate * np.bincount(gate, error if o is None else error * o, minlength=gates).astype(np.float32)
-                if turn:
-                    cells = _cells(got.node[part], total)
-                    np.add.at(model.refined, cells, np.float32(0.02) * (bit - model.refined[cells]))
-    model.weights = np.stack(weights)
-    np.clip(model.refined, 1 / 4096, 1 - 1 / 4096, out=model.refined)
+                self._block(got.gate[part], [o[part] for o in got.odds], got.node[part], got.bit[part])
+
+    def _block(self, gate: np.ndarray, odds: list[np.ndarray], node: np.ndarray, bit: np.ndarray) -> None:
+        rate = np.float32(FIT_RATE / (1 + self.steps / 500) + RATE)
+        self.steps += 1
+        total = mixed(list(self.weights), gate, odds)
+        error = bit - 1 / (1 + np.exp(-total))
+        for w, o in zip(self.weights, [*odds, None], strict=True):
+            w += rate * np.bincount(gate, error if o is None else error * o, minlength=len(w)).astype(np.float32)
+        self.gates += np.bincount(gate, minlength=len(self.gates))
+        cells = _cells(node, total)
+        met = np.bincount(cells, minlength=len(self.cells))
+        self.cells += met
+        at = np.flatnonzero(met)
+        # As if the decisions of a cell had moved it one after the other towards their mean.
+        share = np.bincount(cells, bit, minlength=len(met))[at] / met[at]
+        self.refined[at] += ((1 - (1 - REFINE_RATE) ** met[at]) * (share - self.refined[at])).astype(np.float32)
+
+    def sums(self) -> pa.RecordBatch:
+        """(at, total, n) of the weights and, after them, the refinement, as far as they were met; whole numbers, which add up to the same in any order."""
+        n = np.concatenate([np.tile(self.gates, len(self.weights)), self.cells])
+        at = np.flatnonzero(n)
+        values = np.concatenate([self.weights.reshape(-1), self.refined])[at].astype(np.float64)
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.rint(values * FINE).astype(np.int64) * n[at]), pa.array(n[at])], names=["at", "total", "n"])
+
+
+def with_averages(model: Model, at: np.ndarray, total: np.ndarray, n: np.ndarray) -> Model:
+    """`model` with the averages of what was learned; what was never met stays."""
+    weights = model.weights.copy()
+    weights[-1] = 0
+    values = np.concatenate([weights.reshape(-1), model.refined])
+    values[at] = (total / n / FINE).astype(np.float32)
+    model.weights = values[: weights.size].reshape(weights.shape)
+    model.refined = np.clip(values[weights.size :], 1 / 4096, 1 - 1 / 4096)
     return model
 
 
+def fit(model: Model, texts: list[bytes]) -> Model:
+    """Weights and refinement from some texts, one after the other."""
+    learner = Learner(model)
+    learner.learn(model, texts)
+    found = learner.sums()
+    return with_averages(model, *(np.array(found.column(k)) for k in range(3)))
+
+
 class Scorer:
     """Scores texts side by side, each with its own copy of the weights."""
 
@@ -435,31 +498,13 @@ def _texts(docs: DataFrame, *columns) -> DataFrame:
     return docs.select(*columns, text_or_empty().cast("binary").alias("text"))
 
 
-def _held(sample_until: int | None) -> Column:
-    """Whether a training text is set aside for the sample."""
-    return F.lit(False) if sample_until is None else _draw() <= sample_until
-
+def _half() -> Column:
+    """Whether a training text belongs to the second half."""
+    return F.xxhash64(text_or_empty()) % 2 == 0
 
-def _draw() -> Column:
-    return F.xxhash64("doc_id")
 
-
-def _sample(docs: DataFrame) -> tuple[int | None, list[bytes]]:
-    """The last of the least draws of ids, and the first of the distinct, short enough texts up to it, in the order of their hashes.
-
-    Texts of these ids are set aside, all of them; at most SAMPLE come here.
-    """
-    draws = docs.select(_draw().alias("draw")).distinct().orderBy("draw").limit(SAMPLE).collect()
-    if not draws:
-        return None, []
-    last = max(r["draw"] for r in draws)
-    chosen = _texts(docs.where(_held(last) & (F.octet_length(text_or_empty()) <= SAMPLE_BYTES)))
-    distinct = chosen.groupBy(F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text")).orderBy("hash").limit(SAMPLE)
-    return last, [bytes(r["text"]) for r in distinct.collect()]
-
-
-def piece_counts(docs: DataFrame, sample_until: int | None = None) -> DataFrame:
-    """(piece, fix, n, n_held): how often each piece occurs in the texts, and in those of the sample. Rows with `fix` say
+def piece_counts(docs: DataFrame) -> DataFrame:
+    """(piece, fix, n, n_held): how often each piece occurs in the texts of the first half, and in those of the second. Rows with `fix` say
     by how much a word occurs more often (or less) than its pieces would have it, as long words have several.
     """
 
@@ -483,12 +528,12 @@ def piece_counts(docs: DataFrame, sample_until: int | None = None) -> DataFrame:
                 if any(len(p) == PIECE_WORD and p[-1] not in SPACE for p in own):
                     fixes.update(Counter(data.lower().split()))
                     fixes.subtract(_words(own))
-                if len(counts[False]) + len(fixes) > HELD:
+                if len(counts[False]) + len(counts[True]) + len(fixes) > HELD:
                     yield counted()
                     counts, fixes = {True: Counter(), False: Counter()}, Counter()
         yield counted()
 
-    found = _texts(docs, _held(sample_until).alias("held")).mapInArrow(run, "piece binary, fix boolean, n bigint, n_held bigint")
+    found = _texts(docs, _half().alias("held")).mapInArrow(run, "piece binary, fix boolean, n bigint, n_held bigint")
     return found.groupBy("piece", "fix").agg(F.sum("n").alias("n"), F.sum("n_held").alias("n_held"))
 
 
@@ -541,6 +586,8 @@ def make_code(pieces: DataFrame) -> Code:
 
 
 BLOCKS = "block int, held boolean, counts binary"
+#: Columns of the tables' log odds.
+HALVES = ("first", "second", "both")
 
 
 def _piece_blocks(pieces: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
@@ -569,7 +616,7 @@ def _piece_blocks(pieces: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
     return pieces.where(~F.col("fix")).select("piece", "n", "n_held").mapInArrow(run, BLOCKS)
 
 
-def _text_blocks(docs: DataFrame, code, bits: tuple[int, ...], sample_until: int | None) -> DataFrame:
+def _text_blocks(docs: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
     """Partial tables of the pieces after the one and the two before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -625,7 +672,7 @@ def _text_blocks(docs: DataFrame, code, bits: tuple[int, ...], sample_until: int
             if tables[held] is not None:
                 yield tables[held].blocks(held)
 
-    return _texts(docs, _held(sample_until).alias("held")).mapInArrow(run, BLOCKS)
+    return _texts(docs, _half().alias("held")).mapInArrow(run, BLOCKS)
 
 
 def _unpacked(counts: bytes) -> np.ndarray:
@@ -634,7 +681,7 @@ def _unpacked(counts: bytes) -> np.ndarray:
 
 def _added(keys: list[str], finish):
     """For mapInArrow: `finish(block, sums)` of the blocks that agree in `keys`, which come together; the sums
-    of the sample's texts stand apart from the others.
+    of the two halves stand apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -660,28 +707,70 @@ def _packed(block: int, sums: dict[bool, np.ndarray]) -> pa.RecordBatch:
 
 
 def _odds(block: int, sums: dict[bool, np.ndarray]) -> pa.RecordBatch:
-    """Log odds of a block without the sample and with it."""
+    """Log odds of a block from the first half, the second, and both."""
     nothing = np.zeros(2 << BLOCK_BITS, dtype=np.int64)
-    rest, sample = sums.get(False, nothing), sums.get(True, nothing)
-    values = [pa.array([block], pa.int32()), *(pa.array([quantised(x).tobytes()], pa.binary()) for x in (rest, rest + sample))]
-    return pa.RecordBatch.from_arrays(values, names=["block", "rest", "whole"])
+    first, second = sums.get(False, nothing), sums.get(True, nothing)
+    values = [pa.array([block], pa.int32()), *(pa.array([quantised(x).tobytes()], pa.binary()) for x in (first, second, first + second))]
+    return pa.RecordBatch.from_arrays(values, names=["block", *HALVES])
 
 
-def tables(parts: DataFrame, bits: tuple[int, ...]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The predictors' tables without and with the sample's counts, from partial sums.
+def tables(parts: DataFrame, bits: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """The predictors' tables of the first half, the second, and both, from partial sums.
 
     Partial sums of one block meet in portions first, and come one after the other, so that a task holds one block. The
-    tables come to the driver as 16-bit numbers; `MAX_BITS` bounds them to some 20 MB.
+    tables come to the driver as 16-bit numbers; `MAX_BITS` bounds them to some 20 MB in all.
     """
     salted = parts.withColumn("salt", F.spark_partition_id() % SALTS)
     near = salted.repartition("block", "salt").sortWithinPartitions("block", "salt").mapInArrow(_added(["block", "salt"], _packed), BLOCKS)
-    summed = near.repartition("block").sortWithinPartitions("block").mapInArrow(_added(["block"], _odds), "block int, rest binary, whole binary")
-    without, whole = ([np.zeros(1 << b, dtype=np.int16) for b in bits] for _ in range(2))
+    summed = near.repartition("block").sortWithinPartitions("block").mapInArrow(_added(["block"], _odds), f"block int, {', '.join(f'{h} binary' for h in HALVES)}")
+    out = [[np.zeros(1 << b, dtype=np.int16) for b in bits] for _ in HALVES]
     for r in summed.collect():
         k, at = r["block"] >> 24, (r["block"] & (1 << 24) - 1) << BLOCK_BITS
-        without[k][at : at + (1 << BLOCK_BITS)] = np.frombuffer(r["rest"], dtype=np.int16)
-        whole[k][at : at + (1 << BLOCK_BITS)] = np.frombuffer(r["whole"], dtype=np.int16)
-    return without, whole
+        for known, half in zip(out, HALVES, strict=True):
+            known[k][at : at + (1 << BLOCK_BITS)] = np.frombuffer(r[half], dtype=np.int16)
+    return out
+
+
+def averages(docs: DataFrame, first: Model, second: Model, shards: int) -> DataFrame:
+    """(at, total, n): what mixers learn from all texts, each with the tables of the half to which it does not belong.
+
+    Texts are dealt into shards, and ordered in them, by hashes of text and id: how they lie in partitions changes nothing.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((first, second))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = shared.value
+        other = {False: second, True: first}
+        shard, learner = None, Learner(first)
+        waiting: dict[bool, list[bytes]] = {False: [], True: []}
+
+        def learn(held: bool) -> None:
+            learner.learn(other[held], waiting[held])
+            waiting[held] = []
+
+        size = {False: 0, True: 0}
+        for batch in batches:
+            for own, held, text in zip(batch["shard"].to_pylist(), batch["held"].to_pylist(), batch["text"], strict=True):
+                if own != shard:
+                    if shard is not None:
+                        learn(False)
+                        learn(True)
+                        yield learner.sums()
+                    shard, learner, size = own, Learner(first), {False: 0, True: 0}
+                waiting[held].append(text.as_py())
+                size[held] += len(waiting[held][-1])
+                if size[held] > STRETCH:
+                    learn(held)
+                    size[held] = 0
+        if shard is not None:
+            learn(False)
+            learn(True)
+            yield learner.sums()
+
+    draw = F.xxhash64(text_or_empty(), "doc_id")
+    dealt = _texts(docs, _half().alias("held"), F.pmod(draw, F.lit(shards)).alias("shard"), draw.alias("draw"))
+    found = dealt.repartition("shard").sortWithinPartitions("shard", "draw").mapInArrow(run, "at int, total bigint, n bigint")
+    return found.groupBy("at").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 @dataclass
@@ -698,17 +787,16 @@ class Learned:
 def learn(docs: DataFrame) -> Learned:
     """What texts are scored with, from all of `docs` (doc_id, text)."""
     spark = docs.sparkSession
-    sample_until, texts = _sample(docs)
-    pieces = stored(piece_counts(docs, sample_until))
+    pieces = stored(piece_counts(docs))
     words = stored(word_counts(pieces))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("n") * (F.octet_length("token") + 1)), F.lit(0))).first()
     n_texts = docs.count()
     code, bits = make_code(pieces), slot_bits(total[2])
     shared = spark.sparkContext.broadcast(code)
-    parts = stored(_piece_blocks(pieces, shared, bits).unionByName(_text_blocks(docs, shared, bits, sample_until)))
-    without, whole = tables(parts, bits)
-    fitted = fit(Model(code, bits, without), texts)
-    model = Model(code, bits, whole, fitted.weights, fitted.refined)
+    parts = stored(_piece_blocks(pieces, shared, bits).unionByName(_text_blocks(docs, shared, bits)))
+    first, second, both = tables(parts, bits)
+    found = averages(docs, Model(code, bits, first), Model(code, bits, second), max(1, total[2] // SHARD)).toArrow()
+    model = with_averages(Model(code, bits, both), *(np.array(found[c]) for c in ("at", "total", "n")))
     return Learned(model, words, total[0] + n_texts, total[1] + (n_texts > 0), n_texts)
 
 

@@ -179,3 +179,19 @@ def test_query(spark, sf_dir):
     odd = spark.createDataFrame([(1, "".join(shuffled)), (2, docs[ids[3]])], "doc_id bigint, text string")
     bits = {r["doc_id"]: r["bits_per_byte"] for r in lm.score(odd, learned).collect()}
     assert bits[1] > 1.3 * bits[2]
+
+
+def test_mixers_learn_from_every_text(spark, make_docs):
+    """Every decision of more texts than a sample would hold, long ones included, is met by one of the mixers; copies share a half."""
+    texts = [*(prose(k, 12) for k in range(450)), "", None, *[prose(1, 12)] * 20, prose(900, 12_000)]
+    docs = make_docs(texts)
+    model = small_model(TEXTS[:5])
+    for shards in (1, 5):
+        found = lm.averages(docs, model, model, shards).toPandas()
+        met = found[found["at"] < 4 ** len(lm.MAX_BITS)]["n"].sum()
+        known = [lm.symbols(model.code, lm.pieces_of((t or "").encode())) for t in texts]
+        assert met == sum(len(lm.decisions(model.code, k.codes)[0]) for k in known)
+    again = lm.averages(docs.repartition(7), model, model, 5).toPandas()
+    assert again.sort_values("at").values.tolist() == found.sort_values("at").values.tolist()
+    halves = docs.select("text", lm._half().alias("half")).distinct().groupBy("text").count()
+    assert halves.where("count > 1").isEmpty()
