@@ -8,7 +8,7 @@ for a piece without context, after the piece before, and after that piece's end;
 the last five and the last three of its bytes. A mixer adds their log odds with weights chosen by a gate, the predictors'
 confidence, and a last table refines the outcome by what happened at such odds. Weights and that table are
 learned online, block of decisions by block, from all training texts: each with the counts of that half of them to which it
-does not belong (copies belong to one half). The texts are dealt into shards of some `SHARD` bytes, each of which is gone
+does not belong (all rows of one id belong to one half). The texts are dealt into shards of some `SHARD` bytes, each of which is gone
 through in one order, and what shards have learned is averaged, by how often each has seen a gate or a cell. While a text is scored, its own copy of the weights goes on learning from each block of it, so
 that a text's score depends on this text and the model only.
 
@@ -499,8 +499,8 @@ def _texts(docs: DataFrame, *columns) -> DataFrame:
 
 
 def _half() -> Column:
-    """Whether a training text belongs to the second half."""
-    return F.xxhash64(text_or_empty()) % 2 == 0
+    """Whether a training text belongs to the second half; by its id, as copies of other ids are among what later texts are scored with, too."""
+    return F.xxhash64("doc_id") % 2 == 0
 
 
 def piece_counts(docs: DataFrame) -> DataFrame:
