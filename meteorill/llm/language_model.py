@@ -32,10 +32,10 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,8 +57,10 @@ MAX_BITS = (20, 21, 18)
 BLOCK_BITS, SALTS = 12, 16
 #: Bytes of the texts that one mixer learns from in turn, before mixers are averaged; averages are of multiples of 1 / FINE.
 SHARD, FINE = 1 << 23, 1 << 20
-#: Frequent words that all tasks know; distinct pieces a task holds; bytes of text scored, and pieces counted, at a time.
-MAX_KNOWN, HELD, STRETCH, COUNTED = 1 << 18, 200_000, 1 << 16, 400_000
+#: Frequent words that all tasks know; pieces a task holds before it counts them; bytes of a text scored at a time.
+MAX_KNOWN, HELD, STRETCH = 1 << 18, 1 << 22, 1 << 16
+#: Bytes of texts that are cut into pieces together, and decisions that are worked on together, so that their arrays stay in the cache.
+PORTION, TOGETHER = 1 << 20, 1 << 15
 #: Bytes after which a text's weights move, and by how much; the same while fitting, in decisions.
 BLOCK, RATE = 1024, 0.0004
 FIT_BLOCK, FIT_RATE, REFINE_RATE = 4096, 0.0006, 0.02
@@ -96,6 +98,13 @@ class Code:
 
     def __init__(self, pieces: list[bytes], counts: list[int], pairs: np.ndarray, spelled: int) -> None:
         self.numbers = {p: k for k, p in enumerate(pieces)}
+        self.known = pa.array(pieces, pa.large_binary())
+        # Contexts that these pieces are for the piece after them; the last place is for pieces without a number.
+        with np.errstate(over="ignore"):
+            own = _mixed(np.arange(len(pieces), dtype=np.uint64) + np.uint64(1 << 20))
+        lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+        found = _after(own, _endings(np.frombuffer(b"".join(pieces), dtype=np.uint8), lengths.cumsum(), lengths))
+        self.after = [np.append(x, np.uint32(0)) for x in found]
         usual = pairs.sum(axis=0) / max(pairs.sum(), 1)
         codes = [c for before in range(256) for c in _codes((pairs[before] + 4 * usual + 1 / 64).tolist(), 0)]
         codes += _codes([*counts, max(spelled, 1)], 256)
@@ -108,33 +117,113 @@ def pieces_of(text: bytes) -> list[bytes]:
     return PIECE.findall(text.lower() + b"\xff")
 
 
-def _hashes(pieces: list[bytes]) -> np.ndarray:
-    if not pieces:
-        return np.empty(0, dtype=np.uint64)
-    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
-    starts = np.concatenate([[0], ends[:-1]])
-    up, down, table = _powers(max(17, len(data).bit_length()))
-    with np.errstate(over="ignore"):
-        running = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(table[data] * up[: len(data)], out=running[1:])
-        return _mixed((running[ends] - running[starts]) * down[starts] + np.uint64(7))
+def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, where their pieces begin, and the end of the last, how many pieces each text has), as `pieces_of` cuts them."""
+    whole = b"".join([x for t in texts for x in (t, b"\xff")]).lower()
+    data = np.frombuffer(whole, dtype=np.uint8)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
+    begins = np.cumsum(lengths) - lengths
+    space = data - np.uint8(9) < 5
+    space |= data == 32
+    first = np.ones(len(data) + 1, dtype=bool)
+    np.greater(space[:-1], space[1:], out=first[1:-1])
+    first[begins] = True
+    starts = np.flatnonzero(first)
+    # A word begins at each of them, or the white space before the first word. Few are so long that they have several pieces.
+    sizes = np.diff(starts)
+    some = np.flatnonzero(sizes > 16)
+    several = space[starts[some + 1] - 17] | (sizes[some] > PIECE_WORD) & ~space[np.minimum(starts[some] + PIECE_WORD, len(data) - 1)]
+    if several.any():
+        more = [starts]
+        for a, b in zip(starts[some[several]].tolist(), starts[some[several] + 1].tolist(), strict=True):
+            more.append(a + np.cumsum([len(p) for p in PIECE.findall(whole[a:b])])[:-1])
+        starts = np.sort(np.concatenate(more))
+    return data, starts, np.diff(np.searchsorted(starts, np.append(begins, len(data))))
+
+
+def _array(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
+
+
+def numbers_of(code: Code, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The number of each piece, -1 if it has none."""
+    return pc.index_in(_array(data, starts), value_set=code.known).fill_null(-1).to_numpy().astype(np.int64)
+
+
+@dataclass
+class Pieces:
+    """Pieces of one text or of several: bytes, where each piece begins, and the end of the last, numbers."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    numbers: np.ndarray
+
+    def part(self, begin: int, end: int) -> Pieces:
+        first, last = self.starts[begin], self.starts[end]
+        return Pieces(self.data[first:last], self.starts[begin : end + 1] - first, self.numbers[begin:end])
+
+    def stretches(self) -> Iterator[tuple[Pieces, bool]]:
+        """Parts of some STRETCH bytes, and whether it is the last one."""
+        begin, n = 0, len(self.numbers)
+        while begin < n:
+            end = min(n, int(np.searchsorted(self.starts, self.starts[begin] + STRETCH)))
+            yield self.part(begin, end), end == n
+            begin = end
+
+
+def together(texts: list[Pieces]) -> tuple[Pieces, np.ndarray]:
+    """(pieces of all texts, how many each text has)."""
+    counts = np.array([len(t.numbers) for t in texts])
+    ends = np.cumsum([len(t.data) for t in texts])
+    starts = np.concatenate([t.starts[:-1] + (end - len(t.data)) for t, end in zip(texts, ends.tolist(), strict=True)] + [ends[-1:]])
+    return Pieces(np.concatenate([t.data for t in texts]), starts, np.concatenate([t.numbers for t in texts])), counts
+
+
+def cut_texts(code: Code, texts: list[bytes]) -> tuple[Pieces, np.ndarray]:
+    """(pieces of all texts, how many each text has)."""
+    data, starts, counts = cut(texts)
+    return Pieces(data, starts, numbers_of(code, data, starts)), counts
+
+
+def apart(every: Pieces, counts: np.ndarray) -> list[Pieces]:
+    ends = np.cumsum(counts)
+    return [every.part(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+
+
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, about PORTION bytes of texts at a time."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.flatnonzero(np.diff(np.cumsum(sizes) // PORTION, prepend=0))
+            for a, b in zip([0, *at.tolist()], [*at.tolist(), batch.num_rows], strict=True):
+                if a < b:
+                    yield batch.slice(a, b - a)
 
 
 def _high(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(32)).astype(np.uint32)
 
 
-def _endings(pieces: list[bytes], lengths: np.ndarray) -> np.ndarray:
+def _endings(data: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The last four bytes of each: of a word its last letters, and the white space after it."""
-    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    last = np.cumsum(lengths) - 1
+    last = ends - 1
     out = data[last].astype(np.uint64)
     for k in (1, 2, 3):
         out = out << np.uint64(8) | np.where(lengths > k, data[np.maximum(last - k, 0)], 0).astype(np.uint64)
     return out
 
 
+def _after(own: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Contexts of what follows a piece: by its hash, and by its end."""
+    with np.errstate(over="ignore"):
+        return [_high(_mixed(own + np.uint64(11))), _high(_mixed(ends + np.uint64(5)))]
+
+
+#: Contexts at the beginning of a text.
+BEGIN = tuple(x[0] for x in _after(np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.uint64)))
+
+
 @dataclass
 class Symbols:
     """What is coded: the code of each symbol, and its contexts' hashes; `sizes`: symbols of each piece."""
@@ -142,86 +231,128 @@ class Symbols:
     codes: np.ndarray
     hashes: list[np.ndarray]
     sizes: np.ndarray
-    last: tuple[int, int] = (0, 0)
-
-
-def _spelled(pieces: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Codes and contexts of the bytes of pieces."""
+    last: tuple[np.uint32, np.uint32] = BEGIN
+
+
+class Spelling:
+    """Bytes of some pieces one after the other, and running sums of them."""
+
+    def __init__(self, data: np.ndarray, lengths: np.ndarray) -> None:
+        self.data, self.lengths, self.ends = data, lengths, np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.place = np.arange(len(data)) - np.repeat(self.starts, lengths)
+        up, _, table = _powers(17)
+        with np.errstate(over="ignore"):
+            self.running = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(table.take(data) * up.take(self.place), out=self.running[1:])
+            self.begun = self.running[self.starts]
+
+    def hashes(self) -> np.ndarray:
+        """Of whole pieces."""
+        with np.errstate(over="ignore"):
+            return _mixed(self.running[self.ends] - self.begun + np.uint64(7))
+
+    def coded(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Codes and contexts of the bytes."""
+        data, place = self.data, self.place.astype(np.uint8)
+        last = []
+        for k in range(1, 6):
+            x = np.zeros(len(data), dtype=np.uint8)
+            x[k:] = data[:-k]
+            x *= place >= k
+            last.append(x.astype(np.uint32))
+        with np.errstate(over="ignore"):
+            word = _high(_mixed(self.running[:-1] - np.repeat(self.begun, self.lengths) + np.uint64(1)))
+            three = (last[0] | last[1] << np.uint32(8) | last[2] << np.uint32(16)) * _GOLDEN + np.uint32(1)
+            five = (three ^ (last[3] | last[4] << np.uint32(8)) * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
+        codes = last[0].astype(np.int64)
+        codes[self.starts] = END
+        codes <<= 8
+        codes += data
+        return codes, [word, five ^ five >> np.uint32(15), three ^ three >> np.uint32(15)]
+
+
+def _spelling(pieces: list[bytes]) -> Spelling:
+    return Spelling(np.frombuffer(b"".join(pieces), dtype=np.uint8), np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+
+
+def symbols(code: Code, pieces: list[bytes], spell: bool = True) -> Symbols:
+    """All symbols of a text's pieces."""
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(data)) - start
-    last = [np.where(place >= k, np.concatenate([np.zeros(k, np.uint8), data])[: len(data)], 0).astype(np.uint32) for k in range(1, 6)]
-    up, down, table = _powers(max(17, len(data).bit_length()))
-    with np.errstate(over="ignore"):
-        running = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(table[data] * up[: len(data)], out=running[1:])
-        word = _high(_mixed((running[: len(data)] - running[start]) * down[start] + np.uint64(1)))
-        three = (last[0] | last[1] << np.uint32(8) | last[2] << np.uint32(16)) * _GOLDEN + np.uint32(1)
-        five = (three ^ (last[3] | last[4] << np.uint32(8)) * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
-    return np.where(place > 0, last[0], END).astype(np.int64) * 256 + data, [word, five ^ five >> np.uint32(15), three ^ three >> np.uint32(15)]
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
+    return symbols_of(code, Pieces(data, starts, numbers_of(code, data, starts)), spell=spell)
 
 
-def symbols(code: Code, pieces: list[bytes], starts: np.ndarray | None = None, before: tuple[int, int] = (0, 0), spell: bool = True) -> Symbols:
-    """All symbols of pieces in their order, without bytes if not `spell`. `starts` are the places at which texts begin; `before` is the hash of the piece
-    before the first, and its end.
+def symbols_of(code: Code, pieces: Pieces, begins: np.ndarray | None = None, before: tuple[np.uint32, np.uint32] = BEGIN, spell: bool = True) -> Symbols:
+    """All symbols of pieces in their order, without bytes if not `spell`. `begins` are the places at which texts begin; `before` are the
+    contexts that the piece before the first makes.
     """
-    n = len(pieces)
-    numbers = np.fromiter(map(code.numbers.get, pieces, repeat(-1)), dtype=np.int64, count=n)
-    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=n)
-    spelled = numbers < 0
-    own = np.empty(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        own[~spelled] = _mixed(numbers[~spelled].astype(np.uint64) + np.uint64(1 << 20))
-    unknown = list(compress(pieces, spelled.tolist()))
-    own[spelled] = _hashes(unknown)
-    one = np.concatenate([np.array([before[0]], dtype=np.uint64), own[:-1]])
-    if starts is not None:
-        one[starts] = 0
-    ends = np.concatenate([np.array([before[1]], dtype=np.uint64), _endings(pieces, lengths)])
-    last = (int(own[-1]), int(ends[-1]))
-    ends = ends[:-1]
-    if starts is not None:
-        ends[starts] = 0
-    with np.errstate(over="ignore"):
-        contexts = [np.full(n, NOTHING), _high(_mixed(one + np.uint64(11))), _high(_mixed(ends + np.uint64(5)))]
-    codes = 65536 + np.where(spelled, len(code.numbers), numbers)
+    numbers, n = pieces.numbers, len(pieces.numbers)
+    unknown = np.flatnonzero(numbers < 0)
+    after = [x.take(numbers, mode="wrap") for x in code.after]
+    if len(unknown):
+        starts, ends = pieces.starts[unknown], pieces.starts[unknown + 1]
+        lengths = ends - starts
+        stops = np.cumsum(lengths)
+        spelling = Spelling(pieces.data.take(np.repeat(starts - stops + lengths, lengths) + np.arange(stops[-1])), lengths)
+        for x, found in zip(after, _after(spelling.hashes(), _endings(pieces.data, ends, lengths)), strict=True):
+            x[unknown] = found
+    contexts = [np.full(n, NOTHING)]
+    for x, b, outset in zip(after, before, BEGIN, strict=True):
+        context = np.empty(n, dtype=np.uint32)
+        context[0], context[1:] = b, x[:-1]
+        if begins is not None:
+            context[begins] = outset
+        contexts.append(context)
+    last = (after[0][-1], after[1][-1])
+    codes = 65536 + np.where(numbers < 0, len(code.numbers), numbers)
     sizes = np.ones(n, dtype=np.int64)
-    if spell:
-        sizes[spelled] += lengths[spelled]
-    if not unknown or not spell:
+    if not len(unknown) or not spell:
         return Symbols(codes, contexts, sizes, last)
-    at = np.cumsum(sizes) - sizes
-    is_byte = np.ones(int(sizes.sum()), dtype=bool)
-    is_byte[at] = False
-    spelling, hashes = _spelled(unknown)
-
-    def together(of_pieces: np.ndarray, of_bytes: np.ndarray) -> np.ndarray:
-        out = np.empty(len(is_byte), dtype=of_pieces.dtype)
+    sizes[unknown] += lengths
+    stops = np.cumsum(sizes)
+    at = stops - sizes
+    of_bytes = np.repeat(at[unknown] + 1 - spelling.starts, lengths) + np.arange(len(spelling.data))
+    spelled, hashes = spelling.coded()
+
+    def merged(of_pieces: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+        out = np.empty(stops[-1], dtype=of_pieces.dtype)
         out[at] = of_pieces
-        out[is_byte] = of_bytes
+        out[of_bytes] = bytes_
         return out
 
-    return Symbols(together(codes, spelling), [together(a, b) for a, b in zip(contexts, hashes, strict=True)], sizes, last)
+    return Symbols(merged(codes, spelled), [merged(a, b) for a, b in zip(contexts, hashes, strict=True)], sizes, last)
 
 
 def decisions(code: Code, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(decisions, how many each symbol has)."""
-    lengths = code.lengths[codes]
-    at = np.repeat(code.offsets[codes] - (np.cumsum(lengths) - lengths), lengths)
+    lengths = code.lengths.take(codes)
+    return _decided(code, code.offsets.take(codes), lengths), lengths
+
+
+def _decided(code: Code, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at = np.repeat(offsets - (ends - lengths), lengths)
     at += np.arange(len(at))
-    return code.flat[at], lengths
+    return code.flat.take(at)
 
 
 def _node_hash(chosen: np.ndarray) -> np.ndarray:
+    mixed = (chosen >> 1).view(np.uint32)
     with np.errstate(over="ignore"):
-        mixed = ((chosen >> 1) + 1).astype(np.uint32) * _GOLDEN
-    return mixed ^ mixed >> np.uint32(16)
+        mixed += np.uint32(1)
+        mixed *= _GOLDEN
+    mixed ^= mixed >> np.uint32(16)
+    return mixed
 
 
 def slots(hashes: np.ndarray, lengths: np.ndarray, node_hash: np.ndarray, bits: int) -> np.ndarray:
+    at = np.repeat(hashes, lengths)
+    at ^= node_hash
     with np.errstate(over="ignore"):
-        return ((np.repeat(hashes, lengths) ^ node_hash) * _FACTOR) >> np.uint32(32 - bits)
+        at *= _FACTOR
+    at >>= np.uint32(32 - bits)
+    return at
 
 
 def slot_bits(n_bytes: int) -> tuple[int, ...]:
@@ -230,6 +361,15 @@ def slot_bits(n_bytes: int) -> tuple[int, ...]:
     return tuple(min(most, size) for most in MAX_BITS)
 
 
+def _some(ends: np.ndarray) -> Iterator[slice]:
+    """Symbols, by the ends of their decisions, some TOGETHER decisions at a time."""
+    begin = 0
+    while begin < len(ends):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + TOGETHER, "right")))
+        yield slice(begin, end)
+        begin = end
+
+
 class Counts:
     """How often each slot's decision went either way, for some of the predictors."""
 
@@ -238,15 +378,17 @@ class Counts:
 
     def add(self, code: Code, codes: np.ndarray, hashes: dict[int, np.ndarray], weights: np.ndarray | None = None) -> None:
         """`hashes` of the predictors that count these symbols; `weights`: how often each symbol counts."""
-        chosen, lengths = decisions(code, codes)
-        node_hash, bit = _node_hash(chosen), (chosen & 1).astype(np.int64)
-        times = None if weights is None else np.repeat(weights, lengths)
-        for k, context in hashes.items():
-            table = self.tables[k]
-            at = slots(context, lengths, node_hash, self.bits[k]).astype(np.int64)
-            at += at
-            at += bit
-            table += np.bincount(at, times, minlength=len(table)).astype(np.int64)
+        every = code.lengths.take(codes)
+        for some in _some(np.cumsum(every, dtype=np.int64)):
+            lengths = every[some]
+            chosen = _decided(code, code.offsets.take(codes[some]), lengths)
+            node_hash, bit = _node_hash(chosen), chosen & 1
+            times = 1 if weights is None else np.repeat(weights[some], lengths)
+            for k, context in hashes.items():
+                at = slots(context[some], lengths, node_hash, self.bits[k]).astype(np.int64)
+                at += at
+                at += bit
+                np.add.at(self.tables[k], at, times)
 
     def blocks(self, held: bool) -> pa.RecordBatch:
         names, data = [], []
@@ -289,61 +431,83 @@ class Inputs:
 
 
 def inputs(model: Model, codes: np.ndarray, hashes: list[np.ndarray]) -> Inputs:
-    chosen, lengths = decisions(model.code, codes)
+    return _inputs(model, model.code.offsets.take(codes), model.code.lengths.take(codes), hashes)
+
+
+def _inputs(model: Model, offsets: np.ndarray, lengths: np.ndarray, hashes: list[np.ndarray]) -> Inputs:
+    """Of symbols by where their decisions begin, and how many they are."""
+    chosen = _decided(model.code, offsets, lengths)
     node_hash = _node_hash(chosen)
-    odds, gate = [], np.zeros(len(chosen), dtype=np.int32)
+    odds, gate = [], np.zeros(len(chosen), dtype=np.int16)
     for context, bits, table in zip(hashes, model.bits, model.tables, strict=True):
-        found = table[slots(context, lengths, node_hash, bits)]
+        found = table.take(slots(context, lengths, node_hash, bits))
         gate <<= 2
         gate |= found & 3
-        odds.append((found >> 2).astype(np.float32) * np.float32(1 / UNIT))
-    return Inputs(odds, gate, (chosen >> 1) & 255, (chosen & 1).astype(np.float32), lengths)
+        found >>= 2
+        own = found.astype(np.float32)
+        own *= np.float32(1 / UNIT)
+        odds.append(own)
+    bit = (chosen & 1).astype(np.float32)
+    chosen >>= 1
+    chosen &= 255
+    return Inputs(odds, gate.astype(np.int64), chosen, bit, lengths)
 
 
 def mixed(weights: list[np.ndarray], at: np.ndarray, odds: list[np.ndarray]) -> np.ndarray:
-    total = weights[-1][at]
+    total = weights[-1].take(at)
     for w, o in zip(weights, odds, strict=False):
-        total += w[at] * o
+        found = w.take(at)
+        found *= o
+        total += found
     return np.clip(total, -12, 12, out=total)
 
 
 def _cells(node: np.ndarray, total: np.ndarray) -> np.ndarray:
-    step = np.rint(total * np.float32((STEPS - 1) / (2 * ODDS)))
+    step = total * np.float32((STEPS - 1) / (2 * ODDS))
+    np.rint(step, out=step)
     np.clip(step, -(STEPS // 2), STEPS // 2, out=step)
     cells = step.astype(np.int32)
     cells += node * np.int32(STEPS)
     cells += STEPS // 2
-    return cells
+    return cells.astype(np.int64)
+
 
+def _chances(total: np.ndarray) -> np.ndarray:
+    out = np.negative(total)
+    np.exp(out, out=out)
+    out += np.float32(1)
+    return np.divide(np.float32(1), out, out=out)
 
-def stretches(code: Code, texts: list[bytes]) -> Iterator[Symbols]:
+
+def stretches(code: Code, texts: list[Pieces]) -> Iterator[Symbols]:
     """The symbols of all texts in their order, some STRETCH bytes at a time."""
-    lists: list[list[bytes]] = []
+    short: list[Pieces] = []
     size = 0
 
-    def together() -> Symbols:
-        counts = np.array([len(found) for found in lists])
-        return symbols(code, [p for found in lists for p in found], np.cumsum(counts) - counts)
+    def joined() -> Symbols:
+        every, counts = together(short)
+        return symbols_of(code, every, np.cumsum(counts) - counts)
 
     for text in texts:
-        if len(text) <= STRETCH:
-            lists.append(pieces_of(text))
-            size += len(text)
+        # The end is no byte of the text.
+        if len(text.data) <= STRETCH + 1:
+            short.append(text)
+            size += len(text.data) - 1
             if size > STRETCH:
-                yield together()
-                lists, size = [], 0
+                yield joined()
+                short, size = [], 0
             continue
-        before, stretch, room, lower = (0, 0), [], 0, text.lower() + b"\xff"
-        for found in PIECE.finditer(lower):
-            stretch.append(found.group())
-            room += len(stretch[-1])
-            if room >= STRETCH or found.end() == len(lower):
-                known = symbols(code, stretch, before=before)
-                before = known.last
-                yield known
-                stretch, room = [], 0
-    if lists:
-        yield together()
+        before = BEGIN
+        for stretch, _ in text.stretches():
+            known = symbols_of(code, stretch, before=before)
+            before = known.last
+            yield known
+    if short:
+        yield joined()
+
+
+#: How far a cell moves towards the mean of so many decisions.
+_MOVED = 1 - (1 - REFINE_RATE) ** np.arange(FIT_BLOCK + 1)
 
 
 class Learner:
@@ -354,19 +518,31 @@ class Learner:
         self.weights[-1] = 0
         self.gates, self.cells = np.zeros(self.weights.shape[1], dtype=np.int64), np.zeros(len(self.refined), dtype=np.int64)
 
-    def learn(self, model: Model, texts: list[bytes]) -> None:
+    def learn(self, model: Model, texts: list[Pieces]) -> None:
         """From texts, with the tables of `model`."""
-        for known in stretches(model.code, texts):
-            got = inputs(model, known.codes, known.hashes)
-            for begin in range(0, len(got.bit), FIT_BLOCK):
-                part = slice(begin, begin + FIT_BLOCK)
-                self._block(got.gate[part], [o[part] for o in got.odds], got.node[part], got.bit[part])
+        code = model.code
+        for known in stretches(code, texts):
+            offsets, lengths = code.offsets.take(known.codes), code.lengths.take(known.codes)
+            ends = np.cumsum(lengths, dtype=np.int64)
+            for first in range(0, int(ends[-1]), TOGETHER // FIT_BLOCK * FIT_BLOCK):
+                end = min(first + TOGETHER // FIT_BLOCK * FIT_BLOCK, int(ends[-1]))
+                # The symbols to which these decisions belong; of the first and the last maybe only some.
+                some = slice(int(np.searchsorted(ends, first, "right")), int(np.searchsorted(ends, end)) + 1)
+                own, sizes = offsets[some].copy(), lengths[some].copy()
+                done = first - int(ends[some.start] - sizes[0])
+                own[0] += done
+                sizes[0] -= done
+                sizes[-1] -= int(ends[some.stop - 1]) - end
+                got = _inputs(model, own, sizes, [h[some] for h in known.hashes])
+                for begin in range(0, end - first, FIT_BLOCK):
+                    part = slice(begin, begin + FIT_BLOCK)
+                    self._block(got.gate[part], [o[part] for o in got.odds], got.node[part], got.bit[part])
 
     def _block(self, gate: np.ndarray, odds: list[np.ndarray], node: np.ndarray, bit: np.ndarray) -> None:
         rate = np.float32(FIT_RATE / (1 + self.steps / 500) + RATE)
         self.steps += 1
         total = mixed(list(self.weights), gate, odds)
-        error = bit - 1 / (1 + np.exp(-total))
+        error = bit - _chances(total)
         for w, o in zip(self.weights, [*odds, None], strict=True):
             w += rate * np.bincount(gate, error if o is None else error * o, minlength=len(w)).astype(np.float32)
         self.gates += np.bincount(gate, minlength=len(self.gates))
@@ -374,9 +550,10 @@ class Learner:
         met = np.bincount(cells, minlength=len(self.cells))
         self.cells += met
         at = np.flatnonzero(met)
+        met = met[at]
         # As if the decisions of a cell had moved it one after the other towards their mean.
-        share = np.bincount(cells, bit, minlength=len(met))[at] / met[at]
-        self.refined[at] += ((1 - (1 - REFINE_RATE) ** met[at]) * (share - self.refined[at])).astype(np.float32)
+        share = np.bincount(cells, bit)[at] / met
+        self.refined[at] += (_MOVED[met] * (share - self.refined[at])).astype(np.float32)
 
     def sums(self) -> pa.RecordBatch:
         """(at, total, n) of the weights and, after them, the refinement, as far as they were met; whole numbers, which add up to the same in any order."""
@@ -400,7 +577,7 @@ def with_averages(model: Model, at: np.ndarray, total: np.ndarray, n: np.ndarray
 def fit(model: Model, texts: list[bytes]) -> Model:
     """Weights and refinement from some texts, one after the other."""
     learner = Learner(model)
-    learner.learn(model, texts)
+    learner.learn(model, apart(*cut_texts(model.code, texts)))
     found = learner.sums()
     return with_averages(model, *(np.array(found.column(k)) for k in range(3)))
 
@@ -411,86 +588,92 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model, self.gates = model, model.weights.shape[1]
 
-    def score(self, texts: list[bytes], lists: list[list[bytes] | None] | None = None) -> list[float]:
-        """Natural logarithms of the texts' probabilities; `lists` may have the pieces of short ones."""
+    def score(self, texts: list[bytes]) -> list[float]:
+        """Natural logarithms of the texts' probabilities."""
+        return self.scores(apart(*cut_texts(self.model.code, texts)))
+
+    def scores(self, texts: list[Pieces]) -> list[float]:
         out, batch, size = [0.0] * len(texts), [], 0
-        lists = lists or [None] * len(texts)
         for k, text in enumerate(texts):
-            if len(text) > STRETCH:
+            if len(text.data) > STRETCH + 1:
                 out[k] = self._long(text)
                 continue
             batch.append(k)
-            size += len(text)
-            if size > STRETCH:
-                self._short(texts, lists, batch, out)
+            size += len(text.data)
+            if size > 8 * STRETCH:
+                self._short(texts, batch, out)
                 batch, size = [], 0
         if batch:
-            self._short(texts, lists, batch, out)
+            self._short(texts, batch, out)
         return out
 
-    def _short(self, texts: list[bytes], given: list[list[bytes] | None], batch: list[int], out: list[float]) -> None:
-        lists = [given[k] or pieces_of(texts[k]) for k in batch]
-        counts = np.array([len(found) for found in lists])
-        known = symbols(self.model.code, [p for found in lists for p in found], np.cumsum(counts) - counts)
+    def _short(self, texts: list[Pieces], batch: list[int], out: list[float]) -> None:
+        every, counts = together([texts[k] for k in batch])
+        known = symbols_of(self.model.code, every, np.cumsum(counts) - counts)
         sizes = np.add.reduceat(known.sizes, np.cumsum(counts) - counts)
-        weights = np.repeat(self.model.weights[:, None, :], len(batch), axis=1)
-        for k, value in zip(batch, self._blocks(known, sizes, weights), strict=True):
+        # Texts of one block move no weights, and share the last row; the longer a text, the earlier its row.
+        several = int((sizes > BLOCK).sum())
+        rows = np.empty(len(sizes), dtype=np.int64)
+        rows[np.argsort(-sizes, kind="stable")] = np.minimum(np.arange(len(sizes)), several)
+        weights = np.repeat(self.model.weights[:, None, :], several + 1, axis=1)
+        for k, value in zip(batch, self._blocks(known, sizes, rows, weights), strict=True):
             out[k] = float(value)
 
-    def _long(self, text: bytes) -> float:
+    def _long(self, text: Pieces) -> float:
         """A stretch of pieces at a time; the weights go on."""
-        total, before = 0.0, (0, 0)
+        total, before = 0.0, BEGIN
         weights = self.model.weights[:, None, :].copy()
-        stretch: list[bytes] = []
-        size, data = 0, text.lower() + b"\xff"
-        for found in PIECE.finditer(data):
-            stretch.append(found.group())
-            size += len(stretch[-1])
-            if size >= STRETCH or found.end() == len(data):
-                known = symbols(self.model.code, stretch, before=before)
-                before = known.last
-                total += float(self._blocks(known, np.array([len(known.codes)]), weights, more=found.end() < len(data))[0])
-                stretch, size = [], 0
+        for stretch, last in text.stretches():
+            known = symbols_of(self.model.code, stretch, before=before)
+            before = known.last
+            total += float(self._blocks(known, np.array([len(known.codes)]), np.zeros(1, dtype=np.int64), weights, more=not last)[0])
         return total
 
-    def _blocks(self, known: Symbols, sizes: np.ndarray, weights: np.ndarray, more: bool = False) -> np.ndarray:
-        """Log probabilities of texts of so many symbols, block by block; `weights` (input, text, gate) move."""
-        starts = np.cumsum(sizes) - sizes
+    def _blocks(self, known: Symbols, sizes: np.ndarray, rows: np.ndarray, weights: np.ndarray, more: bool = False) -> np.ndarray:
+        """Log probabilities of texts of so many symbols, block by block; a text's row of `weights` (input, row, gate) moves."""
+        code = self.model.code
+        offsets, lengths = code.offsets.take(known.codes), code.lengths.take(known.codes)
+        running = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         result = np.zeros(len(sizes))
-        codes, hashes = known.codes, known.hashes
-        begin, owner, count = np.zeros(len(sizes), dtype=np.int64), np.arange(len(sizes)), sizes
-        if sizes.max() > BLOCK:
-            # The first blocks of all texts, then the second ones, and so on.
-            begin = np.concatenate([np.arange(0, s, BLOCK) for s in sizes])
-            owner = np.repeat(owner, -(-sizes // BLOCK))
-            count = np.minimum(BLOCK, sizes[owner] - begin)
-            order = np.argsort(begin, kind="stable")
-            begin, owner, count = begin[order], owner[order], count[order]
-            at = np.repeat(starts[owner] + begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            codes, hashes = codes[at], [h[at] for h in hashes]
-        got = inputs(self.model, codes, hashes)
-        ends = np.cumsum(got.lengths)[np.cumsum(count) - 1]
-        first = np.concatenate([[0], ends[:-1]])
+        # The first blocks of all texts, then the second ones, and so on; of each of them, first those that are not their text's last.
+        n_blocks = -(-sizes // BLOCK)
+        owner = np.repeat(np.arange(len(sizes)), n_blocks)
+        begin = (np.arange(len(owner)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)) * BLOCK
+        goes_on = (begin + BLOCK < sizes[owner]) | more
+        order = np.argsort(2 * begin + ~goes_on, kind="stable")
+        owner, begin, goes_on = owner[order], begin[order], goes_on[order]
+        count = np.minimum(BLOCK, sizes[owner] - begin)
+        first = (np.cumsum(sizes) - sizes)[owner] + begin
+        n_decisions = running[first + count] - running[first]
+        done = np.concatenate([[0], np.cumsum(n_decisions)])
         flat = [w.reshape(-1) for w in weights]
-        rounds = np.flatnonzero(np.diff(begin, prepend=-1))
-        for a, b in zip(rounds, np.append(rounds[1:], len(begin)), strict=True):
-            part, own = slice(first[a], ends[b - 1]), owner[a:b]
-            at = got.gate[part] + np.repeat((own * self.gates).astype(np.int32), ends[a:b] - first[a:b])
-            odds = [o[part] for o in got.odds]
-            total = mixed(flat, at, odds)
-            chance = 1 / (1 + np.exp(-total))
-            bit = got.bit[part]
-            right = self.model.refined[_cells(got.node[part], total)]
+        a = 0
+        while a < len(owner):
+            b = min(int(np.searchsorted(begin, begin[a], "right")), max(a + 1, int(np.searchsorted(done, done[a] + TOGETHER, "right")) - 1))
+            own, some = owner[a:b], count[a:b]
+            at = np.repeat(first[a:b] - (np.cumsum(some) - some), some)
+            at += np.arange(len(at))
+            got = _inputs(self.model, offsets.take(at), lengths.take(at), [h.take(at) for h in known.hashes])
+            at = got.gate
+            at += np.repeat(rows[own] * self.gates, n_decisions[a:b])
+            total = mixed(flat, at, got.odds)
+            chance = _chances(total)
+            right = self.model.refined.take(_cells(got.node, total))
             right += chance
             right *= np.float32(0.5)
             # What the model gave to that which came.
-            right = np.abs(right + (bit - np.float32(1)))
+            right += got.bit - np.float32(1)
+            np.abs(right, out=right)
             np.clip(right, 1 / 8192, 1 - 1 / 8192, out=right)
-            result[own] += np.add.reduceat(np.log(right), first[a:b] - first[a], dtype=np.float64)
-            if more or b < len(begin):
-                error = (bit - chance) * np.float32(RATE)
-                for w, o in zip(flat, [*odds, None], strict=True):
-                    w += np.bincount(at, error if o is None else error * o, minlength=len(w)).astype(np.float32)
+            np.log(right, out=right)
+            result[own] += np.add.reduceat(right, done[a:b] - done[a], dtype=np.float64)
+            if moving := int(goes_on[a:b].sum()):
+                part = slice(0, int(done[a + moving] - done[a]))
+                at, error = at[part], (got.bit[part] - chance[part]) * np.float32(RATE)
+                for w, o in zip(flat, [*got.odds, None], strict=True):
+                    found = np.bincount(at, error if o is None else error * o[part])
+                    w[: len(found)] += found.astype(np.float32)
+            a = b
         return result
 
 
@@ -509,29 +692,38 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         fixes: Counter = Counter()
 
         def counted() -> pa.RecordBatch:
-            rows = [(p, False, n * (not held), n * held) for held, c in counts.items() for p, n in c.items()]
-            rows += [(w, True, n, 0) for w, n in fixes.items() if n]
-            names = ("piece", "fix", "n", "n_held")
-            types = (pa.binary(), pa.bool_(), pa.int64(), pa.int64())
-            columns = zip(*rows, strict=True) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
-
-        for batch in batches:
-            for held, text in zip(batch["held"].to_pylist(), batch["text"], strict=True):
-                data = text.as_py()
-                own = Counter(pieces_of(data))
-                counts[held].update(own)
-                if any(len(p) == PIECE_WORD and p[-1] not in SPACE for p in own):
-                    fixes.update(Counter(data.lower().split()))
-                    fixes.subtract(_words(own))
-                if len(counts[False]) + len(counts[True]) + len(fixes) > HELD:
-                    yield counted()
-                    counts, fixes = {True: Counter(), False: Counter()}, Counter()
-        yield counted()
+            data, sizes, held = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            found = _array(data, np.concatenate([[0], np.cumsum(sizes)])).dictionary_encode()
+            at, pieces = found.indices.to_numpy(), found.dictionary.cast(pa.binary())
+            n, n_held = np.bincount(at), np.bincount(at[held], minlength=len(pieces))
+            words = [(w, k) for w, k in fixes.items() if k]
+            columns = [
+                pa.concat_arrays([pieces, pa.array([w for w, _ in words], pa.binary())]),
+                pa.array(np.arange(len(pieces) + len(words)) >= len(pieces)),
+                pa.array(np.concatenate([n - n_held, np.array([k for _, k in words], dtype=np.int64)])),
+                pa.array(np.concatenate([n_held, np.zeros(len(words), dtype=np.int64)])),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["piece", "fix", "n", "n_held"])
+
+        for batch in portions(batches):
+            texts = batch["text"].to_pylist()
+            data, starts, own = cut(texts)
+            sizes = np.diff(starts)
+            waiting.append((data, sizes, np.repeat(np.array(batch["held"].to_pylist()), own)))
+            long = np.flatnonzero(sizes == PIECE_WORD)
+            long = long[~np.isin(data[starts[long + 1] - 1], np.frombuffer(SPACE, dtype=np.uint8))]
+            for k in np.unique(np.searchsorted(np.cumsum(own), long, "right")).tolist():
+                fixes.update(Counter(texts[k].lower().split()))
+                fixes.subtract(_words(Counter(pieces_of(texts[k]))))
+            if sum(len(x) for _, x, _ in waiting) + len(fixes) > HELD:
+                yield counted()
+                waiting, fixes = [], Counter()
+        if waiting:
+            yield counted()
 
     found = _texts(docs, _half().alias("held")).mapInArrow(run, "piece binary, fix boolean, n bigint, n_held bigint")
     return found.groupBy("piece", "fix").agg(F.sum("n").alias("n"), F.sum("n_held").alias("n_held"))
@@ -571,7 +763,7 @@ def make_code(pieces: DataFrame) -> Code:
             rest = [(p, n) for p, n in zip(batch["piece"].to_pylist(), batch["n"].to_pylist(), strict=True) if p not in known.value]
             if rest:
                 spelled += sum(n for _, n in rest)
-                codes, _ = _spelled([p for p, _ in rest])
+                codes, _ = _spelling([p for p, _ in rest]).coded()
                 times = np.repeat([n for _, n in rest], [len(p) for p, _ in rest])
                 pairs += np.bincount(codes, times, minlength=65536).astype(np.int64)
         at = np.flatnonzero(pairs)
@@ -608,7 +800,7 @@ def _piece_blocks(pieces: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
                 counts.add(known, codes, {0: np.full(len(codes), NOTHING)}, np.array([n for _, n in rows]))
                 rest = [(p, n) for p, n in rows if p not in known.numbers]
                 if rest:
-                    codes, hashes = _spelled([p for p, _ in rest])
+                    codes, hashes = _spelling([p for p, _ in rest]).coded()
                     counts.add(known, codes, dict(enumerate(hashes)), np.repeat([n for _, n in rest], [len(p) for p, _ in rest]))
         for held, counts in tables.items():
             yield counts.blocks(held)
@@ -620,57 +812,19 @@ def _text_blocks(docs: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
     """Partial tables of the pieces after the one and the two before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {False: Counts(bits, (1, 2)), True: None}
-        waiting: dict[bool, list] = {False: [], True: []}
-        size = {False: 0, True: 0}
-
-        def count(held: bool) -> None:
-            if tables[held] is None:
-                tables[held] = Counts(bits, (1, 2))
-            codes = np.concatenate([c for c, _ in waiting[held]])
-            hashes = [np.concatenate([h[k] for _, h in waiting[held]]) for k in (0, 1)]
-            tables[held].add(code.value, codes, dict(enumerate(hashes, 1)))
-            waiting[held], size[held] = [], 0
-
-        def offer(held: bool, pieces: list[bytes], starts: np.ndarray | None = None, before: tuple[int, int] = (0, 0)) -> tuple[int, int]:
-            known = symbols(code.value, pieces, starts, before, spell=False)
-            waiting[held].append((known.codes, known.hashes[1:]))
-            size[held] += len(pieces)
-            if size[held] >= COUNTED:
-                count(held)
-            return known.last
-
-        short: dict[bool, list[list[bytes]]] = {False: [], True: []}
-
-        def together(held: bool) -> None:
-            """Several texts at once."""
-            counts = np.array([len(p) for p in short[held]])
-            offer(held, [p for found in short[held] for p in found], np.cumsum(counts) - counts)
-            short[held] = []
-
-        for batch in batches:
-            for held, text in zip(batch["held"].to_pylist(), batch["text"], strict=True):
-                data = text.as_py()
-                if len(data) <= STRETCH:
-                    short[held].append(pieces_of(data))
-                    if len(short[held]) >= 32:
-                        together(held)
+        known, tables = code.value, {False: Counts(bits, (1, 2))}
+        for batch in portions(batches):
+            for held in (False, True):
+                texts = batch.filter(pc.equal(batch["held"], held))["text"].to_pylist()
+                if not texts:
                     continue
-                before, stretch, room, lower = (0, 0), [], 0, data.lower() + b"\xff"
-                for found in PIECE.finditer(lower):
-                    stretch.append(found.group())
-                    room += len(stretch[-1])
-                    if room >= STRETCH or found.end() == len(lower):
-                        before = offer(held, stretch, None, before)
-                        stretch, room = [], 0
-        for held in (False, True):
-            if short[held]:
-                together(held)
-        for held in (False, True):
-            if waiting[held]:
-                count(held)
-            if tables[held] is not None:
-                yield tables[held].blocks(held)
+                if held not in tables:
+                    tables[held] = Counts(bits, (1, 2))
+                every, counts = cut_texts(known, texts)
+                found = symbols_of(known, every, np.cumsum(counts) - counts, spell=False)
+                tables[held].add(known, found.codes, {1: found.hashes[1], 2: found.hashes[2]})
+        for held, counts in tables.items():
+            yield counts.blocks(held)
 
     return _texts(docs, _half().alias("held")).mapInArrow(run, BLOCKS)
 
@@ -742,23 +896,24 @@ def averages(docs: DataFrame, first: Model, second: Model, shards: int) -> DataF
         first, second = shared.value
         other = {False: second, True: first}
         shard, learner = None, Learner(first)
-        waiting: dict[bool, list[bytes]] = {False: [], True: []}
+        waiting: dict[bool, list[Pieces]] = {False: [], True: []}
 
         def learn(held: bool) -> None:
             learner.learn(other[held], waiting[held])
             waiting[held] = []
 
         size = {False: 0, True: 0}
-        for batch in batches:
-            for own, held, text in zip(batch["shard"].to_pylist(), batch["held"].to_pylist(), batch["text"], strict=True):
+        for batch in portions(batches):
+            texts = apart(*cut_texts(first.code, batch["text"].to_pylist()))
+            for own, held, text in zip(batch["shard"].to_pylist(), batch["held"].to_pylist(), texts, strict=True):
                 if own != shard:
                     if shard is not None:
                         learn(False)
                         learn(True)
                         yield learner.sums()
                     shard, learner, size = own, Learner(first), {False: 0, True: 0}
-                waiting[held].append(text.as_py())
-                size[held] += len(waiting[held][-1])
+                waiting[held].append(text)
+                size[held] += len(text.data) - 1
                 if size[held] > STRETCH:
                     learn(held)
                     size[held] = 0
@@ -812,29 +967,20 @@ class Base:
         self.log = np.array([f or 0.0 for f in found] + [0.0])
         self.open = np.array([f is None for f in found] + [True])
 
-    def tokens(self, texts: list[bytes], lists: list[list[bytes] | None]) -> list[tuple[int, int, float, Counter]]:
+    def tokens(self, texts: list[bytes], every: Pieces, counts: np.ndarray) -> list[tuple[int, int, float, Counter]]:
         """Of each text (tokens, known ones, sum of their logs, the words that are not known here). Frequent pieces are looked up all at
         once; a text with a word in several pieces is read word by word.
         """
-        whole = [p is not None and PIECE_WORD not in map(len, p) for p in lists]
-        joined = [p for found, plain in zip(lists, whole, strict=True) if plain for p in found]
-        numbers = np.fromiter(map(self.numbers.get, joined, repeat(-1)), dtype=np.int64, count=len(joined))
-        known, log = self.counts[numbers].cumsum(), self.log[numbers].cumsum()
-        left = np.flatnonzero(self.open[numbers])
-        words = [joined[k].rstrip(SPACE + b"\xff") for k in left.tolist()]
-        out, end, at = [], 0, 0
-        for text, found, plain in zip(texts, lists, whole, strict=True):
-            n = total = 0
-            if plain:
-                begin, end = end, end + len(found)
-                n = int(known[end - 1] - (known[begin - 1] if begin else 0))
-                total = float(log[end - 1] - (log[begin - 1] if begin else 0.0))
-                first, at = at, at + int(np.searchsorted(left[at:], end))
-                own = words[first:at]
-            else:
-                own = text.lower().split()
-            out.append(self._with(n, total, own))
-        return out
+        numbers, starts, ends = every.numbers, every.starts, np.cumsum(counts)
+        plain = np.ones(len(texts), dtype=bool)
+        plain[np.searchsorted(ends, np.flatnonzero(np.diff(starts) == PIECE_WORD), "right")] = False
+        known, log = (np.concatenate([[0], x.take(numbers, mode="wrap").cumsum()]) for x in (self.counts, self.log))
+        left = np.flatnonzero(self.open.take(numbers, mode="wrap"))
+        data = every.data.tobytes()
+        words = [data[a:b].rstrip(SPACE + b"\xff") for a, b in zip(starts[left].tolist(), starts[left + 1].tolist(), strict=True)]
+        until = np.searchsorted(left, ends)
+        at = zip(texts, plain.tolist(), np.diff(known[ends], prepend=0).tolist(), np.diff(log[ends], prepend=0).tolist(), [0, *until[:-1].tolist()], until.tolist(), strict=True)
+        return [self._with(n, total, words[a:b]) if whole else self._with(0, 0, text.lower().split()) for text, whole, n, total, a, b in at]
 
     def _with(self, known: int, total: float, words: list[bytes]) -> tuple[int, int, float, Counter]:
         logs = [self.logs.get(w) for w in [*words, END_TOKEN] if w]
@@ -860,16 +1006,14 @@ def score(docs: DataFrame, learned: Learned, keep: tuple[str, ...] = ("doc_id",)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = shared.value
         scorer, base = Scorer(model), Base(model.code, logs)
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 200):
-                batch = whole.slice(begin, 200)
-                texts = [t.as_py() for t in batch["text"]]
-                lists = [pieces_of(t) if len(t) <= STRETCH else None for t in texts]
-                n_tokens, known, plain, rest = zip(*base.tokens(texts, lists), strict=True)
-                columns = [batch[c] for c in keep]
-                columns += [pa.array([len(t) for t in texts], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.array(scorer.score(texts, lists), pa.float64())]
-                columns.append(pa.array([[] if complete else [{"token": w, "k": k} for w, k in r.items()] for r in rest], pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))))
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_bytes", "n_tokens", "known", "plain", "natural", "rest"])
+        for batch in portions(batches):
+            texts = batch["text"].to_pylist()
+            every, counts = cut_texts(model.code, texts)
+            n_tokens, known, plain, rest = zip(*base.tokens(texts, every, counts), strict=True)
+            columns = [batch[c] for c in keep]
+            columns += [pa.array([len(t) for t in texts], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.array(scorer.scores(apart(every, counts)), pa.float64())]
+            columns.append(pa.array([[] if complete else [{"token": w, "k": k} for w, k in r.items()] for r in rest], pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_bytes", "n_tokens", "known", "plain", "natural", "rest"])
 
     scored = _texts(docs, *keep).mapInArrow(run, schema)
     if not complete:
