@@ -57,8 +57,8 @@ MAX_BITS = (20, 21, 18)
 BLOCK_BITS, SALTS = 12, 16
 #: Bytes of the texts that one mixer learns from in turn, before mixers are averaged; averages are of multiples of 1 / FINE.
 SHARD, FINE = 1 << 23, 1 << 20
-#: Frequent words that all tasks know; pieces a task holds before it counts them; bytes of a text scored at a time.
-MAX_KNOWN, HELD, STRETCH = 1 << 18, 1 << 22, 1 << 16
+#: Frequent words that all tasks know; pieces, and pieces in their context, that a task holds before it counts them; bytes of a text scored at a time.
+MAX_KNOWN, HELD, COUNTED, STRETCH = 1 << 18, 1 << 22, 1 << 20, 1 << 16
 #: Bytes of texts that are cut into pieces together, and decisions that are worked on together, so that their arrays stay in the cache.
 PORTION, TOGETHER = 1 << 20, 1 << 15
 #: Bytes after which a text's weights move, and by how much; the same while fitting, in decisions.
@@ -145,9 +145,18 @@ def _array(data: np.ndarray, starts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
 
 
-def numbers_of(code: Code, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, where each begins, and the end of the last)."""
+    column = column.cast(pa.large_binary())
+    _, starts, data = column.buffers()
+    starts = np.frombuffer(starts, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)
+    return data[starts[0] : starts[-1]], starts - starts[0]
+
+
+def numbers_of(known: pa.Array, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The number of each piece, -1 if it has none."""
-    return pc.index_in(_array(data, starts), value_set=code.known).fill_null(-1).to_numpy().astype(np.int64)
+    return pc.index_in(_array(data, starts), value_set=known).fill_null(-1).to_numpy().astype(np.int64)
 
 
 @dataclass
@@ -182,7 +191,7 @@ def together(texts: list[Pieces]) -> tuple[Pieces, np.ndarray]:
 def cut_texts(code: Code, texts: list[bytes]) -> tuple[Pieces, np.ndarray]:
     """(pieces of all texts, how many each text has)."""
     data, starts, counts = cut(texts)
-    return Pieces(data, starts, numbers_of(code, data, starts)), counts
+    return Pieces(data, starts, numbers_of(code.known, data, starts)), counts
 
 
 def apart(every: Pieces, counts: np.ndarray) -> list[Pieces]:
@@ -272,15 +281,18 @@ class Spelling:
         return codes, [word, five ^ five >> np.uint32(15), three ^ three >> np.uint32(15)]
 
 
-def _spelling(pieces: list[bytes]) -> Spelling:
-    return Spelling(np.frombuffer(b"".join(pieces), dtype=np.uint8), np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+def spelling_of(data: np.ndarray, starts: np.ndarray, some: np.ndarray) -> Spelling:
+    """Of the pieces at these places."""
+    lengths = starts[some + 1] - starts[some]
+    stops = np.cumsum(lengths)
+    return Spelling(data.take(np.repeat(starts[some] - stops + lengths, lengths) + np.arange(lengths.sum())), lengths)
 
 
 def symbols(code: Code, pieces: list[bytes], spell: bool = True) -> Symbols:
     """All symbols of a text's pieces."""
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
-    return symbols_of(code, Pieces(data, starts, numbers_of(code, data, starts)), spell=spell)
+    return symbols_of(code, Pieces(data, starts, numbers_of(code.known, data, starts)), spell=spell)
 
 
 def symbols_of(code: Code, pieces: Pieces, begins: np.ndarray | None = None, before: tuple[np.uint32, np.uint32] = BEGIN, spell: bool = True) -> Symbols:
@@ -291,11 +303,9 @@ def symbols_of(code: Code, pieces: Pieces, begins: np.ndarray | None = None, bef
     unknown = np.flatnonzero(numbers < 0)
     after = [x.take(numbers, mode="wrap") for x in code.after]
     if len(unknown):
-        starts, ends = pieces.starts[unknown], pieces.starts[unknown + 1]
-        lengths = ends - starts
-        stops = np.cumsum(lengths)
-        spelling = Spelling(pieces.data.take(np.repeat(starts - stops + lengths, lengths) + np.arange(stops[-1])), lengths)
-        for x, found in zip(after, _after(spelling.hashes(), _endings(pieces.data, ends, lengths)), strict=True):
+        spelling = spelling_of(pieces.data, pieces.starts, unknown)
+        lengths = spelling.lengths
+        for x, found in zip(after, _after(spelling.hashes(), _endings(spelling.data, spelling.ends, lengths)), strict=True):
             x[unknown] = found
     contexts = [np.full(n, NOTHING)]
     for x, b, outset in zip(after, before, BEGIN, strict=True):
@@ -349,10 +359,14 @@ def _node_hash(chosen: np.ndarray) -> np.ndarray:
 def slots(hashes: np.ndarray, lengths: np.ndarray, node_hash: np.ndarray, bits: int) -> np.ndarray:
     at = np.repeat(hashes, lengths)
     at ^= node_hash
+    return _slots(at, bits)
+
+
+def _slots(at: np.ndarray, bits: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         at *= _FACTOR
     at >>= np.uint32(32 - bits)
-    return at
+    return at.astype(np.int64)
 
 
 def slot_bits(n_bytes: int) -> tuple[int, ...]:
@@ -385,7 +399,7 @@ class Counts:
             node_hash, bit = _node_hash(chosen), chosen & 1
             times = 1 if weights is None else np.repeat(weights[some], lengths)
             for k, context in hashes.items():
-                at = slots(context[some], lengths, node_hash, self.bits[k]).astype(np.int64)
+                at = slots(context[some], lengths, node_hash, self.bits[k])
                 at += at
                 at += bit
                 np.add.at(self.tables[k], at, times)
@@ -436,11 +450,18 @@ def inputs(model: Model, codes: np.ndarray, hashes: list[np.ndarray]) -> Inputs:
 
 def _inputs(model: Model, offsets: np.ndarray, lengths: np.ndarray, hashes: list[np.ndarray]) -> Inputs:
     """Of symbols by where their decisions begin, and how many they are."""
-    chosen = _decided(model.code, offsets, lengths)
+    packed = np.empty((len(lengths), 1 + len(hashes)), dtype=np.uint32)
+    with np.errstate(over="ignore"):
+        packed[:, 0] = offsets - (np.cumsum(lengths, dtype=np.int64) - lengths)
+        for k, context in enumerate(hashes, 1):
+            packed[:, k] = context
+        # One row for each decision, from one pass.
+        packed = np.repeat(packed, lengths, axis=0)
+        chosen = model.code.flat.take(packed[:, 0] + np.arange(len(packed), dtype=np.uint32))
     node_hash = _node_hash(chosen)
     odds, gate = [], np.zeros(len(chosen), dtype=np.int16)
-    for context, bits, table in zip(hashes, model.bits, model.tables, strict=True):
-        found = table.take(slots(context, lengths, node_hash, bits))
+    for context, bits, table in zip(packed.T[1:], model.bits, model.tables, strict=True):
+        found = table.take(_slots(context ^ node_hash, bits), mode="wrap")
         gate <<= 2
         gate |= found & 3
         found >>= 2
@@ -534,6 +555,7 @@ class Learner:
                 sizes[0] -= done
                 sizes[-1] -= int(ends[some.stop - 1]) - end
                 got = _inputs(model, own, sizes, [h[some] for h in known.hashes])
+                self.gates += np.bincount(got.gate, minlength=len(self.gates))
                 for begin in range(0, end - first, FIT_BLOCK):
                     part = slice(begin, begin + FIT_BLOCK)
                     self._block(got.gate[part], [o[part] for o in got.odds], got.node[part], got.bit[part])
@@ -543,17 +565,18 @@ class Learner:
         self.steps += 1
         total = mixed(list(self.weights), gate, odds)
         error = bit - _chances(total)
-        for w, o in zip(self.weights, [*odds, None], strict=True):
-            w += rate * np.bincount(gate, error if o is None else error * o, minlength=len(w)).astype(np.float32)
-        self.gates += np.bincount(gate, minlength=len(self.gates))
+        moves = [np.bincount(gate, error if o is None else error * o, minlength=len(self.gates)) for o in (*odds, None)]
+        self.weights += rate * np.array(moves, dtype=np.float32)
         cells = _cells(node, total)
-        met = np.bincount(cells, minlength=len(self.cells))
-        self.cells += met
-        at = np.flatnonzero(met)
-        met = met[at]
+        cells += (bit != 0) * len(self.cells)
+        zeros, ones = np.bincount(cells, minlength=2 * len(self.cells)).reshape(2, -1)
+        met = zeros + ones
+        at = np.flatnonzero(met != 0)
+        met, old = met.take(at), self.refined.take(at)
+        self.cells[at] += met
         # As if the decisions of a cell had moved it one after the other towards their mean.
-        share = np.bincount(cells, bit)[at] / met
-        self.refined[at] += (_MOVED[met] * (share - self.refined[at])).astype(np.float32)
+        old += (_MOVED.take(met) * (ones.take(at) / met - old)).astype(np.float32)
+        self.refined[at] = old
 
     def sums(self) -> pa.RecordBatch:
         """(at, total, n) of the weights and, after them, the refinement, as far as they were met; whole numbers, which add up to the same in any order."""
@@ -755,17 +778,18 @@ def make_code(pieces: DataFrame) -> Code:
     counted = pieces.where(~F.col("fix")).select("piece", (F.col("n") + F.col("n_held")).alias("n"))
     top = [(bytes(r["piece"]), r["n"]) for r in counted.orderBy(F.desc("n"), "piece").limit(MAX_PIECES).collect()]
     names = [p for p, _ in top]
-    known = pieces.sparkSession.sparkContext.broadcast(frozenset(names))
+    known = pieces.sparkSession.sparkContext.broadcast(pa.array(names, pa.large_binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, spelled = np.zeros(65536, dtype=np.int64), 0
         for batch in batches:
-            rest = [(p, n) for p, n in zip(batch["piece"].to_pylist(), batch["n"].to_pylist(), strict=True) if p not in known.value]
-            if rest:
-                spelled += sum(n for _, n in rest)
-                codes, _ = _spelling([p for p, _ in rest]).coded()
-                times = np.repeat([n for _, n in rest], [len(p) for p, _ in rest])
-                pairs += np.bincount(codes, times, minlength=65536).astype(np.int64)
+            if batch.num_rows:
+                data, starts = _bytes(batch["piece"])
+                rest = np.flatnonzero(numbers_of(known.value, data, starts) < 0)
+                n = batch["n"].to_numpy()[rest]
+                spelled += int(n.sum())
+                spelling = spelling_of(data, starts, rest)
+                np.add.at(pairs, spelling.coded()[0], np.repeat(n, spelling.lengths))
         at = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_pydict({"pair": pa.array([*at.tolist(), -1], pa.int32()), "n": pa.array([*pairs[at].tolist(), spelled], pa.int64())})
 
@@ -788,20 +812,24 @@ def _piece_blocks(pieces: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tables = code.value, {}
         for batch in batches:
-            pieces = batch["piece"].to_pylist()
+            if not batch.num_rows:
+                continue
+            data, starts = _bytes(batch["piece"])
+            numbers = numbers_of(known.known, data, starts)
             for held, column in ((False, "n"), (True, "n_held")):
-                rows = [(p, n) for p, n in zip(pieces, batch[column].to_pylist(), strict=True) if n]
-                if not rows:
+                n = batch[column].to_numpy()
+                some = np.flatnonzero(n)
+                if not len(some):
                     continue
                 if held not in tables:
                     tables[held] = Counts(bits, (0, 1, 2))
-                counts = tables[held]
-                codes = np.array([65536 + known.numbers.get(p, len(known.numbers)) for p, _ in rows])
-                counts.add(known, codes, {0: np.full(len(codes), NOTHING)}, np.array([n for _, n in rows]))
-                rest = [(p, n) for p, n in rows if p not in known.numbers]
-                if rest:
-                    codes, hashes = _spelling([p for p, _ in rest]).coded()
-                    counts.add(known, codes, dict(enumerate(hashes)), np.repeat([n for _, n in rest], [len(p) for p, _ in rest]))
+                counts, own = tables[held], numbers[some]
+                counts.add(known, 65536 + np.where(own < 0, len(known.numbers), own), {0: np.full(len(some), NOTHING)}, n[some])
+                rest = some[own < 0]
+                if len(rest):
+                    spelling = spelling_of(data, starts, rest)
+                    codes, hashes = spelling.coded()
+                    counts.add(known, codes, dict(enumerate(hashes)), np.repeat(n[rest], spelling.lengths))
         for held, counts in tables.items():
             yield counts.blocks(held)
 
@@ -813,16 +841,32 @@ def _text_blocks(docs: DataFrame, code, bits: tuple[int, ...]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tables = code.value, {False: Counts(bits, (1, 2))}
+        waiting: dict[bool, list[list[np.ndarray]]] = {False: [], True: []}
+
+        def count(held: bool) -> None:
+            """What stands in the same context more than once is counted once, with its number."""
+            if held not in tables:
+                tables[held] = Counts(bits, (1, 2))
+            for k, parts in enumerate(zip(*waiting[held], strict=True), 1):
+                keys = np.sort(np.concatenate(parts))
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                times, keys = np.diff(np.append(first, len(keys))), keys[first]
+                tables[held].add(known, (keys & np.uint64((1 << 32) - 1)).astype(np.int64), {k: _high(keys)}, times)
+            waiting[held] = []
+
         for batch in portions(batches):
             for held in (False, True):
                 texts = batch.filter(pc.equal(batch["held"], held))["text"].to_pylist()
                 if not texts:
                     continue
-                if held not in tables:
-                    tables[held] = Counts(bits, (1, 2))
                 every, counts = cut_texts(known, texts)
                 found = symbols_of(known, every, np.cumsum(counts) - counts, spell=False)
-                tables[held].add(known, found.codes, {1: found.hashes[1], 2: found.hashes[2]})
+                waiting[held].append([h.astype(np.uint64) << np.uint64(32) | found.codes.astype(np.uint64) for h in found.hashes[1:]])
+                if sum(len(x) for x, _ in waiting[held]) > COUNTED:
+                    count(held)
+        for held in (False, True):
+            if waiting[held]:
+                count(held)
         for held, counts in tables.items():
             yield counts.blocks(held)
 
@@ -959,7 +1003,7 @@ class Base:
     """What texts' tokens give to the base score."""
 
     def __init__(self, code: Code, logs: dict[bytes, float]) -> None:
-        self.numbers, self.logs = code.numbers, logs
+        self.logs = logs
         words = [p.rstrip(SPACE + b"\xff") for p in code.numbers]
         found = [logs.get(w) if w else 0.0 for w in words]
         # The last place is that of a piece without a number. Pieces of white space are no tokens, and no words to look for.
@@ -1012,7 +1056,10 @@ def score(docs: DataFrame, learned: Learned, keep: tuple[str, ...] = ("doc_id",)
             n_tokens, known, plain, rest = zip(*base.tokens(texts, every, counts), strict=True)
             columns = [batch[c] for c in keep]
             columns += [pa.array([len(t) for t in texts], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.array(scorer.scores(apart(every, counts)), pa.float64())]
-            columns.append(pa.array([[] if complete else [{"token": w, "k": k} for w, k in r.items()] for r in rest], pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))))
+            rest = [{} if complete else r for r in rest]
+            rare = [pa.array([w for r in rest for w in r], pa.binary()), pa.array([k for r in rest for k in r.values()], pa.int64())]
+            places = pa.array(np.cumsum([0, *map(len, rest)]), pa.int32())
+            columns.append(pa.ListArray.from_arrays(places, pa.StructArray.from_arrays(rare, names=["token", "k"])))
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_bytes", "n_tokens", "known", "plain", "natural", "rest"])
 
     scored = _texts(docs, *keep).mapInArrow(run, schema)

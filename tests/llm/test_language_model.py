@@ -195,3 +195,49 @@ def test_mixers_learn_from_every_text(spark, make_docs):
     assert again.sort_values("at").values.tolist() == found.sort_values("at").values.tolist()
     twice = docs.unionByName(docs).select("doc_id", lm._half().alias("half")).distinct()
     assert twice.count() == len(texts) and twice.select("half").distinct().count() == 2
+
+
+def test_cut_is_pieces_of_all_texts():
+    texts = [*TEXTS, b"", b" \n\t ", b" " * 100, b"x" * 48 + b" y", b"x" * 49, b"x" * 1000 + b" " * 40 + b"y", b"  lead", b"A" + b" " * 17, *[(t or "").encode() for t in odd_texts()]]
+    data, starts, counts = lm.cut(texts)
+    found = [data[a:b].tobytes() for a, b in zip(starts.tolist(), starts[1:].tolist(), strict=False)]
+    assert found == [p for t in texts for p in lm.pieces_of(t)]
+    assert counts.tolist() == [len(lm.pieces_of(t)) for t in texts]
+
+
+def test_arrays_of_decisions_are_bounded(monkeypatch):
+    """However long texts are, and however many, few decisions are worked on at a time: their arrays stay in the cache. That changes no score."""
+    texts = [b" ".join(TEXTS) * 4, *TEXTS, b"zq" * 3000]
+    model = small_model(TEXTS[:5])
+    whole = lm.fit(model, texts)
+    scores = lm.Scorer(whole).score(texts)
+    seen = []
+    hashed = lm._node_hash
+    monkeypatch.setattr(lm, "_node_hash", lambda chosen: seen.append(len(chosen)) or hashed(chosen))
+    for together in (1 << 15, lm.FIT_BLOCK):
+        monkeypatch.setattr(lm, "TOGETHER", together)
+        again = lm.fit(small_model(TEXTS[:5]), texts)
+        assert (again.weights == whole.weights).all() and (again.refined == whole.refined).all()
+        assert lm.Scorer(again).score(texts) == pytest.approx(scores, rel=1e-9)
+        # A block of symbols is not divided.
+        most = lm.BLOCK * int(model.code.lengths.max())
+        assert max(seen) <= max(together, most)
+        assert sum(seen) > 4 * together
+        seen.clear()
+
+
+def test_counts_of_portions_are_those_of_single_pieces(monkeypatch):
+    """Tables from contexts that are counted once with their number, against one symbol after the other."""
+    model = small_model(TEXTS[:5])
+    code, bits = model.code, (12, 12, 12)
+    known = [lm.symbols(code, lm.pieces_of(t)) for t in TEXTS]
+    counts, slow = lm.Counts(bits, (1, 2)), lm.Counts(bits, (1, 2))
+    monkeypatch.setattr(lm, "TOGETHER", 100)
+    for k in known:
+        counts.add(code, k.codes, dict(enumerate(k.hashes[1:], 1)), np.full(len(k.codes), 3))
+        for symbol, one, two in zip(k.codes.tolist(), k.hashes[1].tolist(), k.hashes[2].tolist(), strict=True):
+            for d in code.flat[code.offsets[symbol] : code.offsets[symbol] + code.lengths[symbol]].tolist():
+                for p, h in ((1, one), (2, two)):
+                    slow.tables[p][2 * slot(h, d, bits[p]) + (d & 1)] += 3
+    for p in (1, 2):
+        assert (counts.tables[p] == slow.tables[p]).all()
