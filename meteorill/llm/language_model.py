@@ -32,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -1012,25 +1013,37 @@ class Base:
         self.open = np.array([f is None for f in found] + [True])
 
     def tokens(self, texts: list[bytes], every: Pieces, counts: np.ndarray) -> list[tuple[int, int, float, Counter]]:
-        """Of each text (tokens, known ones, sum of their logs, the words that are not known here). Frequent pieces are looked up all at
+        """Of each text (tokens, known ones, sum of their logs, the words that are not known here). Pieces are looked up all at
         once; a text with a word in several pieces is read word by word.
         """
         numbers, starts, ends = every.numbers, every.starts, np.cumsum(counts)
         plain = np.ones(len(texts), dtype=bool)
         plain[np.searchsorted(ends, np.flatnonzero(np.diff(starts) == PIECE_WORD), "right")] = False
-        known, log = (np.concatenate([[0], x.take(numbers, mode="wrap").cumsum()]) for x in (self.counts, self.log))
-        left = np.flatnonzero(self.open.take(numbers, mode="wrap"))
+        known, log = self.counts[numbers].astype(np.int64), self.log[numbers]
+        left = np.flatnonzero(self.open[numbers])
         data = every.data.tobytes()
         words = [data[a:b].rstrip(SPACE + b"\xff") for a, b in zip(starts[left].tolist(), starts[left + 1].tolist(), strict=True)]
-        until = np.searchsorted(left, ends)
-        at = zip(texts, plain.tolist(), np.diff(known[ends], prepend=0).tolist(), np.diff(log[ends], prepend=0).tolist(), [0, *until[:-1].tolist()], until.tolist(), strict=True)
-        return [self._with(n, total, words[a:b]) if whole else self._with(0, 0, text.lower().split()) for text, whole, n, total, a, b in at]
-
-    def _with(self, known: int, total: float, words: list[bytes]) -> tuple[int, int, float, Counter]:
-        logs = [self.logs.get(w) for w in [*words, END_TOKEN] if w]
-        found = [x for x in logs if x is not None]
-        rest = Counter([w for w, x in zip([w for w in [*words, END_TOKEN] if w], logs, strict=True) if x is None]) if len(found) < len(logs) else Counter()
-        return known + len(logs), known + len(found), total + math.fsum(found), rest
+        found = np.fromiter(map(self.logs.get, words, repeat(math.nan)), dtype=np.float64, count=len(words))
+        is_word, here = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) > 0, ~np.isnan(found)
+        known[left], log[left] = here, np.where(here, found, 0)
+        n = known.copy()
+        n[left] = is_word
+        n, known, log = (np.diff(x.cumsum()[ends - 1], prepend=0).tolist() for x in (n, known, log))
+        rare = is_word & ~here
+        until = np.searchsorted(left[rare], ends).tolist()
+        rest, out = list(compress(words, rare.tolist())), []
+        for k, (a, b) in enumerate(zip([0, *until[:-1]], until, strict=True)):
+            out.append(self._with_end(n[k], known[k], log[k], rest[a:b]) if plain[k] else self._by_word(texts[k].lower().split()))
+        return out
+
+    def _by_word(self, words: list[bytes]) -> tuple[int, int, float, Counter]:
+        found = [self.logs[w] for w in words if w in self.logs]
+        return self._with_end(len(words), len(found), math.fsum(found), [w for w in words if w not in self.logs])
+
+    def _with_end(self, n: int, known: int, total: float, rest: list[bytes]) -> tuple[int, int, float, Counter]:
+        if END_TOKEN in self.logs:
+            return n + 1, known + 1, total + self.logs[END_TOKEN], Counter(rest)
+        return n + 1, known, total, Counter([*rest, END_TOKEN])
 
 
 def score(docs: DataFrame, learned: Learned, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
