@@ -20,7 +20,8 @@ weights, `MAX_PIECES` pieces and `MAX_KNOWN` words; what a text has of rarer wor
 A null text is empty: its only token is the end. Documents that are not said to be learned from (null
 included) are scored only. Rows that occur repeatedly count, and are scored, each. Very long texts are scored in
 stretches of `STRETCH` bytes, and words of more than 48 bytes in several pieces; both change nothing
-else. Without training texts all tables are empty, and every decision is even. Ties between pieces of one count go to the first in
+else. Texts are cut, numbered and coded as arrays, `PORTION` bytes at a time, and decisions are worked on some `TOGETHER` at a
+time, which stay in the cache and change nothing either. Without training texts all tables are empty, and every decision is even. Ties between pieces of one count go to the first in
 byte order. An empty table gives an empty result. Further columns pass through if `keep` names them.
 """
 
@@ -721,6 +722,7 @@ def piece_counts(docs: DataFrame) -> DataFrame:
 
         def counted() -> pa.RecordBatch:
             data, sizes, held = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            waiting.clear()
             found = _array(data, np.concatenate([[0], np.cumsum(sizes)])).dictionary_encode()
             at, pieces = found.indices.to_numpy(), found.dictionary.cast(pa.binary())
             n, n_held = np.bincount(at), np.bincount(at[held], minlength=len(pieces))
@@ -745,7 +747,7 @@ def piece_counts(docs: DataFrame) -> DataFrame:
                 fixes.subtract(_words(Counter(pieces_of(texts[k]))))
             if sum(len(x) for _, x, _ in waiting) + len(fixes) > HELD:
                 yield counted()
-                waiting, fixes = [], Counter()
+                fixes.clear()
         if waiting:
             yield counted()
 
